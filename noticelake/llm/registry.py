@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from noticelake.llm import exact_dedup
+from noticelake.llm import exact_dedup, simhash
 
-MODULES = (exact_dedup,)
+MODULES = (exact_dedup, simhash)
 
 
 def queries() -> dict:
