@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from noticelake.llm import exact_dedup, simhash
+from noticelake.llm import exact_dedup, packing, simhash
 
-MODULES = (exact_dedup, simhash)
+MODULES = (exact_dedup, simhash, packing)
 
 
 def queries() -> dict:
