@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from noticelake.llm import exact_dedup, packing, simhash
+from noticelake.llm import bpe, exact_dedup, packing, simhash
 
-MODULES = (exact_dedup, simhash, packing)
+MODULES = (exact_dedup, simhash, packing, bpe)
 
 
 def queries() -> dict:
