@@ -25,9 +25,11 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from noticelake.llm.common import table, text_of
 
@@ -41,8 +43,8 @@ _STATES = 8
 _BLOCK = 512
 #: Slices that a task keeps merged; beyond it, the older half is forgotten.
 CACHE = 400_000
-#: Code points that are put together before they are scanned.
-_CHUNK = 4_000_000
+#: Bytes of text that are put together before they are scanned.
+_CHUNK = 1_000_000
 #: The characters with the property White_Space (fixed by Unicode).
 WHITE_SPACE = [0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 
@@ -221,10 +223,11 @@ class Codec:
 
         with open(path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.values = {v: k for k, v in self.ranks.items()}
-        self.widths = np.zeros(max(self.values) + 1, np.int64)
+        self.widths = np.zeros(max(self.ranks.values(), default=0) + 1, np.int64)
         for k, v in self.ranks.items():
             self.widths[v] = len(k)
+        self.starts = np.cumsum(self.widths) - self.widths
+        self.bytes = np.frombuffer(b"".join(sorted(self.ranks, key=self.ranks.get)), np.uint8)
         self._forget()
 
     def _forget(self) -> None:
@@ -257,20 +260,22 @@ class Codec:
             yield self.ids[where], n
             at += len(run)
 
-    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Per text: its ids, and the byte offset at which each token begins."""
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, the byte offset in its text at which each token begins, and the texts' edges among them."""
         data, offsets, first = pretokens(texts)
         edges = offsets.tolist()
         found = list(self._numbers([data[a:b] for a, b in zip(edges, edges[1:], strict=False)]))
-        ids = np.concatenate([x for x, _ in found]) if found else np.empty(0, np.int32)
-        per = np.concatenate([n for _, n in found]) if found else np.empty(0, np.int64)
-        ends = np.cumsum(self.widths[ids])
-        begins = ends - self.widths[ids]
+        ids = np.concatenate([np.empty(0, np.int32), *(x for x, _ in found)])
+        per = np.concatenate([np.empty(0, np.int64), *(n for _, n in found)])
         cuts = np.append(0, np.cumsum(per))[first]
-        return [ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], [begins[a:b] - offsets[t] for a, b, t in zip(cuts, cuts[1:], first, strict=False)]
+        begins = np.cumsum(self.widths[ids]) - self.widths[ids] - np.repeat(offsets[first[:-1]], np.diff(cuts))
+        return ids, begins.astype(np.int32), cuts.astype(np.int32)
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.values.__getitem__, ids.tolist()))
+    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of all tokens, and where each token ends."""
+        widths = self.widths[ids]
+        ends = np.cumsum(widths)
+        return self.bytes[np.repeat(self.starts[ids] - (ends - widths), widths) + np.arange(ends[-1] if len(ends) else 0)], ends
 
 
 @lru_cache(maxsize=1)
@@ -278,45 +283,49 @@ def codec(path: str | None = None) -> Codec:
     return Codec(path)
 
 
-def _groups(texts: pd.Series) -> Iterator[list[str]]:
-    held, size = [], 0
-    for t in texts:
-        held.append(t)
-        size += len(t)
-        if size >= _CHUNK:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
+def _slices(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of rows that hold about _CHUNK bytes each."""
+    at = 0
+    while at < len(sizes):
+        n = max(1, int(np.searchsorted(np.cumsum(sizes[at : at + 4096]), _CHUNK, "right")))
+        yield at, n
+        at += n
+
+
+def _lists(values: np.ndarray, edges: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(values, pa.int32()))
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None) -> DataFrame:
     """One row per document: id, token_ids (array<int>), token_offsets (array<int>, byte offsets into the UTF-8 text)."""
 
-    @F.pandas_udf("token_ids array<int>, token_offsets array<int>")
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(tokenizer)
         for batch in batches:
-            ids, offsets = [], []
-            for group in _groups(batch):
-                a, b = c.encode(group)
-                ids += a
-                offsets += [x.astype(np.int32) for x in b]
-            yield pd.DataFrame({"token_ids": ids, "token_offsets": offsets})
+            for at, n in _slices(pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False)):
+                part = batch.slice(at, n)
+                ids, begins, edges = c.encode(part["text"].to_pylist())
+                yield pa.RecordBatch.from_arrays([part["id"], _lists(ids, edges), _lists(begins, edges)], ["id", "token_ids", "token_offsets"])
 
-    return docs.select(F.col(id_col).alias("id"), of(text_of(text_col)).alias("_e")).select("id", "_e.*")
+    rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, token_ids array<int>, token_offsets array<int>")
 
 
 def decode(encoded: DataFrame, tokenizer: str | None = None) -> DataFrame:
-    """Adds ``decoded`` (binary): the bytes of token_ids."""
+    """``encoded`` (id, token_ids, any others) with ``decoded`` (binary): the bytes of token_ids. Null ids count as none."""
 
-    @F.pandas_udf("binary")
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(tokenizer)
         for batch in batches:
-            yield pd.Series([c.decode(np.asarray(ids)) for ids in batch], dtype=object)
-
-    return encoded.withColumn("decoded", of("token_ids"))
+            for at, n in _slices(4 * pc.fill_null(pc.list_value_length(batch["token_ids"]), 0).to_numpy(zero_copy_only=False)):
+                part = batch.slice(at, n)
+                sizes = pc.fill_null(pc.list_value_length(part["token_ids"]), 0).to_numpy(zero_copy_only=False)
+                data, ends = c.decode(part["token_ids"].flatten().to_numpy(zero_copy_only=False))
+                edges = np.append(0, ends)[np.append(0, np.cumsum(sizes))].astype(np.int32)
+                text = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(edges), pa.py_buffer(data)])
+                yield pa.RecordBatch.from_arrays([*part.columns, text], [*part.schema.names, "decoded"])
+
+    return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())]))
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

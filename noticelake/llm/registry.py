@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from noticelake.llm import bpe, exact_dedup, packing, simhash
+from noticelake.llm import bpe, exact_dedup, packing, quality, simhash
 
-MODULES = (exact_dedup, simhash, packing, bpe)
+MODULES = (exact_dedup, simhash, packing, bpe, quality)
 
 
 def queries() -> dict:

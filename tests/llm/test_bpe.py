@@ -47,13 +47,12 @@ def test_ids_match_the_library(enc, monkeypatch):
     for size in (bpe.CACHE, 64):
         monkeypatch.setattr(bpe, "CACHE", size)
         c = bpe.Codec()
-        ids, offsets = c.encode(texts)
-        assert [x.tolist() for x in ids] == want
-        for t, x, o in zip(texts, ids, offsets, strict=True):
-            assert c.decode(x) == t.encode()
-            data = t.encode()
-            ends = [*o.tolist()[1:], len(data)] if t else []
-            assert [data[a:b] for a, b in zip(o.tolist(), ends, strict=True)] == [c.values[i] for i in x.tolist()]
+        ids, begins, edges = c.encode(texts)
+        assert [ids[a:b].tolist() for a, b in zip(edges, edges[1:], strict=False)] == want
+        for t, a, b in zip(texts, edges, edges[1:], strict=False):
+            decoded, ends = c.decode(ids[a:b])
+            assert decoded.tobytes() == t.encode()
+            assert begins[a:b].tolist() == [0, *ends.tolist()][: b - a]
 
 
 def test_query_columns(spark, enc):
