@@ -23,6 +23,7 @@ import sys
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -215,9 +216,50 @@ def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[piece[i : end[i]]] for i in range(n) if alive[i]]
 
 
+class _Pairs:
+    """A hash table from two neighbouring ids to the id they merge to (which is also its rank), read for whole arrays."""
+
+    NONE = np.int32(2**31 - 1)
+
+    def __init__(self, ranks: dict[bytes, int]):
+        get = ranks.get
+        found = [(a << 20 | b, v) for k, v in ranks.items() for i in range(1, len(k)) if (a := get(k[:i])) is not None and (b := get(k[i:])) is not None]
+        keys, values = np.array([k for k, _ in found], np.uint64), np.array([v for _, v in found], np.int32)
+        bits = max(8, int(len(keys)).bit_length() + 3)
+        self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.values = np.full(1 << bits, 2**64 - 1, np.uint64), np.full(1 << bits, self.NONE, np.int32)
+        left, slot = np.arange(len(keys)), self._slot(keys)
+        while len(left):
+            free = self.keys[slot] == 2**64 - 1
+            self.keys[slot[free]] = keys[left[free]]  # of several for a slot, the last one stays
+            self.values[slot[free]] = values[left[free]]
+            out = self.keys[slot] != keys[left]
+            left, slot = left[out], (slot[out] + 1) & self.last
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def __call__(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        keys = (a.astype(np.uint64) << np.uint64(20)) | b.astype(np.uint64)
+        slot = self._slot(keys)
+        seen = self.keys[slot]
+        out = np.where(seen == keys, self.values[slot], self.NONE)
+        left = np.flatnonzero((seen != keys) & (seen != 2**64 - 1))
+        while len(left):
+            slot[left] = (slot[left] + 1) & self.last
+            seen = self.keys[slot[left]]
+            hit = seen == keys[left]
+            out[left[hit]] = self.values[slot[left[hit]]]
+            left = left[~hit & (seen != 2**64 - 1)]
+        return out
+
+
 class Codec:
     """Ranks with a bounded cache from slice to ids."""
 
+    #: Slices up to this many bytes are merged side by side, longer ones each for itself.
+    WIDE = 64
+
     def __init__(self, path: str | None = None):
         import public_tokenizers
 
@@ -227,38 +269,79 @@ class Codec:
         for k, v in self.ranks.items():
             self.widths[v] = len(k)
         self.starts = np.cumsum(self.widths) - self.widths
+        self.pairs = _Pairs(self.ranks)
+        self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.bytes = np.frombuffer(b"".join(sorted(self.ranks, key=self.ranks.get)), np.uint8)
         self._forget()
 
     def _forget(self) -> None:
         self.cache, self.ids, self.count, self.first, self.used = {}, np.empty(1 << 16, np.int32), np.empty(CACHE, np.int32), np.empty(CACHE, np.int64), 0
 
-    def _learn(self, piece: bytes) -> None:
-        ids = merge(piece, self.ranks)
-        k = len(self.cache)
-        if self.used + len(ids) > len(self.ids):
-            self.ids = np.append(self.ids, np.empty(max(len(self.ids), len(ids)), np.int32))
-        self.ids[self.used : self.used + len(ids)] = ids
-        self.first[k], self.count[k] = self.used, len(ids)
-        self.used += len(ids)
-        self.cache[piece] = k
+    def _merge_many(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Merge slices of at most WIDE bytes side by side. Returns a row of ids for each, and how many of them count."""
+        none, size = _Pairs.NONE, np.fromiter(map(len, pieces), np.int64, len(pieces))
+        width = int(size.max())
+        ids = self.byte_ids[np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), np.uint8).reshape(-1, width)]
+        rank = self.pairs(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(-1, width - 1)
+        columns = np.arange(width)
+        rank[columns[None, 1:] >= size[:, None]] = none
+        out, rows = ids.copy(), np.arange(len(pieces))
+        while rank.shape[1]:
+            best = rank.argmin(1)
+            new = rank[np.arange(len(rank)), best]
+            open_ = new != none
+            out[rows[~open_], : ids.shape[1]] = ids[~open_]
+            if not open_.any():
+                return out, size
+            ids, rank, rows, best, new = ids[open_], rank[open_], rows[open_], best[open_], new[open_]
+            size[rows] -= 1
+            each = np.arange(len(rows))
+            right = columns[None, : ids.shape[1] - 1] > best[:, None]
+            ids[each, best] = new
+            ids = np.where(right, ids[:, 1:], ids[:, :-1])
+            rank = np.where(right[:, :-1] | (columns[None, : rank.shape[1] - 1] == best[:, None]), rank[:, 1:], rank[:, :-1])
+            for at, ok in ((best - 1, best > 0), (best, best < size[rows] - 1)):
+                i, j = each[ok], at[ok]
+                rank[i, j] = self.pairs(ids[i, j], ids[i, j + 1])
+        out[rows, : ids.shape[1]] = ids
+        return out, size
+
+    def _keep(self, pieces: list[bytes], ids: np.ndarray, count: np.ndarray) -> None:
+        k, n = len(self.cache), len(ids)
+        while self.used + n > len(self.ids):
+            self.ids = np.append(self.ids, np.empty_like(self.ids))
+        self.ids[self.used : self.used + n] = ids
+        self.count[k : k + len(pieces)] = count
+        self.first[k : k + len(pieces)] = self.used + np.cumsum(count) - count
+        self.used += n
+        self.cache.update(zip(pieces, range(k, k + len(pieces)), strict=True))
+
+    def _learn(self, pieces: list[bytes]) -> None:
+        by: dict[int, list[bytes]] = {}
+        for p in pieces:
+            by.setdefault(0 if len(p) > self.WIDE else (len(p) + 3) // 4 * 4, []).append(p)
+        for p in by.pop(0, []):
+            ids = merge(p, self.ranks)
+            self._keep([p], np.array(ids, np.int32), np.array([len(ids)]))
+        for group in by.values():
+            ids, size = self._merge_many(group)
+            self._keep(group, ids[np.arange(ids.shape[1])[None, :] < size[:, None]], size)
 
     def _numbers(self, slices: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For runs of slices: their ids, and how many each has. The cache is emptied between runs when it is full."""
-        at = 0
-        while at < len(slices):
+        for at in range(0, len(slices), CACHE // 2):
             run = slices[at : at + CACHE // 2]
-            if missing := set(run) - self.cache.keys():
+            k = np.fromiter(map(self.cache.get, run, repeat(-1)), np.int64, len(run))
+            if len(unknown := np.flatnonzero(k < 0)):
+                missing = list(dict.fromkeys([run[i] for i in unknown.tolist()]))
                 if len(self.cache) + len(missing) > CACHE:
                     self._forget()
-                    missing = set(run)
-                for piece in missing:
-                    self._learn(piece)
-            k = np.fromiter(map(self.cache.__getitem__, run), np.int64, len(run))
+                    missing, unknown = list(dict.fromkeys(run)), np.arange(len(run))
+                self._learn(missing)
+                k[unknown] = np.fromiter(map(self.cache.__getitem__, [run[i] for i in unknown.tolist()]), np.int64, len(unknown))
             n = self.count[k].astype(np.int64)
             where = np.repeat(self.first[k] - (np.cumsum(n) - n), n) + np.arange(n.sum())
             yield self.ids[where], n
-            at += len(run)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The ids of all texts in a row, the byte offset in its text at which each token begins, and the texts' edges among them."""
