@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from noticelake.llm import ann, bpe, exact_dedup, packing, quality, simhash
+from noticelake.llm import ann, bpe, exact_dedup, packing, quality, secrets, simhash
 
-MODULES = (exact_dedup, simhash, packing, bpe, quality, ann)
+MODULES = (exact_dedup, simhash, packing, bpe, quality, ann, secrets)
 
 
 def queries() -> dict:
