@@ -223,8 +223,8 @@ def pseudonymise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    counts = [F.size(F.filter("mentions_found", lambda k, kind=kind: k == kind)).cast("long").alias(f"n_{kind}") for kind, _ in KINDS]
-    return done.select("doc_id", "text", *counts)
+    count = lambda kind: F.size(F.filter("mentions_found", lambda k: k == kind)).cast("long")
+    return done.select("doc_id", "text", *(count(kind).alias(f"n_{kind}") for kind, _ in KINDS))
 
 
 QUERIES = {"op8_pii_surrogates": op8_pii_surrogates}

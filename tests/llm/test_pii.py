@@ -58,3 +58,17 @@ def test_surrogates_are_no_real_entities(spark):
     new = "ip|" + first.select(pii._drawn(one, "kind entity attempt", "k")[0]["new"]).first()[0]
     both = first.union(spark.createDataFrame([(new,)], "entity string"))
     assert {r["entity"]: r["attempt"] for r in pii.tries(both, "k").collect()}["ip|1.2.3.4"] > 0
+
+
+def test_query(spark):
+    sf = "/root/testdata/sf0.01"
+    got = pii.op8_pii_surrogates(spark, sf).collect()
+    was = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    assert len(got) == len(was)
+    for r in got:
+        emails = re.findall(r"[\w.]+@mail\d\.example\.com", was[r["doc_id"]], re.I)
+        assert r["n_email"] == len(emails) and not any(e in r["text"] for e in emails)
+        phones, cards = re.findall(r"\+1 \(\d{3}\) \d{3}-\d{4}", was[r["doc_id"]]), re.findall(r"(?<!\d)\d{16}(?!\d)", was[r["doc_id"]])
+        ips = re.findall(r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d])", was[r["doc_id"]])
+        assert (r["n_phone"], r["n_card"], r["n_ip"], r["n_name"]) == (len(phones), len(cards), len(ips), 0)
+        assert not any(x in r["text"] for x in phones + cards + ips)
