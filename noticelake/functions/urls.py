@@ -100,7 +100,7 @@ def parameter_id(url: Column, parameter: str = "subor") -> Column:
 
 def district_name(name: Column) -> Column:
     """Without the office's prefix; empty for null."""
-    return F.coalesce(F.trim(F.regexp_replace(name, r"(?i)^Okresný úrad\s+", "")), F.lit(""))
+    return F.coalesce(F.trim(F.regexp_replace(name, r"(?iu)^Okresný úrad\s+", "")), F.lit(""))
 
 
 def region_name(name: Column) -> Column:
