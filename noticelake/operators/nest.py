@@ -29,10 +29,11 @@ def spread(df: DataFrame, context: tuple[str, ...], struct: str) -> DataFrame:
 def regroup(rows: DataFrame, document: tuple[str, ...] = ("datum", "nazov", "url"), ordinal: str | None = None, carry_board: bool = False) -> DataFrame:
     """The boards of flat rows: documents by date, categories, districts and regions by name; the first URL of each stays.
 
-    ``ordinal`` is the rows' place in their source, which breaks ties. One shuffle by region serves all levels.
+    ``ordinal`` is the rows' place in their source, which breaks ties. Documents are dealt by all three names, so that
+    only finished categories meet per district and region. A region is one row: where it would outgrow that, stay flat.
     """
     place = F.col(ordinal) if ordinal else F.hash(*document).cast("long")
-    rows = rows.withColumn("_at", place).repartition("kraj")
+    rows = rows.withColumn("_at", place)
     doc = F.struct(F.col("datum").alias("_by"), F.col("_at"), F.struct(*document).alias("d"))
     first = lambda c: F.min_by(c, "_at")
     kept = ["kraj_url", "okres_url", *(["okres_url_tabule"] if carry_board else [])]

@@ -359,14 +359,19 @@ def grid_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present.page(present.newest_first(documents(spark, sf_dir).select("datum", "nazov", "url")), 3)
 
 
-@query("SELECT doc_id, dense_rank() OVER (ORDER BY strip_accents(lower(w))) AS rank FROM (SELECT doc_id, regexp_extract(coalesce(text, ''), '^([A-Za-zéèêçáíóúñäöüÉÈÊÇÁÍÓÚÑÄÖÜ]*)', 1) AS w FROM documents)")
-def collated_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    word = F.regexp_extract(F.coalesce("text", F.lit("")), "^([A-Za-zéèêçáíóúñäöüÉÈÊÇÁÍÓÚÑÄÖÜ]*)", 1)
-    rows = table(spark, sf_dir, "documents").select("doc_id", present.collation_key(word).alias("w"))
-    # Ranks of the different words, of which there are far fewer than rows; sorted in ranges, then numbered.
-    words = rows.select("w").distinct()
-    ranked = words.select("w", F.row_number().over(Window.orderBy("w")).cast("long").alias("rank"))
-    return rows.join(ranked, "w").select("doc_id", "rank")
+_WORD = "^([A-Za-zéèêçáíóúñäöüÉÈÊÇÁÍÓÚÑÄÖÜ]*)"
+
+
+@query(f"SELECT min(w) AS word, count(*) AS n FROM (SELECT regexp_extract(coalesce(text, ''), '{_WORD}', 1) AS w FROM documents) GROUP BY strip_accents(lower(w))")
+def collated_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = table(spark, sf_dir, "documents").select(F.regexp_extract(F.coalesce("text", F.lit("")), _WORD, 1).alias("w"))
+    return words.groupBy(present.collation_key(F.col("w"))).agg(F.min("w").alias("word"), F.count(F.lit(1)).alias("n")).select("word", "n")
+
+
+@query(f"SELECT doc_id, w AS word FROM (SELECT doc_id, regexp_extract(coalesce(text, ''), '{_WORD}', 1) AS w FROM documents) ORDER BY strip_accents(lower(w)), doc_id LIMIT 50 OFFSET 50")
+def collated_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = table(spark, sf_dir, "documents").select("doc_id", F.regexp_extract(F.coalesce("text", F.lit("")), _WORD, 1).alias("word"))
+    return present.page(words.orderBy(present.collation_key(F.col("word")), "doc_id"), 2, 50)
 
 
 @query("SELECT p_partkey, p_name FROM part WHERE contains(lower(p_name), '1') AND contains(lower(p_type), lower('E'))")
