@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 AS_OF = "2025-12-31"
-OLDEST = "2025-06-01"
+OLDEST = "2025-03-01"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
