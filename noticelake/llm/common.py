@@ -19,12 +19,13 @@ def checkpoint(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and cut its lineage there.
 
     The folder is the cluster's ``spark.checkpoint.dir``. Only a session without one (tests, a
-    single machine) gets a temporary folder.
+    single machine) gets a temporary folder. The rows, always few bytes each, are first rebalanced
+    into partitions of the advisory size, so that a table is a few files and not one per task.
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint-"))
-    return df.checkpoint(eager=True)
+    return df.hint("rebalance").checkpoint(eager=True)
 
 
 def ascii_lower(col: Column) -> Column:
