@@ -1,14 +1,21 @@
-"""Commands: python -m noticelake.cli <command> ... Input and output are JSON array files."""
+"""Commands: python -m noticelake.cli <command> ... Input and output are JSON array files.
+
+Commands that fetch, convert or extract take --tools, a Python module with ``fetcher`` (url to status, content type
+and bytes), ``converters`` (noticelake.operators.convert.Converters) and ``extractor`` (text to model output).
+"""
 
 from __future__ import annotations
 
 import argparse
+import importlib
 import sys
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from noticelake.operators import delta, nest, prompts, sample, schema
+from noticelake.functions import dates
+from noticelake.operators import convert, delta, nest, prompts, sample, schema
+from noticelake.plans import pipelines
 from noticelake.sources import files, html
 
 
@@ -38,7 +45,10 @@ def main(argv: list[str] | None = None) -> int:
     merge = command("merge", "out", about="put the second listing into the first")
     merge.add_argument("--in", dest="inputs", action="append", required=True)
     command("sample", "input", "output", "n", "seed?", about="documents of boards drawn at random")
-    command("dates", "input", "output?", about="boards with dates as yyyy-MM-dd")
+    command("dates", "input?", "output?", about="JSON with dates as yyyy-MM-dd; from standard input without --input")
+    for name, about in (("process-boards", "text and analysis of the documents of boards"), ("process-listing", "place, text and analysis of listed items")):
+        command(name, "input", "tools", "output?", about=about).add_argument("--skip-analysis", action="store_true")
+    command("pdf-text", "input", "tools", about="the text of a PDF file")
     command("prompt", "input", "store", "template", about="a prompt from sampled boards and stored texts")
     a = parser.parse_args(argv)
     if a.command == "merge" and len(a.inputs) != 2:
@@ -62,12 +72,36 @@ def main(argv: list[str] | None = None) -> int:
     elif a.command == "diff":
         _write(delta.new_items(listing(a.new), listing(a.old)), a.output, ["url"])
     elif a.command == "merge":
-        as_maps = lambda p: files.read_json_array(spark, p, schema.PROCESSED).select(F.monotonically_increasing_id().alias("ord"), F.from_json(F.to_json(F.struct("*")), "map<string,string>").alias("m"))
-        _write(delta.merge_maps(as_maps(a.inputs[0]), as_maps(a.inputs[1])), a.out, ["part", "ord"])
+        left, right = (files.read_json_maps(spark, p) for p in a.inputs)
+        files.write_json_array(delta.merge_maps(left, right), a.out, ["part", "ord"], "m")
     elif a.command == "sample":
         _write(sample.sample_boards(boards(a.input), int(a.n), int(a.seed or 0)), a.output, ["kraj"])
     elif a.command == "dates":
-        _write(nest.with_iso_dates(boards(a.input)), a.output, ["kraj"])
+        if a.input:
+            _write(nest.with_iso_dates(boards(a.input)), a.output, ["kraj"])
+        else:
+            text = sys.stdin.read()
+            if not text.strip():
+                print("no input", file=sys.stderr)
+                return 1
+            print(spark.createDataFrame([(text,)], "t string").select(dates.json_dates("t", F.lit("datum"))).first()[0])
+    elif a.command in ("process-boards", "process-listing"):
+        tools = importlib.import_module(a.tools)
+        if faults := files.input_faults(spark, a.input):
+            for level, text in faults:
+                print(f"{level}: {text}", file=sys.stderr)
+            return 1
+        if a.command == "process-boards":
+            done = pipelines.process_documents(nest.flatten(boards(a.input)), tools.fetcher, tools.converters, tools.extractor, a.skip_analysis)
+        else:
+            done = pipelines.process_listing(listing(a.input), tools.fetcher, tools.extractor, a.skip_analysis)
+        _write(done, a.output, ["url"])
+    elif a.command == "pdf-text":
+        tools = importlib.import_module(a.tools)
+        pdf = spark.read.format("binaryFile").load(a.input).select(F.lit("a.pdf").alias("file_name"), "content")
+        row = convert.file_texts(pdf, tools.converters).first()
+        print(row["text"] if row["convert_error"] is None else row["convert_error"], file=sys.stdout if row["convert_error"] is None else sys.stderr)
+        return int(row["convert_error"] is not None)
     elif a.command == "prompt":
         from noticelake.functions.urls import doc_id
 

@@ -81,9 +81,17 @@ def unpacked(files: DataFrame) -> DataFrame:
     return split(zips, archive_members("body")).unionByName(split(rars, refused)).unionByName(split(files.filter(~F.coalesce(suffix.isin(".zip", ".rar"), F.lit(False))), itself))
 
 
-def write_json_array(rows: DataFrame, path: str, order: list[str]) -> None:
-    """A single JSON array file for reports, in the given order. For results that one task can hold; tables stay Parquet."""
-    ordered = F.transform(F.sort_array(F.collect_list(F.struct(F.struct(*order).alias("o"), F.struct(*rows.columns).alias("r")))), lambda x: x["r"])
+def read_json_maps(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of a JSON array of flat objects as ord, m (map<string,string>): an absent key stays apart from a null one."""
+    text = spark.read.text(path, wholetext=True)
+    return text.select(F.posexplode(F.from_json("value", "array<map<string,string>>", {"mode": "FAILFAST"})).alias("ord", "m")).select(F.col("ord").cast("long"), "m")
+
+
+def write_json_array(rows: DataFrame, path: str, order: list[str], value: str | None = None) -> None:
+    """A single JSON array file for reports, of the rows or of one column, in the given order. For results that one task can hold; tables stay Parquet."""
+    item = F.struct(F.struct(*order).alias("o"), (F.col(value) if value else F.struct(*rows.columns)).alias("r"))
+    by_order = lambda a, b: F.when(a["o"] < b["o"], -1).when(a["o"] > b["o"], 1).otherwise(0)
+    ordered = F.transform(F.array_sort(F.collect_list(item), by_order), lambda x: x["r"])
     rows.agg(F.to_json(ordered, {"pretty": "true", "ignoreNullFields": "false"}).alias("value")).coalesce(1).write.mode("overwrite").text(path)
 
 

@@ -3,7 +3,6 @@ import json
 import zipfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from noticelake import cli
 from noticelake.operators import convert, schema
@@ -191,4 +190,29 @@ def test_commands(spark, tmp_path, capsys):
     assert json.loads(next((tmp_path / "o").glob("part-*")).read_text())[0]["kraj"] == "Kraj 1"
     with pytest.raises(SystemExit):
         cli.main(["merge", "--in", "one", "--out", "x"])
-    assert F.lit(1) is not None
+    assert cli.main(["merge", "--in", str(tmp_path / "old.json"), "--in", str(tmp_path / "new.json"), "--out", str(tmp_path / "m")]) == 0
+    assert [r["url"] for r in json.loads(next((tmp_path / "m").glob("part-*")).read_text())] == ["a", "b"]
+
+
+def test_commands_with_tools(spark, tmp_path, capsys, monkeypatch):
+    (tmp_path / "own_tools.py").write_text(
+        "from noticelake.operators.convert import Converters\n"
+        "fetcher = lambda url: (200, 'text/plain', b'body')\n"
+        "converters = Converters(pdf=lambda b: 'text of the page, longer than the limit')\n"
+        "extractor = lambda t: '{}'\n"
+    )
+    monkeypatch.syspath_prepend(str(tmp_path))
+    monkeypatch.setitem(spark.sparkContext.environment, "PYTHONPATH", str(tmp_path))
+    doc = {"datum": "1. 2. 2025", "nazov": "n", "url": "https://h/?subor=7"}
+    board = [{"kraj": "K", "url": "/k", "okresy": [{"nazov": "O", "url": "/o", "dokumenty_zivotne_prostredie": [{"kategoria": "c", "dokumenty": [doc]}]}]}]
+    (tmp_path / "boards.json").write_text(json.dumps(board))
+    (tmp_path / "bad.json").write_text("{}")
+    assert cli.main(["process-boards", "--input", str(tmp_path / "boards.json"), "--tools", "own_tools"]) == 0
+    row = json.loads(capsys.readouterr().out.splitlines()[-1])
+    assert (row["doc_id"], row["text"], row["analysis"]) == ("7", "body", "{}")
+    assert cli.main(["process-listing", "--input", str(tmp_path / "bad.json"), "--tools", "own_tools"]) == 1
+    (tmp_path / "x.pdf").write_bytes(b"pdf")
+    assert cli.main(["pdf-text", "--input", str(tmp_path / "x.pdf"), "--tools", "own_tools"]) == 0
+    monkeypatch.setattr("sys.stdin", io.StringIO(json.dumps(board)))
+    assert cli.main(["dates"]) == 0
+    assert "2025-02-01" in capsys.readouterr().out
