@@ -211,7 +211,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "
 
     dealt = nodes.select(F.pmod(F.xxhash64("vec"), F.lit(shards)).alias("shard"), F.col("ids")[0].alias("first"), "vec", "ids")
     schema = "shard long, entry int, vectors binary, links binary, members binary, edges binary"
-    index = checkpoint(dealt.groupBy("shard").applyInPandas(pack, schema))
+    # By range, each shard is a task of its own; by hash, some tasks would build several.
+    index = checkpoint(dealt.repartitionByRange(shards, "shard").groupBy("shard").applyInPandas(pack, schema))
 
     asked = clean(queries, "query_id").filter(sized).distinct()
     blocks = -(-asked.count() // query_block)
