@@ -9,7 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticelake.llm import exact_dedup, packing, pii, quality, simhash
+from noticelake.llm import exact_dedup, near_text, packing, pii, quality
 
 
 def _quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,7 +21,7 @@ def _exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.keep_representatives(docs)
+    return near_text.keep_representatives(docs)
 
 
 def _private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
