@@ -30,7 +30,7 @@ def _private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(docs).withColumnRenamed("id", "doc_id")
+    return packing.pack_documents(docs, added=True).withColumnRenamed("id", "doc_id")
 
 
 STAGES = [

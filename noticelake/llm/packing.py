@@ -15,9 +15,11 @@ any length is encoded whole.
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -38,16 +40,26 @@ PIECES = "id long, piece int, start long, length long, ids_crc32 long, bin long,
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str | None = None) -> tiktoken.Encoding:
-    """The byte-level BPE of 50,257 ids, special-token strings read as ordinary text.
+def added_tokens(path: str | None = None) -> dict[str, int]:
+    """The added tokens of the JSON file beside the rank file."""
+    import public_tokenizers
+
+    with open(Path(path).with_suffix(".json") if path else public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        return {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str | None = None, added: bool = False) -> tiktoken.Encoding:
+    """The byte-level BPE of 50,257 ids. ``encode_ordinary`` reads added tokens' strings as ordinary text.
 
-    The rank file is the vocabulary of byte_bpe_50k.json; a test holds the ids against that file's own library.
+    With ``added``, ``encode`` gives the added tokens of byte_bpe_50k.json their ids, as that file's own library does.
+    The rank file is the vocabulary of byte_bpe_50k.json; tests hold the ids of both ways against that library.
     """
     import public_tokenizers
 
     with open(path or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added_tokens(path) if added else {})
 
 
 def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -83,11 +95,12 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first), *((at, capacity) for at in range(first, n, capacity))]
 
 
-def packed_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID, tokenizer: str | None = None) -> DataFrame:
+def packed_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID, tokenizer: str | None = None, added: bool = False) -> DataFrame:
     """Tokenise, cut and pack within each input partition. One row per piece, with its local bin, offset and the bin's load."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(tokenizer).encode_ordinary
+        known = encoder(tokenizer, added)
+        encode = partial(known.encode, allowed_special="all") if added else known.encode_ordinary
         base, made, held = TaskContext.get().partitionId() << 36, 0, []
 
         def flush() -> pd.DataFrame:
@@ -152,16 +165,16 @@ def merge_bins(bins: DataFrame, capacity: int, group_items: int = GROUP_ITEMS) -
     return placed
 
 
-def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID, tokenizer: str | None = None, group_items: int = GROUP_ITEMS) -> DataFrame:
-    """One row per piece: id, piece, start, length, ids_crc32, sequence_id, offset."""
-    pieces = checkpoint(packed_pieces(docs, id_col, text_col, capacity, end_id, tokenizer))
+def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID, tokenizer: str | None = None, group_items: int = GROUP_ITEMS, added: bool = False) -> DataFrame:
+    """One row per piece: id, piece, start, length, ids_crc32, sequence_id, offset. ``added``: strings of added tokens get their own ids."""
+    pieces = checkpoint(packed_pieces(docs, id_col, text_col, capacity, end_id, tokenizer, added))
     placed = merge_bins(pieces.filter("offset = 0").select("bin", "load"), capacity, group_items)
     joined = pieces.join(placed, "bin", "left")
     return joined.select("id", "piece", "start", "length", "ids_crc32", F.coalesce("sequence", "bin").alias("sequence_id"), (F.col("offset") + F.coalesce("shift", F.lit(0))).alias("offset"))
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    return pack_documents(table(spark, sf_dir, "documents"), added=True).withColumnRenamed("id", "doc_id")
 
 
 QUERIES = {"op4_best_fit_packing": op4_best_fit_packing}

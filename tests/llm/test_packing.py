@@ -64,3 +64,14 @@ def test_empty_table(spark):
 def test_best_fit_prefers_tightest():
     bins, offsets, loads = packing.best_fit(np.array([6, 5, 4, 3, 2]), 10)
     assert loads.tolist() == [10, 10] and sorted(loads[bins].tolist()) == [10] * 5 and offsets[0] == 0
+
+
+def test_added_tokens_have_their_ids(spark, tmp_path):
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [(1, "end <|endoftext|> start"), (2, "<|endoftext|><|endoftext|>"), (3, "<|endoftext| > no"), (4, "x " * 3000 + "<|endoftext|>\n y"), (5, None)]
+    assert 50256 in plain.encode(texts[0][1], add_special_tokens=False).ids
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    check(packing.pack_documents(df, added=True).collect(), texts, plain, 2048)
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = [r.asDict() for r in packing.op4_best_fit_packing(spark, str(tmp_path)).withColumnRenamed("doc_id", "id").collect()]
+    check(rows, texts, plain, 2048)
