@@ -7,7 +7,8 @@ punctuation (the first digit stays), octets stay octets, an e-mail stays one, a
 of words, script (Latin, Cyrillic, Greek) and the gender of the title; capital mentions stay capital.
 
 Collision checks run over the different entities of the whole table: where two would get one surrogate, or a
-surrogate would equal a real entity, all but one try the next hash, until none collide. Only entities past
+surrogate would equal a real entity, all but one try the next hash, until none collide. Later tries draw the
+first digit too and then lengthen the surrogate, so that a short form that is used up ends as well. Only entities past
 their first try need more than their own row to be replaced: without any, texts are rewritten where they are
 read and never shuffled; with some, the documents that hold them learn the number of the try by a join.
 
@@ -56,6 +57,10 @@ NAME = rf"(?<!\p{{L}})(?:{_TITLES})\.?\x20\p{{Lu}}[\p{{L}}'-]+(?:\x20\p{{Lu}}[\p
 #: In the order in which they are tried at a place; a mention's kind is the first that it matches as a whole.
 KINDS = (("email", EMAIL), ("ip", IP), ("ssn", SSN), ("iban", IBAN), ("card", CARD), ("phone", PHONE), ("name", NAME))
 ANY = "|".join(f"(?:{p})" for _, p in KINDS)
+#: From these tries on the first digit is drawn too, and each try is a digit longer than the last (names: once, by six syllables).
+DRAW_ALL = 3
+LENGTHEN = 5
+
 #: What every mention holds, cheap to look for.
 HINT = rf"[0-9@]|(?:{_TITLES})"
 
@@ -122,6 +127,8 @@ def _person(x: Column) -> Column:
     for script, syllables in SYLLABLES.items():
         six = [F.element_at(F.array(*map(F.lit, syllables)), _number(h, 2 + k, 1) + 1) for k in range(6)]
         made = F.when(part[2] == "3", F.concat(*six[:3], F.lit(" "), *six[3:])).otherwise(F.concat(*six))
+        tail = F.concat(*(F.element_at(F.array(*map(F.lit, syllables)), _number(h, 8 + k, 1) + 1) for k in range(6)))
+        made = F.when(x["attempt"] < LENGTHEN, made).otherwise(F.concat(made, tail))
         surname = F.when(part[1] == script, made).otherwise(surname)
     words = F.when(part[2] == "1", surname).otherwise(F.concat_ws(" ", given, surname))
     return F.concat_ws("|", part[0], part[1], part[2], F.lower(words))
@@ -129,9 +136,11 @@ def _person(x: Column) -> Column:
 
 def _new_form(x: Column) -> Column:
     h, form = x["h"], x["form"]
-    # All but the first digit are drawn; signs and letters before it (a plus, a country) stay.
-    head = F.regexp_extract(form, r"^([^0-9]*[0-9])", 1)
-    drawn = F.concat(head, F.substring(F.translate(h, "abcdef", "012345"), F.lit(1), F.length(form) - F.length(head)))
+    # All but the first digit are drawn; signs and letters before it (a plus, a country) stay. Late tries have more values.
+    late = x["attempt"].cast("int")
+    head = F.when(late < DRAW_ALL, F.regexp_extract(form, r"^([^0-9]*[0-9])", 1)).otherwise(F.regexp_extract(form, r"^([^0-9]*)", 1))
+    more = F.greatest(F.lit(0), late - LENGTHEN + 1)
+    drawn = F.concat(head, F.substring(F.translate(h, "abcdef", "012345"), F.lit(1), F.length(form) - F.length(head) + more))
     octets = F.concat_ws(".", *((_number(h, 1 + 4 * k, 4) % 254 + 1).cast("string") for k in range(4)))
     email = F.concat(_letters(h, 1, 10), F.lit("@"), _letters(h, 11, 8), F.lit(".example"))
     return F.when(x["kind"] == "email", email).when(x["kind"] == "ip", octets).when(x["kind"] == "name", _person(x)).otherwise(drawn)
@@ -159,6 +168,7 @@ def _worded(x: Column) -> Column:
         "",
     )
     cased = F.when(m == F.upper(m), F.upper(new)).otherwise(new)
+    spelt = F.concat(spelt, F.substring(new, F.length(F.regexp_replace(m, sign, "")) + 1, F.length(new)))
     return F.when(x["kind"] == "name", named).when(x["kind"] == "email", cased).when(x["kind"] == "ip", new).otherwise(spelt)
 
 

@@ -72,3 +72,12 @@ def test_query(spark):
         ips = re.findall(r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d])", was[r["doc_id"]])
         assert (r["n_phone"], r["n_card"], r["n_ip"], r["n_name"]) == (len(phones), len(cards), len(ips), 0)
         assert not any(x in r["text"] for x in phones + cards + ips)
+
+
+def test_short_forms_that_are_used_up(spark):
+    # All of +10000 to +19999 are real, so no surrogate of that form is left.
+    numbers = [f"+{k}" for k in range(10_000, 20_000)]
+    got = run(spark, [(k, "\n".join(numbers[k::20])) for k in range(20)])
+    new = [x for _, t, _ in got for x in t.split("\n")]
+    assert len(set(new)) == len(new) == 10_000 and not set(new) & set(numbers)
+    assert all(re.fullmatch(r"\+\d{5,}", x) for x in new)
