@@ -17,7 +17,7 @@ def _quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return exact_dedup.drop_duplicates(docs)
+    return exact_dedup.keep_one(docs)
 
 
 def _near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -61,6 +61,21 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return docs.join(kept, docs[id_col].eqNullSafe(kept["_kept_id"]) & (digest == kept["_kept_digest"]), "left_semi")
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS) -> DataFrame:
+    """The rows of ``docs``, all columns, that stay: one row of each group of equal texts, also where its row is repeated or has no id."""
+    norm = ascii_lower(text_of(text_col))
+    digest = F.unhex(F.sha2(norm, 256))
+    counts = duplicate_groups(docs, id_col, text_col, salts).filter("kept").groupBy(F.col("id").alias("_kept_id"), F.col("digest").alias("_kept_digest")).agg(F.count(F.lit(1)).alias("_n"))
+    kept = checkpoint(counts)
+    same = docs[id_col].eqNullSafe(F.col("_kept_id")) & (digest == F.col("_kept_digest"))
+    once = docs.join(kept.filter("_n = 1"), same, "left_semi")
+    if kept.filter("_n > 1").isEmpty():
+        return once
+    # Only repeated rows take this path; each input partition merges its own before the shuffle.
+    more = docs.join(kept.filter("_n > 1"), same, "left_semi").withColumn("_norm", norm)
+    return once.unionByName(more.dropDuplicates([id_col, "_norm"]).drop("_norm"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = duplicate_groups(table(spark, sf_dir, "documents"))
     return groups.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))

@@ -47,3 +47,13 @@ def test_drop_keeps_columns_and_winners(spark):
     assert kept.columns == df.columns
     want = sorted(str((i, t)) for (i, t), (k) in zip(ROWS, ({(x[0], x[4]): x[3] for x in brute(ROWS)}[i, hashlib.sha256((t or "").translate(UP).encode()).hexdigest()] for i, t in ROWS), strict=True) if k)
     assert sorted(str((r["doc_id"], r["text"])) for r in kept.collect()) == want
+
+
+def test_keep_one_leaves_one_row_of_each_group(spark):
+    rows = [(1, "a"), (1, "A"), (1, "a"), (2, "b"), (2, "b"), (3, "B"), (3, "b"), (None, "c"), (None, "C"), (4, None), (5, ""), (6, "alone"), (7, "d"), (None, "d")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = exact_dedup.keep_one(df)
+    assert out.columns == df.columns
+    got = [(r["doc_id"], (r["text"] or "").lower()) for r in out.collect()]
+    assert sorted(got, key=str) == sorted([(1, "a"), (3, "b"), (None, "c"), (5, ""), (6, "alone"), (7, "d")], key=str)
+    assert exact_dedup.keep_one(df.limit(0)).count() == 0
