@@ -1,6 +1,12 @@
-"""Operator 5, line dedup over content-defined chunks of lines.
+"""Operator 5, line dedup.
 
-Lines are hashed; a rolling hash over the last ``window`` line hashes ends a chunk where its value falls in
+The query removes runs (``drop_repeated_runs``): every line of a run of two lines or more that occurred before in the
+table, wherever it stands, except for its first occurrence. A run is the pairs of neighbouring lines that it is made of.
+A pair is known by 128 bits of BLAKE2b over the bytes of its lines; a pair of white space only is never removed by
+itself, and where equal lines follow each other the lines of the first pair stay. Only keys and places travel for the
+comparison; texts travel once, to meet the list of their repeated pairs.
+
+Content-defined chunks (``drop_repeated_lines``) are the coarser way. Lines are hashed; a rolling hash over the last ``window`` line hashes ends a chunk where its value falls in
 one class of ``divisor``. Boundaries depend on nearby lines only, so a passage that is copied into another
 document is cut alike there, wherever it stands. Chunks of at least two lines that occur more than once in
 the table, compared byte by byte, are removed except for their first occurrence (smallest document id, then
@@ -16,6 +22,7 @@ occurrences; a chunk of white space only is never removed; an empty table gives
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -111,8 +118,62 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return done.select(*(F.col("_new.text").alias(c) if c == text_col else F.col(c) for c in docs.columns), F.col("_new.lines").alias("lines"), F.col("_new.removed").alias("removed"))
 
 
+def line_pairs(docs: DataFrame) -> DataFrame:
+    """``docs``: id, mark, text. One row per pair of neighbouring lines that is not blank: id, mark, pair, key (16 bytes)."""
+
+    @F.pandas_udf("array<struct<pair:int,key:binary>>")
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            out = []
+            for text in batch:
+                lines = text.split("\n")
+                both = ((k, f"{a}\n{b}") for k, (a, b) in enumerate(zip(lines, lines[1:], strict=False)))
+                out.append([{"pair": k, "key": hashlib.blake2b(x.encode(), digest_size=16).digest()} for k, x in both if x.strip()])
+            yield pd.Series(out, dtype=object)
+
+    return docs.select("id", "mark", F.inline(of("text")))
+
+
+def repeated_pairs(docs: DataFrame) -> DataFrame:
+    """id, mark, drop: twice the number of each pair that occurred before, and one more if it did so one line earlier in the same text."""
+    rows = line_pairs(docs)
+    # Repeated rows share their places and so count once.
+    place = F.struct(F.col("id").isNull().alias("last"), "id", "mark", "pair")
+    repeated = checkpoint(rows.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("other")).filter("first <> other").select("key", "first"))
+    found = rows.join(repeated, "key")
+    same = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("mark") == F.col("first.mark"))
+    later = found.filter(~(same & (F.col("pair") == F.col("first.pair"))))
+    return later.groupBy("id", "mark").agg(F.collect_set(F.col("pair") * 2 + (same & (F.col("pair") == F.col("first.pair") + 1)).cast("int")).alias("drop"))
+
+
+def drop_repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with later occurrences of runs of two lines or more removed from the text, and lines, removed added at the end."""
+    mark = F.xxhash64(F.col(text_col))
+    gone = repeated_pairs(docs.select(F.col(id_col).alias("id"), mark.alias("mark"), F.col(text_col).alias("text")).filter(F.col("text").isNotNull()))
+    gone = gone.select(F.col("id").alias("_id"), F.col("mark").alias("_mark"), F.col("drop").alias("_drop"))
+
+    @F.pandas_udf("text string, lines long, removed long")
+    def rebuilt(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for texts, drops in batches:
+            out = []
+            for text, drop in zip(texts, drops, strict=True):
+                if text is None:
+                    out.append((None, 0, 0))
+                    continue
+                lines, away = text.split("\n"), set()
+                for k, overlaps in () if drop is None else (divmod(x, 2) for x in drop.tolist()):
+                    away |= {k + 1} if overlaps else {k, k + 1}
+                kept = [x for k, x in enumerate(lines) if k not in away] if away else lines
+                out.append(("\n".join(kept), len(lines), len(lines) - len(kept)))
+            yield pd.DataFrame(out, columns=["text", "lines", "removed"])
+
+    joined = docs.join(gone, F.col(id_col).eqNullSafe(F.col("_id")) & (mark == F.col("_mark")), "left")
+    done = joined.withColumn("_new", rebuilt(F.col(text_col), F.col("_drop")))
+    return done.select(*(F.col("_new.text").alias(c) if c == text_col else F.col(c) for c in docs.columns), F.col("_new.lines").alias("lines"), F.col("_new.removed").alias("removed"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    done = drop_repeated_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return done.select("doc_id", F.col("lines").alias("n_lines"), F.col("removed").alias("n_removed"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 

@@ -84,3 +84,47 @@ def test_clashing_keys_are_told_apart_by_bytes(spark, monkeypatch):
     rows = corpus(random.Random(10))[:30]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(brute(rows)) == sorted((r["doc_id"], r["text"]) for r in line_dedup.drop_repeated_lines(df).collect())
+
+
+def brute_runs(rows):
+    """Later occurrences of pairs of neighbouring lines; ids are in order and each but the last once."""
+    first, out = {}, []
+    for i, t in rows:
+        lines = t.split("\n")
+        away = set()
+        for k, pair in enumerate(zip(lines, lines[1:], strict=False)):
+            if not "".join(pair).strip():
+                continue
+            at = first.setdefault(pair, (i, k))
+            if at != (i, k):
+                away |= {k + 1} if at == (i, k - 1) else {k, k + 1}
+        out.append((i, "\n".join(x for k, x in enumerate(lines) if k not in away), len(lines), len(away)))
+    return out
+
+
+def test_whole_runs_are_removed(spark):
+    rng = random.Random(12)
+    passages = [[f"passage {p} line {k} {rng.random()}" for k in range(n)] for p, n in enumerate([*range(2, 11)] * 3)]
+    rows = []
+    for p in passages * 3:
+        own = [[f"own {rng.random()}" for _ in range(rng.randint(1, 3))] for _ in range(2)]
+        rows.append((len(rows), "\n".join(own[0] + p + own[1])))
+    df = spark.createDataFrame([(i, t, 7) for i, t in rows], "doc_id long, text string, pair int")
+    out = line_dedup.drop_repeated_runs(df)
+    assert out.columns == [*df.columns, "lines", "removed"]
+    got = {r["doc_id"]: r["removed"] for r in out.collect()}
+    assert got == {i: len(p) if i >= len(passages) else 0 for i, p in enumerate(passages * 3)}
+    rows = corpus(random.Random(13))
+    rows += [(503, "\n" * 50), (504, "\n" * 50), (505, "x y\n" * 3000), (506, "a\nb\na\nb\na"), (507, "")]
+    df = spark.createDataFrame([*rows, rows[7]], "doc_id long, text string")
+    want = brute_runs(rows)
+    assert sorted(map(tuple, line_dedup.drop_repeated_runs(df).collect())) == sorted([*want, want[7]])
+    odd = spark.createDataFrame([(None, "p\nq"), (1, "p\nq"), (2, None)], "doc_id long, text string")
+    assert {tuple(r) for r in line_dedup.drop_repeated_runs(odd).collect()} == {(None, "", 2, 2), (1, "p\nq", 2, 0), (2, None, 0, 0)}
+    assert line_dedup.drop_repeated_runs(df.limit(0)).count() == 0
+
+
+def test_query_removes_runs(spark, tmp_path):
+    rows = [(1, "a one\nb two"), (2, "c\na one\nb two\nd")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r["doc_id"]: r["n_removed"] for r in line_dedup.op5_line_dedup(spark, str(tmp_path)).collect()} == {1: 0, 2: 2}
