@@ -30,8 +30,9 @@ from noticelake.llm.simhash import _LOWER
 WIDTH = 5
 SIMILARITY = 0.8
 LARGE = 64
-SAMPLE = 8000
-_BUCKETS = 1 << 20
+SAMPLE = 2000
+FEW = 200_000
+_BUCKETS = 1 << 17
 _EPS = 1e-9
 
 
@@ -83,7 +84,11 @@ def _near(pairs: DataFrame, texts: DataFrame, width: int, similarity: float) ->
                 out.append(len(x & y) >= similarity * len(x | y) - _EPS)
             yield pd.Series(out, dtype=bool)
 
-    one, two = (texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}")) for c in ("a", "b"))
+    # Few texts have a candidate; only they are shuffled. Their keys are broadcast while they are few.
+    pairs = checkpoint(pairs)
+    needed = checkpoint(pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "node"))
+    held = texts.join(F.broadcast(needed) if needed.count() <= FEW else needed, "node", "left_semi")
+    one, two = (held.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}")) for c in ("a", "b"))
     return checkpoint(pairs.join(one, "a").join(two, "b").filter(similar("text_a", "text_b")).select("a", "b"))
 
 
@@ -103,14 +108,17 @@ def near_links(texts: DataFrame, width: int = WIDTH, similarity: float = SIMILAR
                 tokens.append(h[order[: len(h) - int(np.ceil(similarity * len(h) - _EPS)) + 1]].view(np.int64))
             yield pd.DataFrame({"size": np.array(sizes, np.int32), "tokens": pd.Series(tokens, dtype=object)})
 
-    dealt = checkpoint(texts.select("node", first_tokens("text").alias("p")).select("node", "p.size", F.posexplode("p.tokens").alias("pos", "token")))
-    common = dealt.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("hub")).filter("n > 1")
+    # Worked out twice: kept, these rows would take more disk than the texts.
+    dealt = texts.select("node", first_tokens("text").alias("p")).select("node", "p.size", F.posexplode("p.tokens").alias("pos", "token"))
+    common = checkpoint(dealt.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    common = F.broadcast(common) if common.count() <= FEW else common
     shared = checkpoint(dealt.join(common, "token"))
     few = shared.filter(F.col("n") <= large)
     pairs = few.alias("x").join(few.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.node") < F.col("y.node")) & _may("x", "y", similarity))
     pairs = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
     many = shared.filter(F.col("n") > large)
-    pairs = pairs.union(many.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")))
+    hubs = many.groupBy("token").agg(F.min("node").alias("hub"))
+    pairs = pairs.union(many.join(hubs, "token").filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")))
     links = _near(pairs.distinct(), texts, width, similarity)
     if many.isEmpty():
         return links
@@ -127,7 +135,9 @@ def near_links(texts: DataFrame, width: int = WIDTH, similarity: float = SIMILAR
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, similarity: float = SIMILARITY, large: int = LARGE) -> DataFrame:
     """The rows of ``docs``, all columns, that stay: of each component of near copies the one with the smallest id."""
     node = F.xxhash64(F.col(id_col).isNull(), F.col(id_col), text_of(text_col))
-    texts = docs.select(node.alias("node"), text_of(text_col).alias("text")).dropDuplicates(["node"])
+    texts = docs.select(node.alias("node"), text_of(text_col).alias("text"))
+    if not texts.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+        texts = texts.dropDuplicates(["node"])
     found = components(near_links(texts, width, similarity, large))
     ids = docs.select(node.alias("node"), F.col(id_col).alias("id"))
     first = F.struct(F.col("id").isNull(), "id", "node")
