@@ -1,20 +1,22 @@
 """Operator 10, exact dedup by skew-safe combining (DataFrame functions only).
 
-Texts are equal when identical after lower-casing A-Z. The rows pass three merges, each of which
-groups by the digest *and* the full normalised text, so equal digests never stand in for equal texts:
+Texts are equal when identical after lower-casing A-Z. Digests are counted first; a text whose digest no other row
+has needs no comparison and never travels. The rows of repeated digests pass three merges, each of which groups by
+the digest *and* the full normalised text, so equal digests never stand in for equal texts:
 
-1. inside each input partition (the partial aggregate, before any shuffle),
-2. per (digest, salt), where the salt comes from the document id, so a text that holds a third of
-   all rows is spread over ``salts`` tasks and arrives there as one row per input partition,
+1. inside each input partition, before any shuffle: all copies that a partition holds become one row,
+2. per (digest, salt), where the salt comes from the number of the partition, so a text that holds a third of all
+   rows arrives at ``salts`` tasks, as one row per input partition,
 3. per digest, over at most ``salts`` winners of a text.
 
 What leaves the third merge carries no text, only digest, winner, size and the number of different
 texts seen under the digest. Documents then find their winner by digest. Should a digest ever cover
 two texts, its documents take a second path that joins on the text itself.
 
-Defined cases: a null text counts as empty and empty texts form one group; null ids lose against any
-id and a group with null ids only keeps them all; rows that repeat the winner's id and text are all
-``kept``; an empty table gives an empty result; other columns of the input are never read.
+Defined cases: a null text counts as empty and empty texts form one group; null ids lose against any id and in a
+group with null ids only all are ``kept``, as are rows that repeat the winner's id and text (``drop_duplicates``
+leaves one row of these too, whichever); an empty table gives an empty result; other columns are never read, and
+``drop_duplicates`` keeps them, whatever their names. Ids may be of any type that can be ordered.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticelake.llm.common import LOWER, UPPER, ascii_lower, checkpoint, table, text_of
+from noticelake.llm.common import LOWER, UPPER, ascii_lower, broadcast_if_few, checkpoint, table, text_of
 
 SALTS = 16
 
@@ -34,8 +36,9 @@ def _normalised(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _merge(rows: DataFrame, salts: int) -> DataFrame:
     """One row per different text: digest, norm, keep_id, group_size."""
-    salt = F.pmod(F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit(""))), F.lit(salts))
-    salted = rows.groupBy("digest", salt.alias("salt"), "norm").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    # Rows of one partition share their salt, so the partial aggregate makes one row of all copies there.
+    salted = rows.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+    salted = salted.groupBy("digest", "salt", "norm").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     # Repartitioning by digest alone serves the merge per text, and the count of texts per digest after it.
     return salted.repartition("digest").groupBy("digest", "norm").agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
 
@@ -43,11 +46,15 @@ def _merge(rows: DataFrame, salts: int) -> DataFrame:
 def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS) -> DataFrame:
     """One row per input row: id, keep_id, group_size, kept, digest (binary SHA-256 of the normalised text)."""
     rows = _normalised(docs, id_col, text_col)
-    texts = _merge(rows, salts)
-    digests = checkpoint(texts.groupBy("digest").agg(F.count(F.lit(1)).alias("texts"), F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size")))
-    clean = digests.filter("texts = 1").drop("texts")
+    keys = checkpoint(rows.select("id", "digest"))
+    repeated = checkpoint(keys.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest"))
+    held = rows.join(broadcast_if_few(repeated), "digest", "left_semi")
+    digests = _merge(held, salts).groupBy("digest").agg(F.count(F.lit(1)).alias("texts"), F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
+    digests = checkpoint(digests)
     clashing = digests.filter("texts > 1").select("digest")
-    out = rows.select("id", "digest").join(clean, "digest")
+    joined = keys.join(broadcast_if_few(digests), "digest", "left")
+    alone = F.col("texts").isNull()
+    out = joined.filter(alone | (F.col("texts") == 1)).select("id", "digest", F.when(alone, F.col("id")).otherwise(F.col("keep_id")).alias("keep_id"), F.when(alone, F.lit(1).cast("long")).otherwise(F.col("group_size")).alias("group_size"))
     if not clashing.isEmpty():
         mixed = rows.join(clashing, "digest", "left_semi")
         out = out.unionByName(mixed.join(_merge(mixed, salts), ["digest", "norm"]).drop("norm"))
@@ -55,25 +62,19 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS) -> DataFrame:
-    """The rows of ``docs``, all columns, that stay: of equal texts the one with the largest id."""
-    kept = duplicate_groups(docs, id_col, text_col, salts).filter("kept").select(F.col("id").alias("_kept_id"), F.col("digest").alias("_kept_digest")).distinct()
-    digest = F.unhex(F.sha2(ascii_lower(text_of(text_col)), 256))
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["_kept_id"]) & (digest == kept["_kept_digest"]), "left_semi")
-
-
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS) -> DataFrame:
-    """The rows of ``docs``, all columns, that stay: one row of each group of equal texts, also where its row is repeated or has no id."""
+    """The rows of ``docs``, all columns, that stay: of each group of equal texts one row, of the largest id."""
+    groups = checkpoint(duplicate_groups(docs, id_col, text_col, salts).filter("group_size > 1").groupBy("id", "digest", "kept").agg(F.count(F.lit(1)).alias("n")))
     norm = ascii_lower(text_of(text_col))
-    digest = F.unhex(F.sha2(norm, 256))
-    counts = duplicate_groups(docs, id_col, text_col, salts).filter("kept").groupBy(F.col("id").alias("_kept_id"), F.col("digest").alias("_kept_digest")).agg(F.count(F.lit(1)).alias("_n"))
-    kept = checkpoint(counts)
-    same = docs[id_col].eqNullSafe(F.col("_kept_id")) & (digest == F.col("_kept_digest"))
-    once = docs.join(kept.filter("_n = 1"), same, "left_semi")
-    if kept.filter("_n > 1").isEmpty():
+    rows = docs.select(F.col(id_col).alias("own_id"), F.unhex(F.sha2(norm, 256)).alias("own_digest"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    same = F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_digest") == F.col("digest"))
+    away = groups.filter("NOT kept OR n > 1").select("id", "digest")
+    once = rows.join(broadcast_if_few(away), same, "left_anti").select("row.*")
+    more = groups.filter("kept AND n > 1").select("id", "digest")
+    if more.isEmpty():
         return once
     # Only repeated rows take this path; each input partition merges its own before the shuffle.
-    more = docs.join(kept.filter("_n > 1"), same, "left_semi").withColumn("_norm", norm)
-    return once.unionByName(more.dropDuplicates([id_col, "_norm"]).drop("_norm"))
+    held = rows.join(broadcast_if_few(more), same, "left_semi").withColumn("own_norm", ascii_lower(text_of(f"row.`{text_col}`")))
+    return once.unionByName(held.dropDuplicates(["own_id", "own_norm"]).select("row.*"))
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

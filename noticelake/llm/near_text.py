@@ -1,16 +1,22 @@
-"""Near copies by their words: the corpus pipeline's stage after exact dedup.
-
-Two texts are near copies if the Jaccard similarity of their sets of five-word shingles is 0.8 or more. All such
-pairs are found. Shingles have one order for the whole table, roughly the rarest first; sets of n that are as similar
-as t share a shingle among the first n - ceil(t n) + 1 of each. Only these travel. Sizes and places bound how much
-two sets can share; what passes is compared by the shingles' bytes. The order comes from counts over a sample of
-texts; it decides the cost and never the result.
-
-A shingle of more than ``large`` texts is first paired with one of them (its hub) only. Members that turn out to be
-in one component need no more pairs among themselves; the rest are paired with all others.
-
-Of each connected component the row with the smallest id stays, one with an id before one without. Words are cut and
-lower-cased as in operator 2; shorter texts are one shingle; texts without words are equal.
+"""Near copies by their words: operator 2 completed by an exact join, the corpus pipeline's stage after exact dedup.
+
+Two texts are near copies if the Jaccard similarity of their sets of five-word shingles is 0.8 or more. At that
+similarity 64-bit fingerprints differ in about ten bits, so links of three bits, all that an index can search, find
+only the closest copies. They come first: fingerprints over five words, the Gray-order index, and each candidate
+checked against its shingles. An exact join then finds all other pairs, and skips what is joined already.
+
+The join. Shingles have one order for the whole table, roughly the rarest first; sets of n that are as similar as t
+share a shingle among the first n - ceil(t n) + 1 of each. Only these travel. Sizes and places bound how much two
+sets can share, and so do marks: every shingle of a set flips one of 256 bits, so sets differ in at least as many
+shingles as their marks do in bits. What passes is compared by the shingles' bytes. The order comes from counts over all texts, by class
+of hash; it decides the cost and never the result. Texts that share a shingle are first paired with one of them (its
+hub) only. Those that turn out to be in one component need no more pairs among themselves; the rest are paired with
+all others that the bounds allow.
+
+Of each connected component the row with the smallest id stays, one with an id before one without; of repeated rows
+(same id and text) one stays. Words are cut and lower-cased as in operator 2; shorter texts are one shingle; texts
+without words are equal. Null text is empty; an empty table gives an empty result; all columns are kept, whatever
+their names; ids may be of any type that can be ordered.
 """
 
 from __future__ import annotations
@@ -19,57 +25,63 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from noticelake.llm.common import checkpoint, text_of
+from noticelake.llm import simhash
+from noticelake.llm.common import broadcast_if_few, checkpoint, text_of
 from noticelake.llm.components import components
-from noticelake.llm.simhash import _LOWER
 
 WIDTH = 5
 SIMILARITY = 0.8
-LARGE = 64
-SAMPLE = 2000
-FEW = 200_000
 _BUCKETS = 1 << 17
+_MARKS = 4
 _EPS = 1e-9
 
 
 def shingles(text: str, width: int = WIDTH) -> set[bytes]:
-    words = text.encode().translate(_LOWER).split()
+    words = text.encode().translate(simhash._LOWER).split()
     width = min(width, len(words))
     return {b" ".join(words[i : i + width]) for i in range(len(words) - width + 1)} if words else {b""}
 
 
 def _hashes(text: str, width: int) -> np.ndarray:
-    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, shingles(text, width)), np.uint64))
+    """The different hashes of a text's shingles; a text without words has one, as if its shingle were empty."""
+    return np.unique(np.concatenate(list(simhash.shingle_hashes(text, width, 0)) or [np.zeros(1, np.uint64)]))
+
+
+def _marks(h: np.ndarray) -> np.ndarray:
+    """_MARKS words of 64 bits; a bit is set if an odd number of the hashes fall on it."""
+    odd = np.bincount((h >> np.uint64(40)).astype(np.int64) % (64 * _MARKS), minlength=64 * _MARKS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
 def _counts(texts: DataFrame, width: int) -> np.ndarray:
-    """How often shingles fall into each class of their hash, over about SAMPLE texts."""
+    """In how many texts shingles fall into each class of their hash. The classes are of a fixed number."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(_BUCKETS, np.int64)
         for batch in batches:
             for t in batch["text"]:
-                np.add.at(total, (_hashes(t, width) % np.uint64(_BUCKETS)).astype(np.int64), 1)
+                total += np.bincount((_hashes(t, width) % np.uint64(_BUCKETS)).astype(np.int64), minlength=_BUCKETS)
         at = np.flatnonzero(total)
         yield pd.DataFrame({"bucket": at, "n": total[at]})
 
-    every = max(1, texts.count() // SAMPLE)
-    rows = texts.filter(F.pmod(F.xxhash64("node"), F.lit(every)) == 0).select("text").coalesce(8).mapInPandas(count, "bucket long, n long")
-    found = rows.groupBy("bucket").agg(F.sum("n").cast("int").alias("n")).select(F.col("bucket").cast("int").alias("bucket"), "n").toPandas()
+    rows = texts.select("text").mapInPandas(count, "bucket long, n long")
+    found = rows.groupBy("bucket").agg(F.sum("n").alias("n")).select(F.col("bucket").cast("int").alias("bucket"), F.least("n", F.lit(2**31 - 1)).cast("int").alias("n")).toPandas()
     out = np.zeros(_BUCKETS, np.int32)
     out[found["bucket"].to_numpy()] = found["n"].to_numpy()
     return out
 
 
-def _may(a: str, b: str, similarity: float) -> Column:
-    """Whether two sets can be as similar, by their sizes and the places of their first shared shingle."""
+def _may(a: str, b: str, similarity: float, before: bool) -> Column:
+    """Whether two sets can be as similar, by sizes, marks and the places of a shared shingle: their first one, or with ``before`` any."""
     size, other = F.col(f"{a}.size"), F.col(f"{b}.size")
     needed = similarity / (1 + similarity) * (size + other) - _EPS
-    return (F.least(size - F.col(f"{a}.pos"), other - F.col(f"{b}.pos")) >= needed) & (F.least(size, other) >= similarity * F.greatest(size, other) - _EPS)
+    at, there = F.col(f"{a}.pos"), F.col(f"{b}.pos")
+    most = F.least(size - at, other - there) + (F.least(at, there) if before else F.lit(0))
+    apart = sum((F.bit_count(F.col(f"{a}.marks.m{k}").bitwiseXOR(F.col(f"{b}.marks.m{k}"))) for k in range(_MARKS)), F.lit(0))
+    return (most >= needed) & (F.least(size, other) >= similarity * F.greatest(size, other) - _EPS) & (size + other - apart >= 2 * needed)
 
 
 def _near(pairs: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
@@ -87,60 +99,73 @@ def _near(pairs: DataFrame, texts: DataFrame, width: int, similarity: float) ->
     # Few texts have a candidate; only they are shuffled. Their keys are broadcast while they are few.
     pairs = checkpoint(pairs)
     needed = checkpoint(pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "node"))
-    held = texts.join(F.broadcast(needed) if needed.count() <= FEW else needed, "node", "left_semi")
+    held = texts.join(broadcast_if_few(needed), "node", "left_semi")
     one, two = (held.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}")) for c in ("a", "b"))
     return checkpoint(pairs.join(one, "a").join(two, "b").filter(similar("text_a", "text_b")).select("a", "b"))
 
 
-def near_links(texts: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY, large: int = LARGE) -> DataFrame:
+def _by_fingerprint(texts: DataFrame, width: int) -> DataFrame:
+    """Candidate pairs a, b: each text with the smallest node of its component over fingerprints within three bits."""
+    prints = checkpoint(simhash.fingerprints(texts, "node", "text", width))
+    classes = checkpoint(prints.groupBy("fp").agg(F.min("id").alias("rep")))
+    found = components(simhash.near_links(classes))
+    named = classes.join(found, classes["rep"] == found["node"], "left").select("fp", F.coalesce("component", "rep").alias("a"))
+    return prints.join(named, "fp").filter("id <> a").select("a", F.col("id").alias("b"))
+
+
+def _placed(shared: DataFrame, links: DataFrame) -> DataFrame:
+    """Shared shingles with the component of their text."""
+    return checkpoint(shared.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node")))
+
+
+def near_links(texts: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY) -> DataFrame:
     """``texts``: node (long, each once), text. Returns links a, b that join all pairs of near copies."""
+    close = _near(_by_fingerprint(texts, width), texts, width, similarity)
     counts = texts.sparkSession.sparkContext.broadcast(_counts(texts, width))
 
-    @F.pandas_udf("struct<size:int,tokens:array<long>>")
+    names = [f"m{k}" for k in range(_MARKS)]
+
+    @F.pandas_udf(f"struct<size:int,tokens:array<long>,{','.join(f'{m}:long' for m in names)}>")
     def first_tokens(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         often = counts.value
         for batch in batches:
-            sizes, tokens = [], []
+            sizes, tokens, marks = [], [], []
             for t in batch:
                 h = _hashes(t, width)
                 order = np.argsort(often[(h % np.uint64(_BUCKETS)).astype(np.int64)], kind="stable")
                 sizes.append(len(h))
                 tokens.append(h[order[: len(h) - int(np.ceil(similarity * len(h) - _EPS)) + 1]].view(np.int64))
-            yield pd.DataFrame({"size": np.array(sizes, np.int32), "tokens": pd.Series(tokens, dtype=object)})
+                marks.append(_marks(h))
+            yield pd.DataFrame({"size": np.array(sizes, np.int32), "tokens": pd.Series(tokens, dtype=object), **dict(zip(names, np.array(marks).T, strict=True))})
 
     # Worked out twice: kept, these rows would take more disk than the texts.
-    dealt = texts.select("node", first_tokens("text").alias("p")).select("node", "p.size", F.posexplode("p.tokens").alias("pos", "token"))
-    common = checkpoint(dealt.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
-    common = F.broadcast(common) if common.count() <= FEW else common
-    shared = checkpoint(dealt.join(common, "token"))
-    few = shared.filter(F.col("n") <= large)
-    pairs = few.alias("x").join(few.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.node") < F.col("y.node")) & _may("x", "y", similarity))
-    pairs = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    many = shared.filter(F.col("n") > large)
-    hubs = many.groupBy("token").agg(F.min("node").alias("hub"))
-    pairs = pairs.union(many.join(hubs, "token").filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")))
-    links = _near(pairs.distinct(), texts, width, similarity)
-    if many.isEmpty():
-        return links
-    known = components(links)
-    placed = checkpoint(many.join(known, "node", "left").select("token", "node", "size", "pos", F.coalesce("component", "node").alias("component")))
+    dealt = texts.select("node", first_tokens("text").alias("p")).select("node", "p.size", F.struct(*(f"p.{m}" for m in names)).alias("marks"), F.posexplode("p.tokens").alias("pos", "token"))
+    common = checkpoint(dealt.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("token"))
+    shared = checkpoint(dealt.join(broadcast_if_few(common), "token"))
+    placed = _placed(shared, close)
+    # The hub is of the component with the smallest number, so that the shingles of near copies tend to share it.
+    hubs = placed.groupBy("token").agg(F.min(F.struct("component", "node", "size", "pos", "marks")).alias("h")).select("token", "h.*")
+    to_hub = placed.alias("x").join(hubs.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.component") != F.col("y.component")) & _may("x", "y", similarity, before=True))
+    links = close.unionAll(_near(to_hub.select(F.col("y.node").alias("a"), F.col("x.node").alias("b")).distinct(), texts, width, similarity))
+    placed = _placed(shared, links)
     main = placed.groupBy("token", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("token").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1").drop("parts")
     placed = placed.join(main, "token")
     rest = placed.filter("component <> main")
     apart = (F.col("x.component") != F.col("y.component")) & ((F.col("y.component") == F.col("y.main")) | (F.col("x.node") < F.col("y.node")))
-    more = rest.alias("x").join(placed.alias("y"), (F.col("x.token") == F.col("y.token")) & apart & _may("x", "y", similarity))
-    return links.union(_near(more.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct(), texts, width, similarity))
+    more = rest.alias("x").join(placed.alias("y"), (F.col("x.token") == F.col("y.token")) & apart & _may("x", "y", similarity, before=False))
+    more = more.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+    return links.union(_near(more, texts, width, similarity))
 
 
-def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, similarity: float = SIMILARITY, large: int = LARGE) -> DataFrame:
+def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs``, all columns, that stay: of each component of near copies the one with the smallest id."""
     node = F.xxhash64(F.col(id_col).isNull(), F.col(id_col), text_of(text_col))
-    texts = docs.select(node.alias("node"), text_of(text_col).alias("text"))
-    if not texts.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
-        texts = texts.dropDuplicates(["node"])
-    found = components(near_links(texts, width, similarity, large))
-    ids = docs.select(node.alias("node"), F.col(id_col).alias("id"))
+    rows = docs.select(node.alias("node"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    if not rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+        rows = rows.dropDuplicates(["node"])
+    found = components(near_links(rows.select("node", text_of(f"row.`{text_col}`").alias("text")), width, similarity))
+    ids = rows.select("node", F.col(f"row.`{id_col}`").alias("id"))
     first = F.struct(F.col("id").isNull(), "id", "node")
     best = ids.join(found, "node").groupBy("component").agg(F.min(first)["node"].alias("best"))
-    gone = found.join(best, "component").filter("node <> best").select(F.col("node").alias("_gone"))
-    return docs.join(gone, node == F.col("_gone"), "left_anti")
+    gone = found.join(best, "component").filter("node <> best").select("node")
+    return rows.join(gone, "node", "left_anti").select("row.*")

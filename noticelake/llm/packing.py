@@ -4,12 +4,12 @@ Documents are tokenised and cut into pieces in the task that reads them, and pac
 in falling length over the pieces of the partition, so the first round needs no shuffle. A bin is final when
 no other underfull bin could still fit into it, judged exactly against the smallest load that is left. The
 rest, a small part, travel on as items of their bin's load: dealt by hash into groups of bounded size, packed
-best-fit again, with fewer groups each round until one group or no gain is left. Only (bin, load) rows move;
+best-fit again, with fewer groups each round until one group is left or a round merges nothing. Only (bin, load) rows move;
 pieces learn their final sequence by one join at the end.
 
 Defined cases: null text is empty and an empty text is the lone end id; repeated rows are packed each for
 itself; null ids are carried; an empty table gives an empty result; other columns are never read. A text of
-any length is encoded whole.
+any length is encoded whole. Ids are whole numbers; others are refused.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticelake.llm.common import checkpoint, table, text_of
+from noticelake.llm.common import checkpoint, table, text_of, whole_ids
 
 CAPACITY = 2048
 END_ID = 0
@@ -158,7 +158,7 @@ def merge_bins(bins: DataFrame, capacity: int, group_items: int = GROUP_ITEMS) -
         placed = checkpoint(placed)
         rest = step.filter("bin = parent").select("bin", F.col("parent_load").alias("load"))
         left, number = rest.count(), number + 1
-        if groups == 1 or left > 0.999 * count:
+        if groups == 1 or left == count:
             break
     if placed is None:
         return bins.select("bin", F.col("bin").alias("sequence"), F.lit(0).cast("long").alias("shift")).limit(0)
@@ -167,6 +167,7 @@ def merge_bins(bins: DataFrame, capacity: int, group_items: int = GROUP_ITEMS) -
 
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID, tokenizer: str | None = None, group_items: int = GROUP_ITEMS, added: bool = False) -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32, sequence_id, offset. ``added``: strings of added tokens get their own ids."""
+    whole_ids(docs, id_col)
     pieces = checkpoint(packed_pieces(docs, id_col, text_col, capacity, end_id, tokenizer, added))
     placed = merge_bins(pieces.filter("offset = 0").select("bin", "load"), capacity, group_items)
     joined = pieces.join(placed, "bin", "left")

@@ -4,8 +4,9 @@ Fingerprints. A text is lower-cased (A-Z), cut at ASCII white space and shingled
 with XXH64 (seed 42) and a bit is set if more than half the hashes have it. Copies share a fingerprint, so
 everything after works on one row per different fingerprint.
 
-Links. Two fingerprints within three bits agree on at least one of four 16-bit bands, so each is dealt to
-four (band, value) groups. Rows of a task are sorted by group and Gray rank: neighbours in Gray order differ
+Links. Two fingerprints within three bits agree on at least two of five blocks of bits, so each is dealt to
+ten groups by the 25 or 26 bits of two blocks: there are hundreds of millions of groups, which stay small at
+any scale but for fingerprints that are alike. Rows of a task are sorted by group and Gray rank: neighbours in Gray order differ
 in few bits, so blocks of 16 share a long masked bit pattern. These patterns form the nodes of a tree, 16
 children to a node. The tree is joined with itself from the roots: a pair of nodes whose shared patterns
 already differ in more than three bits is dropped with all below it, and so is a pair that lies in one
@@ -20,12 +21,13 @@ Components are formed across groups by distributed star rounds.
 Defined cases: null text is empty; a text without words has fingerprint zero and links like any other;
 shorter texts hash their whole word sequence; rows with a null id get a fingerprint and take the component
 of that fingerprint, but form no component of their own (null); repeated rows each get a row; empty tables
-give empty results; other columns are never read.
+give empty results; other columns are never read. Ids are whole numbers; others are refused.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -33,34 +35,42 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticelake.llm.common import checkpoint, table, text_of
+from noticelake.llm.common import checkpoint, table, text_of, whole_ids
 from noticelake.llm.components import components
 
 MAX_BITS = 3
-BANDS = 4
+#: The first bit and the number of bits of five blocks. Three differing bits leave two of them alike.
+BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 LEAF = 16
 BLOCK = 16_384
 _PIECE = 65_536
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-def fingerprint(text: str, width: int = 3, seed: int = 42) -> int:
-    """The 64-bit SimHash of a whole text, unsigned."""
+def shingle_hashes(text: str, width: int, seed: int) -> Iterator[np.ndarray]:
+    """XXH64 of every word shingle of a whole text, in runs of at most _PIECE; none for a text without words."""
     words = text.encode().translate(_LOWER).split()
     if not words:
-        return 0
+        return
     width = min(width, len(words))
     joined = b" ".join(words)
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(lengths + 1) - 1
     first, last = (ends - lengths)[: len(words) - width + 1], ends[width - 1 :]
-    digest, counts = xxhash.xxh64_intdigest, np.zeros(64, np.int64)
+    digest = xxhash.xxh64_intdigest
     for at in range(0, len(first), _PIECE):
         spans = zip(first[at : at + _PIECE].tolist(), last[at : at + _PIECE].tolist(), strict=True)
-        h = np.fromiter((digest(joined[a:b], seed) for a, b in spans), np.uint64)
+        yield np.fromiter((digest(joined[a:b], seed) for a, b in spans), np.uint64)
+
+
+def fingerprint(text: str, width: int = 3, seed: int = 42) -> int:
+    """The 64-bit SimHash of a whole text, unsigned."""
+    counts, n = np.zeros(64, np.int64), 0
+    for h in shingle_hashes(text, width, seed):
         bits = np.unpackbits(h.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         counts += bits.sum(axis=0, dtype=np.int32)
-    on = counts * 2 > len(first)
+        n += len(h)
+    on = counts * 2 > n
     return int.from_bytes(np.packbits(on, bitorder="little").tobytes(), "little")
 
 
@@ -191,21 +201,28 @@ def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield solve(pd.concat(held))
 
 
+def _keys(fp: Column) -> Column:
+    """array<struct<blocks, value>>: the bits of two of five blocks of a fingerprint, for all ten choices."""
+    block = [F.shiftrightunsigned(fp, at).bitwiseAND((1 << n) - 1) for at, n in BLOCKS]
+    pairs = list(combinations(range(len(BLOCKS)), 2))
+    return F.array(*(F.struct(F.lit(k).alias("blocks"), (F.shiftleft(block[a], BLOCKS[b][1]) + block[b]).alias("value")) for k, (a, b) in enumerate(pairs)))
+
+
 def near_links(classes: DataFrame, block: int = BLOCK) -> DataFrame:
     """``classes``: fp, rep, one row per fingerprint. Returns links a, b between reps that join all within three bits."""
-    bands = [F.struct(F.lit(k).alias("band"), F.shiftrightunsigned("fp", 16 * k).bitwiseAND(0xFFFF).alias("value")) for k in range(BANDS)]
-    dealt = classes.select("fp", "rep", F.inline(F.array(*bands)))
-    hot = dealt.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block)
+    dealt = classes.select("fp", "rep", F.inline(_keys(F.col("fp"))))
+    hot = dealt.groupBy("blocks", "value").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block)
     k = F.coalesce(F.ceil(F.col("n") / block), F.lit(1)).cast("long")
     mine = F.pmod(F.xxhash64("fp"), k)
-    parts = dealt.join(hot, ["band", "value"], "left").select("band", "value", "fp", "rep", mine.alias("mine"), F.explode(F.sequence(F.lit(0).cast("long"), k - 1)).alias("other"))
-    grp = F.xxhash64("band", "value", F.least("mine", "other"), F.greatest("mine", "other"))
+    parts = dealt.join(hot, ["blocks", "value"], "left").select("blocks", "value", "fp", "rep", mine.alias("mine"), F.explode(F.sequence(F.lit(0).cast("long"), k - 1)).alias("other"))
+    grp = F.xxhash64("blocks", "value", F.least("mine", "other"), F.greatest("mine", "other"))
     grouped = parts.select(grp.alias("grp"), "fp", "rep")
     return grouped.repartition("grp").sortWithinPartitions("grp", gray_rank(F.col("fp"))).mapInPandas(_forest, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, block: int = BLOCK) -> DataFrame:
     """One row per input row: id, fp, component_id (smallest id reachable over links of at most three bits)."""
+    whole_ids(docs, id_col)
     prints = checkpoint(fingerprints(docs, id_col, text_col, width).select(F.col("id").cast("long").alias("id"), "fp"))
     classes = checkpoint(prints.groupBy("fp").agg(F.min("id").alias("rep")))
     found = components(near_links(classes.filter("rep IS NOT NULL"), block))
@@ -213,13 +230,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(named, "fp").select("id", "fp", "component_id")
 
 
-def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, whose id is the smallest of its component; rows without id stay."""
-    kept = near_duplicates(docs, id_col, text_col).filter("id = component_id").select(F.col("id").alias("_kept")).distinct()
-    own = docs.join(kept, docs[id_col] == kept["_kept"], "left_semi")
-    return own.unionByName(docs.filter(F.col(id_col).isNull()))
-
-
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

@@ -41,19 +41,34 @@ def test_equal_digests_of_different_texts(spark, monkeypatch):
     assert [x[:4] for x in found(df)] == [x[:4] for x in brute(ROWS)] or sorted(str(x[:4]) for x in found(df)) == sorted(str(x[:4]) for x in brute(ROWS))
 
 
-def test_drop_keeps_columns_and_winners(spark):
-    df = spark.createDataFrame([(i, t, "n") for i, t in ROWS], "doc_id long, text string, digest string")
-    kept = exact_dedup.drop_duplicates(df)
-    assert kept.columns == df.columns
-    want = sorted(str((i, t)) for (i, t), (k) in zip(ROWS, ({(x[0], x[4]): x[3] for x in brute(ROWS)}[i, hashlib.sha256((t or "").translate(UP).encode()).hexdigest()] for i, t in ROWS), strict=True) if k)
-    assert sorted(str((r["doc_id"], r["text"])) for r in kept.collect()) == want
-
-
-def test_keep_one_leaves_one_row_of_each_group(spark):
+def test_drop_leaves_one_row_of_each_group(spark):
     rows = [(1, "a"), (1, "A"), (1, "a"), (2, "b"), (2, "b"), (3, "B"), (3, "b"), (None, "c"), (None, "C"), (4, None), (5, ""), (6, "alone"), (7, "d"), (None, "d")]
-    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    out = exact_dedup.keep_one(df)
+    df = spark.createDataFrame([(i, t, 1, 2, 3, 4) for i, t in rows], "doc_id long, text string, id int, digest int, row int, `a.b` int").repartition(3)
+    out = exact_dedup.drop_duplicates(df)
     assert out.columns == df.columns
     got = [(r["doc_id"], (r["text"] or "").lower()) for r in out.collect()]
     assert sorted(got, key=str) == sorted([(1, "a"), (3, "b"), (None, "c"), (5, ""), (6, "alone"), (7, "d")], key=str)
-    assert exact_dedup.keep_one(df.limit(0)).count() == 0
+    assert exact_dedup.drop_duplicates(df.limit(0)).count() == 0
+
+
+def test_copies_of_a_partition_become_one_row_before_the_shuffle(spark):
+    rows = [(k, "hot " * 30 if k % 3 else f"alone {k}") for k in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4).select("*")
+    merged = exact_dedup._merge(exact_dedup._normalised(df, "doc_id", "text").filter("norm LIKE 'hot%'"), 16)
+    assert [(r["keep_id"], r["group_size"]) for r in merged.collect()] == [(2999, 2000)]
+    plan = merged._jdf.queryExecution().executedPlan()
+    sent = [n for n in _nodes(plan) if n.nodeName() == "Exchange" and "salt" in n.toString()]
+    assert {n.metrics().apply("shuffleRecordsWritten").value() for n in sent} == {4}
+    out = exact_dedup.duplicate_groups(df)
+    assert out.filter("kept").count() == 1001 and out.filter("keep_id = 2999").count() == 2000
+
+
+def _nodes(plan):
+    inner = plan.executedPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan.plan() if "QueryStage" in plan.nodeName() else None
+    below = [inner] if inner is not None else [plan.children().apply(k) for k in range(plan.children().size())]
+    return [plan] + [x for b in below for x in _nodes(b)]
+
+
+def test_text_ids(spark):
+    df = spark.createDataFrame([("b", "x"), ("a", "X"), (None, "x")], "doc_id string, text string")
+    assert sorted((str(r["id"]), r["keep_id"], r["group_size"], r["kept"]) for r in exact_dedup.duplicate_groups(df).collect()) == [("None", "b", 3, False), ("a", "b", 3, False), ("b", "b", 3, True)]

@@ -1,7 +1,5 @@
 import random
 
-import pytest
-
 from noticelake.llm import near_text
 
 
@@ -17,8 +15,7 @@ def brute(rows):
     return sorted(min(rows[j][0] for j in range(len(rows)) if label[j] == k) for k in set(label))
 
 
-@pytest.mark.parametrize("large", [64, 4])
-def test_all_near_copies_are_found(spark, large):
+def test_all_near_copies_are_found(spark):
     rng = random.Random(21)
     word = lambda: f"w{rng.randrange(5000)}"
     rows = [(900, None), (901, ""), (902, " \n"), (903, "a b"), (904, "A  b")]
@@ -31,8 +28,18 @@ def test_all_near_copies_are_found(spark, large):
                 w[rng.randrange(len(w))] = word()
             text = " ".join(w)
             rows.append((len(rows), text.upper() if rng.random() < 0.3 else text + (" " + line if rng.random() < 0.4 else "")))
-    df = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, node string").repartition(5)
-    out = near_text.keep_representatives(df, large=large)
+    df = spark.createDataFrame([(i, t, "x", 1, 2) for i, t in rows], "doc_id long, text string, node string, row int, `a.b` int").repartition(5)
+    out = near_text.keep_representatives(df)
     assert out.columns == df.columns
     assert sorted(r["doc_id"] for r in out.collect()) == brute(rows)
     assert near_text.keep_representatives(df.limit(0)).count() == 0
+
+
+def test_repeated_rows_and_rows_without_id(spark):
+    text = " ".join(f"w{k}" for k in range(60))
+    rows = [(5, text), (5, text), (None, text + " more"), (None, "alone"), (None, "alone"), (7, "other words here")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r["doc_id"], r["text"]) for r in near_text.keep_representatives(df).collect()), key=str)
+    assert got == sorted([(5, text), (None, "alone"), (7, "other words here")], key=str)
+    named = df.selectExpr("'n' || doc_id AS doc_id", "text")
+    assert near_text.keep_representatives(named).count() == 3

@@ -59,6 +59,8 @@ def test_vocabulary_is_the_same(hf, spark):
 
 def test_empty_table(spark):
     assert packing.pack_documents(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+    with pytest.raises(TypeError, match="whole numbers"):
+        packing.pack_documents(spark.createDataFrame([], "doc_id string, text string"))
 
 
 def test_best_fit_prefers_tightest():
