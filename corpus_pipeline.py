@@ -1,15 +1,21 @@
 """The corpus pipeline: documents that pass the quality classifier, one of each group of copies and near copies,
-with surrogates for personal data, packed into sequences."""
+with surrogates for personal data, packed into sequences.
+
+Defined cases, for every stage and for ``run``: a null text is judged, compared and packed as an empty one; texts of
+any length are read whole; of equal texts, repeated rows and rows without an id too, one row stays; ties go to the
+largest id among equal texts and to the smallest among near copies; empty tables give empty results; further columns
+are kept to the last stage, whatever their names. Ids are whole numbers or null.
+"""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticelake.llm import exact_dedup, near_text, packing, pii, quality
+from noticelake.llm.common import checkpoint_folder
 
 
 def _quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,7 +23,7 @@ def _quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return exact_dedup.keep_one(docs)
+    return exact_dedup.drop_duplicates(docs)
 
 
 def _near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,16 +51,23 @@ STAGES = [
 ORACLE_SQL = None
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in turn; every result but the last is written to the shared checkpoint folder and read again."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint-"))
-    folder = f"{sc.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
+    """All stages in turn; every result but the last is written to the shared checkpoint folder and read again.
+
+    A stage's files go once the next stage has written its own; the last of them stay, as the result is read from them.
+    """
+    folder = f"{checkpoint_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
             docs.write.parquet(f"{folder}/{k}")
             docs = spark.read.parquet(f"{folder}/{k}")
+            if k:
+                _remove(spark, f"{folder}/{k - 1}")
     return docs
