@@ -1,24 +1,32 @@
 """Operator 8, PII replaced by surrogates (DataFrame functions only).
 
-Detected: e-mail and IP addresses, phone, card, social security and bank account numbers, and names after a
-title. Every entity gets a surrogate from a keyed hash of its canonical form, so all mentions of an entity
-agree, in every document and spelling. Surrogates match the type: digits replace digits in the mention's own
-punctuation (the first digit stays), octets stay octets, an e-mail stays one, a name keeps its title, number
-of words, script (Latin, Cyrillic, Greek) and the gender of the title; capital mentions stay capital.
+Detected: e-mail and IP addresses, phone, card, social security and bank account numbers, names after a title, names
+that begin with a known given name, and, in a text that holds such a name, every later mention of its words alone
+("Mr John Smith ... Smith"). Entities are numbers, addresses and the words of names (a given name or a surname, its
+script and, where the language marks it, its gender), so a person keeps one surrogate with and without title, in
+full and in part, in every document.
+
+Every entity gets a surrogate from a keyed hash of its canonical form. Surrogates match the type: digits replace
+digits in the mention's own punctuation, none is copied; cards pass the Luhn test and accounts the mod-97 test and
+keep their country; octets stay octets; an e-mail stays one, in the script of its local part; names keep title,
+number of words, script (Latin, Cyrillic, Greek), gender and capitals.
 
 Collision checks run over the different entities of the whole table: where two would get one surrogate, or a
-surrogate would equal a real entity, all but one try the next hash, until none collide. Later tries draw the
-first digit too and then lengthen the surrogate, so that a short form that is used up ends as well. Only entities past
-their first try need more than their own row to be replaced: without any, texts are rewritten where they are
-read and never shuffled; with some, the documents that hold them learn the number of the try by a join.
-
-Defined cases: a null text stays null; repeated rows and null ids are kept; texts without entities are left
-as they are; an empty table gives an empty result; columns whose names clash with working names are safe, as
-only id and text enter the work.
+surrogate would equal a real entity, all but one try the next hash, until none collide. Later tries lengthen the
+surrogate, so that a short form that is used up ends as well. Only entities past their first try need more than their
+own row to be replaced: without any, texts are rewritten where they are read and never shuffled; with some, the texts
+that hold them learn the number of the try by a join.
+
+Defined cases: a null text stays null; repeated rows and null ids are kept; texts without entities are left as they
+are; an empty table gives an empty result; only the text enters the work, and all columns are kept, whatever their
+names, but for one named like the result's own (``found_col``), which that replaces. The key has no default: who knows it can
+recompute surrogates. The query reads it from ``spark.noticelake.surrogates.key`` and draws one where it is unset.
 """
 
 from __future__ import annotations
 
+from secrets import token_hex
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -28,10 +36,10 @@ from noticelake.llm.common import checkpoint, table
 MALE = ("Mr", "Herr", "Monsieur", "Señor", "Господин", "Κύριος")
 FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Госпожа", "Κυρία")
 
-#: Given names by script and gender, and syllables for surnames.
+#: Given names by script and gender, which are found without a title and which surrogates are taken from, and syllables for surnames.
 GIVEN = {
-    ("latin", "m"): "Adam Boris Carl Denis Emil Felix Georg Hugo Ivan Jonas Karol Leo Martin Niklas Oskar Pavel".split(),
-    ("latin", "f"): "Ada Berta Clara Dora Emma Flora Gerda Hana Irma Jana Klara Lena Marta Nina Olga Petra".split(),
+    ("latin", "m"): "Adam Alexander Andrew Anthony Boris Carl Carlos Daniel David Denis Emil Felix Georg George Hans Henry Hugo Ivan James Jean John Jonas Joseph Juan Karol Leo Martin Michael Niklas Oskar Paul Pavel Peter Pierre Robert Stephen Thomas William".split(),
+    ("latin", "f"): "Ada Alice Anna Barbara Berta Carmen Caroline Clara Dora Elizabeth Emily Emma Flora Gerda Hana Helen Ingrid Irma Jana Jennifer Julia Karen Klara Laura Lena Linda Lucia Margaret Maria Marie Marta Mary Nina Olga Patricia Petra Sarah Sophie Susan".split(),
     ("cyrillic", "m"): "Андрей Борис Виктор Глеб Денис Егор Захар Иван Кирилл Лев Марк Никита Олег Павел Роман Семён".split(),
     ("cyrillic", "f"): "Анна Вера Галина Дарья Елена Жанна Зоя Инна Кира Лариса Мария Нина Ольга Полина Рита Софья".split(),
     ("greek", "m"): "Άρης Βασίλης Γιώργος Δημήτρης Ηλίας Θάνος Ιάσων Κώστας Λευτέρης Μάνος Νίκος Πέτρος Σπύρος Στέλιος Τάσος Φίλιππος".split(),
@@ -52,57 +60,110 @@ CARD = r"(?<![0-9])(?:[0-9]{4}(?:[\x20-][0-9]{4}){3}|[0-9]{4}[\x20-][0-9]{6}[\x2
 PHONE = r"(?<![0-9+])(?:\+[0-9]{1,3}[\x20.-]?(?:\([0-9]{1,4}\)[\x20.-]?)?[0-9]{2,4}(?:[\x20.-]?[0-9]{2,4}){1,3}|\([0-9]{3}\)\x20?[0-9]{3}-[0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9])"
 IBAN = r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])"
 _TITLES = "|".join(MALE + FEMALE)
-NAME = rf"(?<!\p{{L}})(?:{_TITLES})\.?\x20\p{{Lu}}[\p{{L}}'-]+(?:\x20\p{{Lu}}[\p{{L}}'-]+){{0,2}}"
+_GIVEN = "|".join(n for names in GIVEN.values() for n in names)
+_WORD = r"\p{Lu}\p{L}*(?:['’-]\p{Lu}\p{L}*)*"
+TITLE = rf"(?:{_TITLES})\.?\x20"
+NAME = rf"(?<!\p{{L}})(?=\p{{Lu}})(?:{TITLE}{_WORD}(?:\x20{_WORD}){{0,2}}|(?:{_GIVEN})(?:\x20{_WORD}){{1,2}})(?!\p{{L}})"
 
 #: In the order in which they are tried at a place; a mention's kind is the first that it matches as a whole.
 KINDS = (("email", EMAIL), ("ip", IP), ("ssn", SSN), ("iban", IBAN), ("card", CARD), ("phone", PHONE), ("name", NAME))
 ANY = "|".join(f"(?:{p})" for _, p in KINDS)
-#: From these tries on the first digit is drawn too, and each try is a digit longer than the last (names: once, by six syllables).
-DRAW_ALL = 3
+#: From these tries on a given name gets syllables, and a number is a digit longer with each (a surname: once, by six syllables).
+GIVEN_TAIL = 3
 LENGTHEN = 5
+#: Letters of e-mail surrogates, one for each hexadecimal digit.
+LETTERS = {"latin": "bcdfghjklmnpqrst", "cyrillic": "бвгджзклмнпрстфх", "greek": "βγδζθκλμνξπρστφχ"}
 
 #: What every mention holds, cheap to look for.
-HINT = rf"[0-9@]|(?:{_TITLES})"
+HINT = rf"[0-9@]|(?<!\p{{L}})(?=\p{{Lu}})(?:{_TITLES}|{_GIVEN})"
+
+
+def _let(value: Column, f) -> Column:
+    """f(value), with value worked out once."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def _extend(items: Column, keep: str, **more) -> Column:
+    """Array of structs with further fields; each step's fields are worked out once and read by the next."""
+    return F.transform(items, lambda x: F.struct(*(x[k].alias(k) for k in keep.split()), *(f(x).alias(n) for n, f in more.items())))
 
 
 def kind_of(mention: Column) -> Column:
     """The kind of a whole mention, from marks that tell the kinds apart."""
     return (
         F.when(mention.contains("@"), "email")
-        .when(mention.rlike(rf"^(?:{_TITLES})\b"), "name")
         .when(mention.rlike(rf"^(?:{_OCTET}\.){{3}}{_OCTET}$"), "ip")
         .when(mention.rlike(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "ssn")
-        .when(mention.rlike(r"^[A-Z]{2}"), "iban")
+        .when(mention.rlike(r"^[A-Z]{2}[0-9]"), "iban")
         .when(mention.rlike(r"^(?:[0-9]{4}(?:[\x20-][0-9]{4}){3}|[0-9]{4}[\x20-][0-9]{6}[\x20-][0-9]{5}|[0-9]{13,19})$"), "card")
-        .otherwise("phone")
+        .when(mention.rlike(r"^[0-9+(]"), "phone")
+        .otherwise("name")
     )
 
 
-def _extend(items: Column, keep: str, **more) -> Column:
-    """Array of structs with further fields; each step's fields are worked out once and read by the next."""
-    return F.transform(items, lambda x: F.struct(*(x[k].alias(k) for k in keep.split()), *(f(x).alias(n) for n, f in more.items())))
+def _form(m: Column, kind: Column) -> Column:
+    """What all mentions of a number or address share."""
+    return F.when(kind == "email", F.lower(m)).when(kind == "ip", m).when(kind == "phone", F.regexp_replace(m, r"[^0-9+]", "")).otherwise(F.regexp_replace(m, r"[^0-9A-Z]", ""))
 
 
-def _form(x: Column) -> Column:
-    """What all mentions of one entity share, besides the kind."""
-    m, kind, name = x["m"], x["kind"], x["name"]
-    gender = F.when(x["title"].rlike(rf"^(?:{'|'.join(MALE)})\.?\x20$"), "m").otherwise("f")
-    script = F.when(name.rlike(r"\p{IsCyrillic}"), "cyrillic").when(name.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
-    return (
-        F.when(kind == "email", F.lower(m))
-        .when(kind == "ip", m)
-        .when(kind == "name", F.concat_ws("|", gender, script, F.size(F.split(name, " ")).cast("string"), F.lower(name)))
-        .when(kind == "phone", F.regexp_replace(m, r"[^0-9+]", ""))
-        .otherwise(F.regexp_replace(m, r"[^0-9A-Z]", ""))
+def _script(text: Column) -> Column:
+    return F.when(text.rlike(r"\p{IsCyrillic}"), "cyrillic").when(text.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
+
+
+def _name_parts(mention: Column) -> Column:
+    """array<struct<w, entity>> of a name with title or known given name: name|script|g or s|gender|word in lower case."""
+    male, female = ("|".join(MALE), "|".join(FEMALE))
+    known = "|".join(n for (_, gender), names in GIVEN.items() if gender == "f" for n in names)
+    gender = F.when(mention.rlike(rf"^(?:{male})\.?\x20"), "m").when(mention.rlike(rf"^(?:(?:{female})\.?|{known})\x20"), "f").otherwise("m")
+    words = F.split(F.regexp_replace(mention, rf"^{TITLE}", ""), " ")
+    part = lambda x: F.transform(
+        x["words"],
+        lambda w, i: F.struct(
+            w.alias("w"),
+            F.when(i < F.size(x["words"]) - 1, F.concat_ws("|", F.lit("name"), x["script"], F.lit("g"), x["gender"], F.lower(w)))
+            # Only the Cyrillic surname shows the gender.
+            .otherwise(F.concat_ws("|", F.lit("name"), x["script"], F.lit("s"), F.when(x["script"] == "cyrillic", x["gender"]).otherwise("x"), F.lower(w)))
+            .alias("entity"),
+        ),
     )
+    return _let(F.struct(words.alias("words"), gender.alias("gender"), _script(mention).alias("script")), part)
+
+
+def _own_words(found: Column) -> Column:
+    """map<word, entity>: the words of three letters or more of the names in a list of mentions, also in capitals."""
+    names = F.filter(found, lambda m: kind_of(m) == "name")
+    words = F.filter(F.flatten(F.transform(names, _name_parts)), lambda p: F.length(p["w"]) > 2)
+    words = F.sort_array(_let(words, lambda a: F.concat(a, F.transform(a, lambda p: F.struct(F.upper(p["w"]).alias("w"), p["entity"].alias("entity"))))))
+    return F.map_from_entries(_let(words, lambda a: F.filter(a, lambda x, i: (i == 0) | (F.get(a, i - 1)["w"] != x["w"]))))
+
+
+def described(text: Column) -> Column:
+    """struct<pattern, items>: what cuts the text at its mentions, and array<struct<m, kind, parts: array<struct<w, entity>>>>."""
+    none = F.array().cast("array<string>")
+    first = F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(none)
+
+    def again(r: Column) -> Column:
+        words = F.map_keys(r["own"])
+        known = F.concat(F.lit("(?:"), F.array_join(words, "|"), F.lit(")"))
+        own = F.concat(F.lit(ANY + r"|(?:(?<!\p{L})"), known, F.lit(r"(?:\x20"), known, F.lit(r")*(?!\p{L}))"))
+        return F.struct(r["own"].alias("own"), r["found"].alias("found"), F.when(F.size(words) > 0, own).otherwise(F.lit(ANY)).alias("pattern"))
+
+    def told(r: Column) -> Column:
+        found = F.when(F.size(r["own"]) > 0, F.regexp_extract_all(text, r["pattern"], F.lit(0))).otherwise(r["found"])
+        items = F.transform(found, lambda m: F.struct(m.alias("m"), kind_of(m).alias("kind")))
+        single = lambda x: F.array(F.struct(x["m"].alias("w"), F.concat_ws("|", x["kind"], _form(x["m"], x["kind"])).alias("entity")))
+        whole = lambda x: x["m"].rlike(rf"^(?:{TITLE}|(?:{_GIVEN})\x20)")
+        words = lambda x: F.transform(F.split(x["m"], " "), lambda w: F.struct(w.alias("w"), F.try_element_at(r["own"], w).alias("entity")))
+        items = _extend(items, "m kind", parts=lambda x: F.when(x["kind"] != "name", single(x)).when(whole(x), _name_parts(x["m"])).otherwise(words(x)))
+        return F.struct(r["pattern"].alias("pattern"), items.alias("items"))
 
+    held = _let(first, lambda f: F.struct(f.alias("found"), _own_words(f).alias("own")))
+    return _let(_let(held, again), told)
 
-def described(found: Column) -> Column:
-    """array<struct<m, kind, title, name, entity>> of mentions; entity (kind|form) is equal for all mentions of one."""
-    items = F.transform(found, lambda m: F.struct(m.alias("m"), kind_of(m).alias("kind")))
-    items = _extend(items, "m kind", title=lambda x: F.when(x["kind"] == "name", F.regexp_extract(x["m"], rf"^((?:{_TITLES})\.?\x20)", 1)).otherwise(""))
-    items = _extend(items, "m kind title", name=lambda x: F.substring(x["m"], F.length(x["title"]) + 1, F.length(x["m"])))
-    return _extend(items, "m kind title name", entity=lambda x: F.concat_ws("|", x["kind"], _form(x)))
+
+def entities_of(text: Column) -> Column:
+    """array<string>: the entities of a text, none for null."""
+    return F.coalesce(F.flatten(F.transform(described(text)["items"], lambda x: x["parts"]["entity"])), F.array().cast("array<string>"))
 
 
 def _hash(key: str, entity: Column, attempt: Column) -> Column:
@@ -110,54 +171,101 @@ def _hash(key: str, entity: Column, attempt: Column) -> Column:
     return F.sha2(F.concat_ws("\x1f", F.lit(key), entity, attempt.cast("string")), 256)
 
 
-def _letters(h: Column, at: int, n: int) -> Column:
-    return F.translate(F.substring(h, at, n), "0123456789abcdef", "bcdfghjklmnpqrst")
-
-
 def _number(h: Column, at: int, n: int) -> Column:
     return F.conv(F.substring(h, at, n), 16, 10).cast("int")
 
 
-def _person(x: Column) -> Column:
-    """gender|script|words|surrogate name in lower case."""
-    h, part = x["h"], x["part"]
-    given, surname, pick = F.lit(""), F.lit(""), _number(h, 1, 1) + 1
-    for (script, gender), names in GIVEN.items():
-        given = F.when((part[1] == script) & (part[0] == gender), F.element_at(F.array(*map(F.lit, names)), pick)).otherwise(given)
-    for script, syllables in SYLLABLES.items():
-        six = [F.element_at(F.array(*map(F.lit, syllables)), _number(h, 2 + k, 1) + 1) for k in range(6)]
-        made = F.when(part[2] == "3", F.concat(*six[:3], F.lit(" "), *six[3:])).otherwise(F.concat(*six))
-        tail = F.concat(*(F.element_at(F.array(*map(F.lit, syllables)), _number(h, 8 + k, 1) + 1) for k in range(6)))
-        made = F.when(x["attempt"] < LENGTHEN, made).otherwise(F.concat(made, tail))
-        surname = F.when(part[1] == script, made).otherwise(surname)
-    words = F.when(part[2] == "1", surname).otherwise(F.concat_ws(" ", given, surname))
-    return F.concat_ws("|", part[0], part[1], part[2], F.lower(words))
+def _pick(names: list[str], number: Column) -> Column:
+    return F.element_at(F.array(*map(F.lit, names)), number % len(names) + 1)
+
+
+def _name_word(x: Column) -> Column:
+    """The surrogate of a given name or surname, in lower case. x: h, fields (of the entity), attempt."""
+    h, script, role, gender = x["h"], x["fields"][1], x["fields"][2], x["fields"][3]
+    out = F.lit("")
+    for name, syllables in SYLLABLES.items():
+        six = F.concat(*(_pick(syllables, _number(h, 9 + k, 1)) for k in range(6)))
+        tail = F.concat(*(_pick(syllables, _number(h, 17 + k, 1)) for k in range(6)))
+        surname = F.when(x["attempt"] < LENGTHEN, six).otherwise(F.concat(six, tail))
+        if name == "cyrillic":
+            surname = F.concat(surname, F.when(gender == "f", "нова").otherwise("нов"))
+        given = F.when(gender == "f", _pick(GIVEN[name, "f"], _number(h, 1, 6))).otherwise(_pick(GIVEN[name, "m"], _number(h, 1, 6)))
+        given = F.when(x["attempt"] < GIVEN_TAIL, given).when(x["attempt"] < LENGTHEN, F.concat(given, F.substring(tail, 1, 4))).otherwise(F.concat(given, tail))
+        out = F.when(script == name, F.when(role == "g", given).otherwise(surname)).otherwise(out)
+    return F.lower(out)
+
+
+def _digits(h: Column, at, n) -> Column:
+    return F.substring(F.translate(h, "abcdef", "012345"), F.lit(at), n)
+
+
+def _first_digit(h: Column) -> Column:
+    return (_number(h, 1, 2) % 9 + 1).cast("string")
+
+
+def _luhn(body: Column) -> Column:
+    """The digit that completes a card number."""
+
+    def add(total: Column, i: Column) -> Column:
+        d = F.substring(body, i, F.lit(1)).cast("int")
+        twice = (F.length(body) - i) % 2 == 0
+        return total + F.when(twice, 2 * d - F.when(d > 4, 9).otherwise(0)).otherwise(d)
+
+    total = F.aggregate(F.sequence(F.lit(1), F.length(body)), F.lit(0), add)
+    return ((10 - total % 10) % 10).cast("string")
+
+
+def _account(form: Column, h: Column) -> Column:
+    """Country, check digits, and digits for digits and letters for letters of the rest."""
+    nibble = lambda i: F.substring(h, i + 1, F.lit(1))
+    like = lambda c, i: F.when(c.rlike("[0-9]"), F.translate(nibble(i), "abcdef", "012345")).otherwise(F.translate(nibble(i), "0123456789abcdef", "ABCDEFGHIJKLMNOP"))
+    rest = F.array_join(F.transform(F.filter(F.split(F.substring(form, F.lit(5), F.length(form)), ""), lambda c: c != ""), like), "")
+    country = F.substring(form, 1, 2)
+
+    def checked(r: Column) -> Column:
+        step = lambda acc, c: F.when(c.rlike("[0-9]"), (acc * 10 + c.cast("int")) % 97).otherwise((acc * 100 + F.ascii(c) - 55) % 97)
+        rest = F.aggregate(F.filter(F.split(F.concat(r, country, F.lit("00")), ""), lambda c: c != ""), F.lit(0), step)
+        return F.concat(country, F.lpad((98 - rest).cast("string"), 2, "0"), r)
+
+    return _let(rest, checked)
 
 
 def _new_form(x: Column) -> Column:
-    h, form = x["h"], x["form"]
-    # All but the first digit are drawn; signs and letters before it (a plus, a country) stay. Late tries have more values.
-    late = x["attempt"].cast("int")
-    head = F.when(late < DRAW_ALL, F.regexp_extract(form, r"^([^0-9]*[0-9])", 1)).otherwise(F.regexp_extract(form, r"^([^0-9]*)", 1))
-    more = F.greatest(F.lit(0), late - LENGTHEN + 1)
-    drawn = F.concat(head, F.substring(F.translate(h, "abcdef", "012345"), F.lit(1), F.length(form) - F.length(head) + more))
+    h, form, kind = x["h"], x["form"], x["kind"]
+    more = F.greatest(F.lit(0), x["attempt"].cast("int") - LENGTHEN + 1)
+    # A sign before the digits stays; the first digit is never zero.
+    sign = F.regexp_extract(form, r"^([^0-9]*)", 1)
+    drawn = F.concat(sign, _first_digit(h), _digits(h, 3, F.length(form) - F.length(sign) - 1 + more))
+    card = _let(F.concat(_first_digit(h), _digits(h, 3, F.length(form) - 2 + more)), lambda b: F.concat(b, _luhn(b)))
+    # Areas from 100 to 599; groups and serials that are not zero.
+    ssn = F.concat((_number(h, 1, 2) % 5 + 1).cast("string"), _digits(h, 3, F.lit(3)), (_number(h, 7, 2) % 9 + 1).cast("string"), _digits(h, 9, F.lit(3) + more), (_number(h, 33, 2) % 9 + 1).cast("string"))
     octets = F.concat_ws(".", *((_number(h, 1 + 4 * k, 4) % 254 + 1).cast("string") for k in range(4)))
-    email = F.concat(_letters(h, 1, 10), F.lit("@"), _letters(h, 11, 8), F.lit(".example"))
-    return F.when(x["kind"] == "email", email).when(x["kind"] == "ip", octets).when(x["kind"] == "name", _person(x)).otherwise(drawn)
+    local, host = F.substring(h, 1, 10), F.translate(F.substring(h, 11, 8), "0123456789abcdef", LETTERS["latin"])
+    script = _script(F.substring_index(form, "@", 1))
+    spelt = F.lit("")
+    for name, letters in LETTERS.items():
+        spelt = F.when(script == name, F.translate(local, "0123456789abcdef", letters)).otherwise(spelt)
+    email = F.concat(spelt, F.lit("@"), host, F.lit(".example"))
+    return F.when(kind == "email", email).when(kind == "ip", octets).when(kind == "name", _name_word(x)).when(kind == "card", card).when(kind == "iban", _account(form, h)).when(kind == "ssn", ssn).otherwise(drawn)
 
 
 def _drawn(items: Column, keep: str, key: str) -> Column:
-    """items: structs with kind, entity and attempt. Adds new: the form of the surrogate."""
-    items = _extend(items, keep, h=lambda x: _hash(key, x["entity"], x["attempt"]), form=lambda x: F.regexp_extract(x["entity"], r"^[a-z]+\|(?s)(.*)$", 1))
-    items = _extend(items, f"{keep} h form", part=lambda x: F.split(x["form"], r"\|"))
-    return _extend(items, keep, new=_new_form)
+    """items: structs with entity and attempt. Adds new: the form of the surrogate, and as: the entity that it would be."""
+    items = _extend(items, keep, h=lambda x: _hash(key, x["entity"], x["attempt"]), kind=lambda x: F.substring_index(x["entity"], "|", 1), form=lambda x: F.regexp_extract(x["entity"], r"^[a-z]+\|(?s)(.*)$", 1))
+    items = _extend(items, f"{keep} h kind form", fields=lambda x: F.split(x["entity"], r"\|"))
+    items = _extend(items, f"{keep} kind fields", new=_new_form)
+    real = lambda x: F.when(x["kind"] == "name", F.concat_ws("|", F.slice(x["fields"], 1, 4), x["new"])).otherwise(F.concat_ws("|", x["kind"], x["new"]))
+    return _extend(items, f"{keep} new", real=real)
+
+
+def _cased(word: Column, new: Column) -> Column:
+    return F.when((word == F.upper(word)) & (F.length(word) > 1), F.upper(new)).otherwise(F.initcap(new))
 
 
 def _worded(x: Column) -> Column:
-    """The surrogate in the mention's own spelling."""
-    m, new, name = x["m"], x["new"], x["name"]
-    plain = F.initcap(F.substring_index(new, "|", -1))
-    named = F.concat(x["title"], F.when(name == F.upper(name), F.upper(plain)).otherwise(plain))
+    """The surrogate in the mention's own spelling. x: m, kind, parts (w, new)."""
+    m, new = x["m"], x["parts"][0]["new"]
+    named = F.concat(F.regexp_extract(m, rf"^({TITLE})?", 0), F.array_join(F.transform(x["parts"], lambda p: _cased(p["w"], p["new"])), " "))
     # The nth digit, letter or plus of the surrogate takes the place of the mention's nth.
     sign = r"[^0-9A-Z+]"
     spelt = F.array_join(
@@ -167,72 +275,70 @@ def _worded(x: Column) -> Column:
         ),
         "",
     )
-    cased = F.when(m == F.upper(m), F.upper(new)).otherwise(new)
     spelt = F.concat(spelt, F.substring(new, F.length(F.regexp_replace(m, sign, "")) + 1, F.length(new)))
-    return F.when(x["kind"] == "name", named).when(x["kind"] == "email", cased).when(x["kind"] == "ip", new).otherwise(spelt)
-
+    email = F.when(m == F.upper(m), F.upper(new)).otherwise(new)
+    return F.when(x["kind"] == "name", named).when(x["kind"] == "email", email).when(x["kind"] == "ip", new).otherwise(spelt)
 
-def mentions(text: Column) -> Column:
-    """All mentions in a text, in order; none for null."""
-    return F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
 
+def rewritten(text: Column, key: str, attempt) -> Column:
+    """struct<text, mentions_found>; attempt: from an entity to the number of its try."""
 
-def _rewritten(text: Column, found: Column, key: str, attempt) -> Column:
-    """array of one struct<text, mentions_found>; attempt: from an entity to the number of its try."""
-    items = _extend(described(found), "m kind title name entity", attempt=lambda x: attempt(x["entity"]))
-    items = _drawn(items, "m kind title name entity attempt", key)
-    items = _extend(items, "kind", new=_worded)
+    def made(r: Column) -> Column:
+        draw = lambda parts: _drawn(_extend(parts, "w entity", attempt=lambda p: attempt(p["entity"])), "w entity attempt", key)
+        items = _extend(_extend(r["items"], "m kind", parts=lambda x: draw(x["parts"])), "kind", new=_worded)
+        return _let(F.struct(r["pattern"].alias("pattern"), items.alias("items")), joined)
 
     def joined(r: Column) -> Column:
-        new = F.transform(r["items"], lambda x: x["new"])
-        parts = F.zip_with(F.split(r["text"], ANY, -1), F.concat(new, F.array(F.lit(""))), lambda gap, s: F.concat(gap, s))
-        text = F.when(F.size(r["items"]) > 0, F.array_join(parts, "")).otherwise(r["text"])
-        return F.struct(text.alias("_text"), F.transform(r["items"], lambda x: x["kind"]).alias("mentions_found"))
+        new = F.concat(F.transform(r["items"], lambda x: x["new"]), F.array(F.lit("")))
+        parts = F.zip_with(F.split(text, r["pattern"], -1), new, lambda gap, s: F.concat(gap, s))
+        return F.struct(F.when(F.size(r["items"]) > 0, F.array_join(parts, "")).otherwise(text).alias("text"), F.transform(r["items"], lambda x: x["kind"]).alias("mentions_found"))
 
-    return F.transform(F.array(F.struct(text.alias("text"), items.alias("items"))), joined)
+    none = F.struct(text.alias("text"), F.array().cast("array<string>").alias("mentions_found"))
+    return F.when(text.isNull(), none).otherwise(_let(described(text), made))
 
 
 def tries(entities: DataFrame, key: str) -> DataFrame:
     """``entities``: column entity, each once. Returns entity, attempt so that no two surrogates agree and none is an entity."""
-    real = entities.select(F.col("entity").alias("real"))
+    real = entities.select(F.col("entity").alias("known"))
     held = entities.withColumn("attempt", F.lit(0))
     while True:
-        one = F.array(F.struct(F.substring_index("entity", "|", 1).alias("kind"), "entity", "attempt"))
-        drawn = held.select(F.inline(_drawn(one, "kind entity attempt", key)))
-        named = drawn.select("entity", "attempt", F.concat_ws("|", "kind", "new").alias("new"))
+        drawn = held.select(F.inline(_drawn(F.array(F.struct("entity", "attempt")), "entity attempt", key)))
         # Those settled in an earlier round keep their surrogate.
-        place = F.row_number().over(Window.partitionBy("new").orderBy("attempt", "entity"))
-        checked = named.withColumn("place", place).join(real, F.col("new") == F.col("real"), "left")
-        held = checkpoint(checked.select("entity", "attempt", ((F.col("place") > 1) | F.col("real").isNotNull()).alias("clash")))
+        place = F.row_number().over(Window.partitionBy("real").orderBy("attempt", "entity"))
+        checked = drawn.withColumn("place", place).join(real, F.col("real") == F.col("known"), "left")
+        held = checkpoint(checked.select("entity", "attempt", ((F.col("place") > 1) | F.col("known").isNotNull()).alias("clash")))
         if held.filter("clash").isEmpty():
             return held.drop("clash")
         held = held.select("entity", (F.col("attempt") + F.col("clash").cast("int")).alias("attempt"))
 
 
-def pseudonymise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: str = "surrogates") -> DataFrame:
-    """``docs`` with its text rewritten; the last column, ``mentions_found``, has the mentions' kinds in order.
+def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", found_col: str = "mentions_found") -> DataFrame:
+    """``docs`` with its text rewritten; the last column, ``found_col``, has the mentions' kinds in order.
 
     ``key`` is the secret that surrogates depend on; without it they cannot be recomputed.
     """
-    text, found = F.col(text_col), mentions(F.col(text_col))
-    entities = checkpoint(docs.select(F.inline(described(found))).select("entity").distinct())
+    rows = docs.select(F.col(text_col).alias("text"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    entities = checkpoint(rows.select(F.explode(entities_of(F.col("text"))).alias("entity")).distinct())
     again = tries(entities, key).filter("attempt > 0")
-    others = [c for c in docs.columns if c != text_col]
-    columns = [F.col("_text").alias(c) if c == text_col else F.col(c) for c in docs.columns]
     if again.isEmpty():
-        return docs.select(*others, F.inline(_rewritten(text, found, key, lambda e: F.lit(0)))).select(*columns, "mentions_found")
-    # Documents learn the tries of the entities they hold by (id, digest of the text).
-    named = docs.withColumn("_id", F.col(id_col).cast("string")).withColumn("_digest", F.unhex(F.sha2(F.coalesce(text_col, F.lit("")), 256)))
-    held = named.select("_id", "_digest", F.inline(described(found))).select("_id", "_digest", "entity").distinct()
-    per_doc = held.join(again, "entity").groupBy("_id", "_digest").agg(F.map_from_entries(F.collect_list(F.struct("entity", "attempt"))).alias("_tries"))
-    per_doc = per_doc.select(F.col("_id").alias("_id2"), F.col("_digest").alias("_digest2"), "_tries")
-    joined = named.join(per_doc, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_digest") == F.col("_digest2")), "left")
-    rewritten = _rewritten(text, found, key, lambda e: F.coalesce(F.try_element_at("_tries", e), F.lit(0)))
-    return joined.select(*others, F.inline(rewritten)).select(*columns, "mentions_found")
+        done = rows.select("row", rewritten(F.col("text"), key, lambda e: F.lit(0)).alias("done"))
+    else:
+        # Texts learn the tries of the entities they hold by their digest.
+        keyed = rows.withColumn("digest", F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)))
+        held = keyed.select("digest", F.explode(entities_of(F.col("text"))).alias("entity")).distinct()
+        tried = held.join(again, "entity").groupBy("digest").agg(F.map_from_entries(F.collect_list(F.struct("entity", "attempt"))).alias("tries"))
+        done = keyed.join(tried, "digest", "left").select("row", rewritten(F.col("text"), key, lambda e: F.coalesce(F.try_element_at("tries", e), F.lit(0))).alias("done"))
+    kept = [c for c in docs.columns if c != found_col]
+    return done.select(*(F.col("done.text").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in kept), F.col("done.mentions_found").alias(found_col))
+
+
+def session_key(spark: SparkSession) -> str:
+    """The key that the session names, or one drawn for this call."""
+    return spark.conf.get("spark.noticelake.surrogates.key", None) or token_hex(16)
 
 
 def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    done = pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), session_key(spark))
     count = lambda kind: F.size(F.filter("mentions_found", lambda k: k == kind)).cast("long")
     return done.select("doc_id", "text", *(count(kind).alias(f"n_{kind}") for kind, _ in KINDS))
 

@@ -9,11 +9,12 @@ labelled from unlabelled rows.
 
 Labels are read only for rows whose crc32(id as text) mod 3 is not 1. Language, source and id are no inputs.
 The fit takes at most ``max_positive`` trusted positives and ``max_unlabelled`` texts of the training part,
-chosen by a hash of their id; their feature vectors (at most a few MB) are the only rows that reach the driver. Every document is
-scored from its whole text, in one pass without a shuffle.
+chosen by a hash of their id; their feature vectors, one for each id (at most a few MB), are the only rows that reach
+the driver. Every document is scored from its whole text, in one pass without a shuffle.
 
 Defined cases: null text is empty and is scored like any other; a null id is never held out; repeated label
-rows count once each; without any positive the score is the prior (0.5 if nothing is known); an empty table
+rows count once, and an id that is labelled both ways is no label; of several texts of one id one is learnt from;
+``score`` takes the place of a column of that name, ``keep_good`` keeps all columns, whatever their names; without any positive the score is the prior (0.5 if nothing is known); an empty table
 gives an empty result; other columns are never read.
 """
 
@@ -172,6 +173,7 @@ def _sample(ids: DataFrame, most: int, seed: int) -> DataFrame:
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED) -> Model:
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y")).filter((fold(F.col("id")) != 1) & F.col("y").isNotNull())
+    known = known.groupBy("id").agg(F.min("y").alias("y"), F.max("y").alias("other")).filter("y = other").drop("other")
     share = known.agg(F.avg("y"), F.min("y")).first()
     prior = None if share[0] is None or share[1] == 1 else float(share[0])
     texts = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).filter(fold(F.col("id")) != 1)
@@ -185,7 +187,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     # The chosen ids have a fixed bound, so they may be broadcast to the texts.
     chosen = F.broadcast(positive.union(unlabelled))
-    rows = texts.join(chosen, "id").select("id", "part", of("text").alias("x")).toPandas().sort_values(["part", "id"], ignore_index=True)
+    rows = texts.join(chosen, "id").select("id", "part", of("text").alias("x")).groupBy("id", "part").agg(F.max("x").alias("x")).toPandas().sort_values(["part", "id"], ignore_index=True)
     take = lambda part: np.vstack([np.empty((0, N_FEATURES), np.float32), *rows.loc[rows["part"] == part, "x"]])
     return fit(take(1), take(0), prior)
 
@@ -205,7 +207,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs``, all columns, that score at least ``threshold``."""
     model = train(docs, labels)
-    return score(docs.withColumn("_docs", F.struct(*docs.columns)).select("_docs", "text"), model).filter(F.col("score") >= threshold).select("_docs.*")
+    return score(docs.withColumn("_docs", F.struct(*(F.col(f"`{c}`") for c in docs.columns))).select("_docs", "text"), model).filter(F.col("score") >= threshold).select("_docs.*")
 
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

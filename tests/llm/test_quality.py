@@ -53,3 +53,14 @@ def test_prior_from_positives_alone():
     assert 0.2 < quality.estimate_prior(p, u) < 0.45
     model = quality.fit(p, u)
     assert (model.score(rng.normal(2, 1, (500, 4))) > 0.5).mean() > 0.9 and (model.score(rng.normal(-2, 1, (500, 4))) < 0.5).mean() > 0.9
+
+
+def test_repeated_ids_and_labels_that_disagree(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(quality, "fit", lambda p, u, prior: taken.append((len(p), len(u), prior)) or quality.Model(0.5))
+    train = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1]
+    docs = spark.createDataFrame([(i, f"text {i} {k}") for i in train for k in range(50)], "doc_id long, text string")
+    labels = [(i, 1) for i in train[:10]] + [(i, 0) for i in train[10:15]] + [(i, i % 2) for i in train[:4]] + [(train[0], 0), (train[0], 1), (train[5], 1)]
+    quality.train(docs, spark.createDataFrame(labels, "doc_id long, quality int"))
+    unlike = {i for i, y in labels if (i, 1 - y) in labels}
+    assert taken == [(10 - len(unlike), len(train) - 15 + len(unlike), (10 - len(unlike)) / (15 - len(unlike)))]
