@@ -31,8 +31,9 @@ def _near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    done = pii.pseudonymise(docs)
-    return done.select(*(F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))
+    found = next(c for c in (f"mentions_{k}" for k in range(len(docs.columns) + 1)) if c not in docs.columns)
+    done = pii.pseudonymise(docs, pii.session_key(spark), found_col=found)
+    return done.select(*(F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns))
 
 
 def _pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
