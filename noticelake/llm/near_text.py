@@ -8,10 +8,10 @@ checked against its shingles. An exact join then finds all other pairs, and skip
 The join. Shingles have one order for the whole table, roughly the rarest first; sets of n that are as similar as t
 share a shingle among the first n - ceil(t n) + 1 of each. Only these travel. Sizes and places bound how much two
 sets can share, and so do marks: every shingle of a set flips one of 256 bits, so sets differ in at least as many
-shingles as their marks do in bits. What passes is compared by the shingles' bytes. The order comes from counts over all texts, by class
-of hash; it decides the cost and never the result. Texts that share a shingle are first paired with one of them (its
-hub) only. Those that turn out to be in one component need no more pairs among themselves; the rest are paired with
-all others that the bounds allow.
+shingles as their marks do in bits. What passes is compared by the shingles' bytes. The order comes from counts over
+all texts, by class of hash; it decides the cost and never the result. Texts that share a shingle are first
+paired with one of them (its hub) only. Those that are then in one component need no more pairs among themselves;
+the rest are paired with all others that the bounds allow.
 
 Of each connected component the row with the smallest id stays, one with an id before one without; of repeated rows
 (same id and text) one stays. Words are cut and lower-cased as in operator 2; shorter texts are one shingle; texts
@@ -34,8 +34,11 @@ from noticelake.llm.components import components
 
 WIDTH = 5
 SIMILARITY = 0.8
+#: Shingles of eight bytes that are broadcast at most.
+FEW_TOKENS = 1_000_000
 _BUCKETS = 1 << 17
 _MARKS = 4
+_MARK_NAMES = [f"m{k}" for k in range(_MARKS)]
 _EPS = 1e-9
 
 
@@ -47,7 +50,7 @@ def shingles(text: str, width: int = WIDTH) -> set[bytes]:
 
 def _hashes(text: str, width: int) -> np.ndarray:
     """The different hashes of a text's shingles; a text without words has one, as if its shingle were empty."""
-    return np.unique(np.concatenate(list(simhash.shingle_hashes(text, width, 0)) or [np.zeros(1, np.uint64)]))
+    return np.unique(np.concatenate(list(simhash.shingle_hashes(text, width, 42)) or [np.zeros(1, np.uint64)]))
 
 
 def _marks(h: np.ndarray) -> np.ndarray:
@@ -74,14 +77,13 @@ def _counts(texts: DataFrame, width: int) -> np.ndarray:
     return out
 
 
-def _may(a: str, b: str, similarity: float, before: bool) -> Column:
-    """Whether two sets can be as similar, by sizes, marks and the places of a shared shingle: their first one, or with ``before`` any."""
+def _may(a: str, b: str, similarity: float) -> Column:
+    """Whether two sets can be as similar, by their sizes, their marks and the places of the first shingle that they share."""
     size, other = F.col(f"{a}.size"), F.col(f"{b}.size")
     needed = similarity / (1 + similarity) * (size + other) - _EPS
-    at, there = F.col(f"{a}.pos"), F.col(f"{b}.pos")
-    most = F.least(size - at, other - there) + (F.least(at, there) if before else F.lit(0))
-    apart = sum((F.bit_count(F.col(f"{a}.marks.m{k}").bitwiseXOR(F.col(f"{b}.marks.m{k}"))) for k in range(_MARKS)), F.lit(0))
-    return (most >= needed) & (F.least(size, other) >= similarity * F.greatest(size, other) - _EPS) & (size + other - apart >= 2 * needed)
+    apart = sum((F.bit_count(F.col(f"{a}.{m}").bitwiseXOR(F.col(f"{b}.{m}"))) for m in _MARK_NAMES), F.lit(0))
+    fits = (F.least(size, other) >= similarity * F.greatest(size, other) - _EPS) & (F.least(size - F.col(f"{a}.pos"), other - F.col(f"{b}.pos")) >= needed)
+    return fits & (size + other - apart >= 2 * needed)
 
 
 def _near(pairs: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
@@ -104,55 +106,71 @@ def _near(pairs: DataFrame, texts: DataFrame, width: int, similarity: float) ->
     return checkpoint(pairs.join(one, "a").join(two, "b").filter(similar("text_a", "text_b")).select("a", "b"))
 
 
-def _by_fingerprint(texts: DataFrame, width: int) -> DataFrame:
+def _outlines(texts: DataFrame, width: int) -> DataFrame:
+    """node, fp (the text's SimHash), size (of its set of shingles) and marks, from one pass over the texts."""
+
+    @F.pandas_udf(f"struct<fp:long,size:int,{','.join(f'{m}:long' for m in _MARK_NAMES)}>")
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            fps, sizes, marks = [], [], []
+            for t in batch:
+                runs = list(simhash.shingle_hashes(t, width, 42))
+                h = np.unique(np.concatenate(runs or [np.zeros(1, np.uint64)]))
+                fps.append(simhash.majority(runs))
+                sizes.append(len(h))
+                marks.append(_marks(h))
+            columns = dict(zip(_MARK_NAMES, np.array(marks, np.int64).reshape(-1, _MARKS).T, strict=True))
+            yield pd.DataFrame({"fp": np.array(fps, np.uint64).view(np.int64), "size": np.array(sizes, np.int32), **columns})
+
+    return checkpoint(texts.select("node", of("text").alias("o")).select("node", "o.*"))
+
+
+def _by_fingerprint(outlines: DataFrame) -> DataFrame:
     """Candidate pairs a, b: each text with the smallest node of its component over fingerprints within three bits."""
-    prints = checkpoint(simhash.fingerprints(texts, "node", "text", width))
-    classes = checkpoint(prints.groupBy("fp").agg(F.min("id").alias("rep")))
+    classes = checkpoint(outlines.groupBy("fp").agg(F.min("node").alias("rep")))
     found = components(simhash.near_links(classes))
     named = classes.join(found, classes["rep"] == found["node"], "left").select("fp", F.coalesce("component", "rep").alias("a"))
-    return prints.join(named, "fp").filter("id <> a").select("a", F.col("id").alias("b"))
+    return outlines.select("node", "fp").join(named, "fp").filter("node <> a").select("a", F.col("node").alias("b"))
 
 
-def _placed(shared: DataFrame, links: DataFrame) -> DataFrame:
-    """Shared shingles with the component of their text."""
-    return checkpoint(shared.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node")))
+def _placed(shared: DataFrame, outlines: DataFrame, links: DataFrame) -> DataFrame:
+    """Shared shingles with size, marks and component of their text, dealt by shingle."""
+    known = outlines.drop("fp").join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    return shared.join(known, "node").repartition("token")
 
 
 def near_links(texts: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY) -> DataFrame:
     """``texts``: node (long, each once), text. Returns links a, b that join all pairs of near copies."""
-    close = _near(_by_fingerprint(texts, width), texts, width, similarity)
+    outlines = _outlines(texts, width)
+    close = _near(_by_fingerprint(outlines), texts, width, similarity)
     counts = texts.sparkSession.sparkContext.broadcast(_counts(texts, width))
 
-    names = [f"m{k}" for k in range(_MARKS)]
-
-    @F.pandas_udf(f"struct<size:int,tokens:array<long>,{','.join(f'{m}:long' for m in names)}>")
-    def first_tokens(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("array<long>")
+    def first_tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         often = counts.value
         for batch in batches:
-            sizes, tokens, marks = [], [], []
+            out = []
             for t in batch:
                 h = _hashes(t, width)
                 order = np.argsort(often[(h % np.uint64(_BUCKETS)).astype(np.int64)], kind="stable")
-                sizes.append(len(h))
-                tokens.append(h[order[: len(h) - int(np.ceil(similarity * len(h) - _EPS)) + 1]].view(np.int64))
-                marks.append(_marks(h))
-            yield pd.DataFrame({"size": np.array(sizes, np.int32), "tokens": pd.Series(tokens, dtype=object), **dict(zip(names, np.array(marks).T, strict=True))})
+                out.append(h[order[: len(h) - int(np.ceil(similarity * len(h) - _EPS)) + 1]].view(np.int64))
+            yield pd.Series(out, dtype=object)
 
     # Worked out twice: kept, these rows would take more disk than the texts.
-    dealt = texts.select("node", first_tokens("text").alias("p")).select("node", "p.size", F.struct(*(f"p.{m}" for m in names)).alias("marks"), F.posexplode("p.tokens").alias("pos", "token"))
+    dealt = texts.select("node", F.posexplode(first_tokens("text")).alias("pos", "token"))
     common = checkpoint(dealt.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("token"))
-    shared = checkpoint(dealt.join(broadcast_if_few(common), "token"))
-    placed = _placed(shared, close)
+    shared = checkpoint(dealt.join(broadcast_if_few(common, FEW_TOKENS), "token"))
+    placed = _placed(shared, outlines, close)
     # The hub is of the component with the smallest number, so that the shingles of near copies tend to share it.
-    hubs = placed.groupBy("token").agg(F.min(F.struct("component", "node", "size", "pos", "marks")).alias("h")).select("token", "h.*")
-    to_hub = placed.alias("x").join(hubs.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.component") != F.col("y.component")) & _may("x", "y", similarity, before=True))
-    links = close.unionAll(_near(to_hub.select(F.col("y.node").alias("a"), F.col("x.node").alias("b")).distinct(), texts, width, similarity))
-    placed = _placed(shared, links)
+    hubs = placed.groupBy("token").agg(F.min(F.struct("component", "node", "pos", "size", *_MARK_NAMES)).alias("h")).select("token", "h.*")
+    to_hub = placed.alias("x").join(hubs.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.component") != F.col("y.component")) & _may("x", "y", similarity))
+    links = checkpoint(close.unionAll(_near(to_hub.select(F.col("y.node").alias("a"), F.col("x.node").alias("b")).distinct(), texts, width, similarity)))
+    placed = _placed(shared, outlines, links)
     main = placed.groupBy("token", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("token").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1").drop("parts")
     placed = placed.join(main, "token")
     rest = placed.filter("component <> main")
     apart = (F.col("x.component") != F.col("y.component")) & ((F.col("y.component") == F.col("y.main")) | (F.col("x.node") < F.col("y.node")))
-    more = rest.alias("x").join(placed.alias("y"), (F.col("x.token") == F.col("y.token")) & apart & _may("x", "y", similarity, before=False))
+    more = rest.alias("x").join(placed.alias("y"), (F.col("x.token") == F.col("y.token")) & apart & _may("x", "y", similarity))
     more = more.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
     return links.union(_near(more, texts, width, similarity))
 

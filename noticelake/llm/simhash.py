@@ -26,7 +26,7 @@ give empty results; other columns are never read. Ids are whole numbers; others
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -63,15 +63,19 @@ def shingle_hashes(text: str, width: int, seed: int) -> Iterator[np.ndarray]:
         yield np.fromiter((digest(joined[a:b], seed) for a, b in spans), np.uint64)
 
 
-def fingerprint(text: str, width: int = 3, seed: int = 42) -> int:
-    """The 64-bit SimHash of a whole text, unsigned."""
+def majority(runs: Iterable[np.ndarray]) -> int:
+    """The bits that more than half of all hashes have."""
     counts, n = np.zeros(64, np.int64), 0
-    for h in shingle_hashes(text, width, seed):
+    for h in runs:
         bits = np.unpackbits(h.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         counts += bits.sum(axis=0, dtype=np.int32)
         n += len(h)
-    on = counts * 2 > n
-    return int.from_bytes(np.packbits(on, bitorder="little").tobytes(), "little")
+    return int.from_bytes(np.packbits(counts * 2 > n, bitorder="little").tobytes(), "little")
+
+
+def fingerprint(text: str, width: int = 3, seed: int = 42) -> int:
+    """The 64-bit SimHash of a whole text, unsigned."""
+    return majority(shingle_hashes(text, width, seed))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
