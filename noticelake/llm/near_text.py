@@ -77,12 +77,15 @@ def _counts(texts: DataFrame, width: int) -> np.ndarray:
     return out
 
 
-def _may(a: str, b: str, similarity: float) -> Column:
-    """Whether two sets can be as similar, by their sizes, their marks and the places of the first shingle that they share."""
+def _may(a: str, b: str, similarity: float, first: bool = True) -> Column:
+    """Whether two sets can be as similar, by sizes, marks and the places of a shingle that both have, the first such or any."""
     size, other = F.col(f"{a}.size"), F.col(f"{b}.size")
     needed = similarity / (1 + similarity) * (size + other) - _EPS
     apart = sum((F.bit_count(F.col(f"{a}.{m}").bitwiseXOR(F.col(f"{b}.{m}"))) for m in _MARK_NAMES), F.lit(0))
-    fits = (F.least(size, other) >= similarity * F.greatest(size, other) - _EPS) & (F.least(size - F.col(f"{a}.pos"), other - F.col(f"{b}.pos")) >= needed)
+    most = F.least(size - F.col(f"{a}.pos"), other - F.col(f"{b}.pos"))
+    if not first:
+        most = most + F.least(f"{a}.pos", f"{b}.pos")
+    fits = (F.least(size, other) >= similarity * F.greatest(size, other) - _EPS) & (most >= needed)
     return fits & (size + other - apart >= 2 * needed)
 
 
@@ -163,7 +166,7 @@ def near_links(texts: DataFrame, width: int = WIDTH, similarity: float = SIMILAR
     placed = _placed(shared, outlines, close)
     # The hub is of the component with the smallest number, so that the shingles of near copies tend to share it.
     hubs = placed.groupBy("token").agg(F.min(F.struct("component", "node", "pos", "size", *_MARK_NAMES)).alias("h")).select("token", "h.*")
-    to_hub = placed.alias("x").join(hubs.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.component") != F.col("y.component")) & _may("x", "y", similarity))
+    to_hub = placed.alias("x").join(hubs.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.component") != F.col("y.component")) & _may("x", "y", similarity, first=False))
     links = checkpoint(close.unionAll(_near(to_hub.select(F.col("y.node").alias("a"), F.col("x.node").alias("b")).distinct(), texts, width, similarity)))
     placed = _placed(shared, outlines, links)
     main = placed.groupBy("token", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("token").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1").drop("parts")
