@@ -1,6 +1,6 @@
 """Commands: python -m noticelake.cli <command> ... Input and output are JSON array files.
 
-Commands that fetch, convert or extract take --tools, a Python module with ``fetcher`` (url to status, content type
+Commands that fetch, convert or extract store each step under --work, a folder that all machines share, and take --tools, a Python module with ``fetcher`` (url to status, content type
 and bytes), ``converters`` (noticelake.operators.convert.Converters) and ``extractor`` (text to model output).
 """
 
@@ -10,11 +10,12 @@ import argparse
 import importlib
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from noticelake.functions import dates
-from noticelake.operators import convert, delta, nest, prompts, sample, schema
+from noticelake.operators import convert, delta, nest, prompts, sample, schema, status
 from noticelake.plans import pipelines
 from noticelake.sources import files, html
 
@@ -23,8 +24,12 @@ def _write(rows, path: str | None, order: list[str]) -> None:
     if path:
         files.write_json_array(rows, path, order)
     else:
-        for r in rows.orderBy(*order).toJSON().toLocalIterator():
-            print(r)
+        # One array, row by row, so that the driver holds one partition at most.
+        text = rows.orderBy(*order).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("j"))
+        print("[", end="")
+        for k, r in enumerate(text.toLocalIterator()):
+            print(",\n" if k else "\n", r["j"], sep="", end="")
+        print("\n]")
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -39,6 +44,8 @@ def main(argv: list[str] | None = None) -> int:
 
     command("directory", "pages", "output?", about="regions and districts from saved menu pages")
     command("boards", "pages", "output?", about="documents from saved board pages")
+    for name, about, first in (("scrape-boards", "documents of all districts' boards, fetched", "directory"), ("scrape-listing", "items of all pages of a list, fetched", "url")):
+        command(name, first, "tools", "work", "output?", about=about)
     command("listing", "pages", "base", "output?", about="documents from saved list pages")
     command("nested-diff", "old", "new", "output?", about="boards with new documents only")
     command("diff", "old", "new", "output?", about="new items of a flat listing")
@@ -47,7 +54,7 @@ def main(argv: list[str] | None = None) -> int:
     command("sample", "input", "output", "n", "seed?", about="documents of boards drawn at random")
     command("dates", "input?", "output?", about="JSON with dates as yyyy-MM-dd; from standard input without --input")
     for name, about in (("process-boards", "text and analysis of the documents of boards"), ("process-listing", "place, text and analysis of listed items")):
-        command(name, "input", "tools", "output?", about=about).add_argument("--skip-analysis", action="store_true")
+        command(name, "input", "tools", "work", "store?", "status?", "run?", "output?", about=about).add_argument("--skip-analysis", action="store_true")
     command("pdf-text", "input", "tools", about="the text of a PDF file")
     command("prompt", "input", "store", "template", about="a prompt from sampled boards and stored texts")
     a = parser.parse_args(argv)
@@ -61,16 +68,24 @@ def main(argv: list[str] | None = None) -> int:
     if a.command == "directory":
         _write(pages().select(F.inline(html.menu_tree("html"))), a.output, ["kraj"])
     elif a.command == "boards":
-        docs, failed = html.board_documents(pages(), ["page"])
-        for r in failed.toLocalIterator():
+        docs, failed, linkless = html.board_documents(pages(), ["page"])
+        for r in failed.unionByName(linkless.select("page", F.concat_ws(": ", "warning", "nazov").alias("error"))).toLocalIterator():
             print(f"{r['page']}: {r['error']}", file=sys.stderr)
         _write(docs, a.output, ["page", "place"])
     elif a.command == "listing":
         _write(html.listing(pages(), ["page"], a.base), a.output, ["page", "place"])
+    elif a.command == "scrape-boards":
+        tools = importlib.import_module(a.tools)
+        found = pipelines.scrape_boards(files.read_json_array(spark, a.directory, schema.DIRECTORY), tools.fetcher, files.saver(a.work))
+        _write(found, a.output, ["kraj"])
+    elif a.command == "scrape-listing":
+        tools = importlib.import_module(a.tools)
+        first = spark.createDataFrame([(a.url,)], "url string")
+        _write(pipelines.crawl_listing(first, tools.fetcher, files.saver(a.work), a.url), a.output, ["datum", "url", "nazov"])
     elif a.command == "nested-diff":
-        _write(delta.new_on_boards(boards(a.new), boards(a.old)), a.output, ["kraj"])
+        _write(delta.new_on_boards(boards(a.new), files.read_json_array(spark, a.old, schema.BOARD, lenient=True)), a.output, ["kraj"])
     elif a.command == "diff":
-        _write(delta.new_items(listing(a.new), listing(a.old)), a.output, ["url"])
+        _write(delta.new_items(listing(a.new), files.read_json_array(spark, a.old, schema.LISTING, lenient=True)), a.output, ["url"])
     elif a.command == "merge":
         left, right = (files.read_json_maps(spark, p) for p in a.inputs)
         files.write_json_array(delta.merge_maps(left, right), a.out, ["part", "ord"], "m")
@@ -87,15 +102,28 @@ def main(argv: list[str] | None = None) -> int:
             print(spark.createDataFrame([(text,)], "t string").select(dates.json_dates("t", F.lit("datum"))).first()[0])
     elif a.command in ("process-boards", "process-listing"):
         tools = importlib.import_module(a.tools)
+        source, run_id, save = ("minv" if a.command == "process-boards" else "minzp"), int(a.run or 1), files.saver(a.work)
         if faults := files.input_faults(spark, a.input):
             for level, text in faults:
                 print(f"{level}: {text}", file=sys.stderr)
+            if a.status:
+                rows = spark.createDataFrame(faults, "level string, text string")
+                status.append(status.entries(rows, F.col("level"), F.col("text"), F.current_timestamp(), run_id, source), a.status)
             return 1
         if a.command == "process-boards":
-            done = pipelines.process_documents(nest.flatten(boards(a.input)), tools.fetcher, tools.converters, tools.extractor, a.skip_analysis)
+            before = files.read_if_there(spark, f"{a.work}/results", f"{pipelines.RESULTS}, run long")
+            newest = before.withColumn("n", F.row_number().over(Window.partitionBy("url").orderBy(F.desc("run")))).filter("n = 1 AND body IS NOT NULL").drop("n", "run")
+            done = pipelines.process_documents(nest.flatten(boards(a.input)), tools.fetcher, tools.converters, tools.extractor, save, newest, a.skip_analysis, prompts.extraction)
+            done = save(done, f"done-{run_id}")
+            kept = done.filter("doc_id IS NOT NULL").select(*StructType.fromDDL(pipelines.RESULTS).names).dropDuplicates(["url"])
+            kept.write.mode("overwrite").parquet(f"{a.work}/results/run={run_id}")
         else:
-            done = pipelines.process_listing(listing(a.input), tools.fetcher, tools.extractor, a.skip_analysis)
-        _write(done, a.output, ["url"])
+            done = save(pipelines.process_listing(listing(a.input), tools.fetcher, tools.extractor, save, a.skip_analysis, prompts.extraction), f"done-{run_id}")
+        if a.store:
+            files.append_store(files.stored_files(done, source, "text.txt" if source == "minv" else "text.md"), a.store, run_id)
+        if a.status:
+            status.append(pipelines.status_of(done, F.current_timestamp(), run_id, source, a.skip_analysis), a.status)
+        _write(done.drop("body"), a.output, ["url"])
     elif a.command == "pdf-text":
         tools = importlib.import_module(a.tools)
         pdf = spark.read.format("binaryFile").load(a.input).select(F.lit("a.pdf").alias("file_name"), "content")

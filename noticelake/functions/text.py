@@ -18,12 +18,13 @@ LEAST_OUTPUT = 10
 DOCUMENT_SEPARATOR = "\n\n---\n\n"
 ARCHIVE_SEPARATOR = "\n\n--- Nový Súbor v Archíve ---\n\n"
 
-_WHITE = "[\\s  -     　\u0085\u001c-\u001f]"
+#: The characters that count as white space at the ends of a text (fixed by Unicode, with the separators 1C to 1F).
+_WHITE = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 
 def strip(text: Column) -> Column:
     """White space of every kind removed from both ends."""
-    return F.regexp_replace(text, f"^{_WHITE}+|{_WHITE}+$", "")
+    return F.trim(text, F.lit(_WHITE))
 
 
 def needs_ocr(text: Column) -> Column:

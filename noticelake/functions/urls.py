@@ -138,9 +138,15 @@ def join_url(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series
         yield pd.Series([urljoin(b or "", x) if x else None for b, x in zip(base, link, strict=True)], dtype=object)
 
 
+def safe_file_name(name: Column) -> Column:
+    """Accents dropped, everything but word characters to single underscores, none at the ends."""
+    plain = F.octet_length(name) == F.char_length(name)
+    # Names of ASCII characters need no Python: the others only are sent there.
+    return F.when(plain, F.trim(F.regexp_replace(name, "[^A-Za-z0-9]+", "_"), F.lit("_"))).otherwise(_safe_file_name(F.when(~plain, name)))
+
+
 @arrow("string")
-def safe_file_name(names: pd.Series) -> pd.Series:
-    """Accents dropped, everything but word characters to single underscores."""
+def _safe_file_name(names: pd.Series) -> pd.Series:
     import re
     import unicodedata
 
@@ -148,6 +154,6 @@ def safe_file_name(names: pd.Series) -> pd.Series:
         if name is None:
             return None
         plain = "".join(c for c in unicodedata.normalize("NFKD", name) if not unicodedata.combining(c))
-        return re.sub(r"_+", "_", re.sub(r"[^\w_]+", "_", plain.replace(" ", "_"))).strip("_")
+        return re.sub(r"[\W_]+", "_", plain).strip("_")
 
     return names.map(one)

@@ -12,9 +12,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from noticelake.functions.text import is_blank, needs_ocr, strict_json, strip, without_fences
+from noticelake.functions.text import ARCHIVE_SEPARATOR, is_blank, needs_ocr, strict_json, strip, without_fences
 from noticelake.functions.urls import office_format
-from noticelake.operators.prompts import archive_text
+from noticelake.operators.prompts import joined
 from noticelake.sources.files import unpacked
 
 
@@ -46,7 +46,8 @@ def _guarded(f, name: str):
                     rows.append((None, f"{type(e).__name__}: {e}"))
             yield pd.DataFrame(rows, columns=["value", "error"])
 
-    return run
+    # Not deterministic, so that no rewriting of the plan converts a file twice.
+    return run.asNondeterministic()
 
 
 def _plain(data: bytes, _) -> str:
@@ -72,12 +73,13 @@ def file_texts(files: DataFrame, converters: Converters) -> DataFrame:
 
 def document_texts(files: DataFrame, converters: Converters, keys: list[str]) -> DataFrame:
     """``files``: keys, file_name, body. One row per document: keys, text, errors. Archives give their members' texts joined."""
-    parts = unpacked(files).withColumn("_outer", F.col("file_name")).withColumn("file_name", F.coalesce("member", "file_name"))
-    texts = file_texts(parts.filter("error IS NULL"), converters)
-    joined = archive_text(texts.withColumn("member", F.col("file_name")), keys)
-    errors = texts.select(*keys, F.col("convert_error").alias("e")).unionByName(parts.select(*keys, F.col("error").alias("e"))).filter("e IS NOT NULL")
-    told = errors.groupBy(*keys).agg(F.sort_array(F.collect_list("e")).alias("errors"))
-    return files.select(*keys).distinct().join(joined, keys, "left").join(told, keys, "left")
+    # A part that could not be unpacked has no name to be converted by. One grouping reads each conversion once.
+    parts = unpacked(files).withColumn("member", F.coalesce("member", "file_name"))
+    texts = file_texts(parts.withColumn("file_name", F.when(F.col("error").isNull(), F.col("member"))), converters)
+    errors = F.sort_array(F.collect_list(F.coalesce("error", "convert_error")))
+    text = F.nullif(joined(F.col("text"), F.col("member"), ARCHIVE_SEPARATOR), F.lit(""))
+    told = texts.groupBy(*keys).agg(text.alias("text"), errors.alias("errors")).withColumn("errors", F.when(F.size("errors") > 0, F.col("errors")))
+    return files.select(*keys).distinct().join(told, keys, "left")
 
 
 def extracted(docs: DataFrame, extractor: Callable[[str], str], text: Column, skip: bool = False) -> DataFrame:
@@ -100,7 +102,7 @@ def extracted(docs: DataFrame, extractor: Callable[[str], str], text: Column, sk
                     rows.append((None, f"{type(e).__name__}: {e}"))
             yield pd.DataFrame(rows, columns=["value", "error"])
 
-    rows = docs.withColumn("_out", run(F.when(~is_blank(text), text)))
+    rows = docs.withColumn("_out", run.asNondeterministic()(F.when(~is_blank(text), text)))
     rows = rows.withColumn("_json", strict_json(without_fences(F.col("_out.value"))))
     error = F.coalesce(F.col("_out.error"), F.col("_json.error"))
     return rows.select(*docs.columns, F.col("_out.value").alias("analysis_raw"), F.when(error.isNull(), F.col("_json.value")).alias("analysis"), error.alias("error"))

@@ -21,14 +21,15 @@ def new_items(new: DataFrame, old: DataFrame, key: str = "url") -> DataFrame:
     return new_rows(new.filter(F.col(key).isNotNull()), old, key)
 
 
-def new_on_boards(new: DataFrame, old: DataFrame, carry_board: bool = False) -> DataFrame:
+def new_on_boards(new: DataFrame, old: DataFrame, carry_board: bool = False, share: Column | None = None) -> DataFrame:
     """The boards of ``new`` with only the documents whose URL no board of ``old`` has; emptied levels vanish.
 
     Flat rows are compared by URL over all districts and grouped again, so the size of ``old`` has no bound.
+    ``share`` (of a document's columns) deals the result into pieces of bounded size, as ``regroup`` has it.
     """
     rows = flatten(new).withColumn("_place", F.monotonically_increasing_id())
     fresh = new_items(rows, flatten(old))
-    return regroup(fresh, ordinal="_place", carry_board=carry_board)
+    return regroup(fresh, ordinal="_place", carry_board=carry_board, share=share)
 
 
 def prune_boards(boards: DataFrame, keep) -> DataFrame:

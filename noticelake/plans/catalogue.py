@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 
 from noticelake.functions import dates, text, urls
 from noticelake.operators import delta, enrich, nest, present, prompts, sample, status
+from noticelake.plans import fixtures
 from noticelake.plans.pipelines import recent_new_documents as flagship
-from noticelake.plans.testdata import AS_OF, DOCUMENTS, OLDEST, boards, documents, table
+from noticelake.plans.testdata import AS_OF, DOCUMENTS, OLDEST, SHARE, boards, documents, table
 from noticelake.sources import html
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+QUERIES: dict = dict(fixtures.QUERIES)
+ORACLES: dict[str, str] = dict(fixtures.ORACLES)
+#: Pieces into which a nested result is dealt; a larger table takes more.
+PIECES = 4096
 
 
 def query(sql: str | None):
@@ -70,24 +73,21 @@ def flatten_boards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {DOCUMENTS} SELECT kraj, count(DISTINCT okres) AS okresy, count(DISTINCT (okres, doc_kategoria)) AS kategorie, count(*) AS dokumenty FROM docs GROUP BY kraj")
 def regroup_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nested = nest.regroup(documents(spark, sf_dir), ordinal="place")
-    okres = nested.select("kraj", F.size("okresy").cast("long").alias("okresy"), F.explode("okresy").alias("o"))
-    per = okres.select("kraj", "okresy", F.size("o.dokumenty_zivotne_prostredie").alias("k"), F.aggregate("o.dokumenty_zivotne_prostredie", F.lit(0), lambda a, x: a + F.size(x["dokumenty"])).alias("d"))
-    return per.groupBy("kraj", "okresy").agg(F.sum("k").alias("kategorie"), F.sum("d").alias("dokumenty"))
+    pieces = nest.regroup(documents(spark, sf_dir), ordinal="place", share=F.floor(F.col("place") / SHARE))
+    okres = pieces.select("kraj", F.explode("okresy").alias("o")).select("kraj", F.col("o.nazov").alias("okres"), F.explode("o.dokumenty_zivotne_prostredie").alias("k"))
+    sizes = okres.groupBy("kraj", "okres", F.col("k.kategoria").alias("kategoria")).agg(F.sum(F.size("k.dokumenty")).alias("d"))
+    return sizes.groupBy("kraj").agg(F.countDistinct("okres").alias("okresy"), F.count(F.lit(1)).alias("kategorie"), F.sum("d").alias("dokumenty"))
 
 
 @query(f"WITH {DOCUMENTS} SELECT kraj, okres, doc_kategoria, row_number() OVER (PARTITION BY kraj, okres, doc_kategoria ORDER BY datum, place) AS rank, datum, nazov, url FROM docs")
 def regroup_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nested = nest.regroup(documents(spark, sf_dir), ordinal="place")
-    k = nested.select("kraj", F.explode("okresy").alias("o")).select("kraj", F.col("o.nazov").alias("okres"), F.explode("o.dokumenty_zivotne_prostredie").alias("k"))
-    d = k.select("kraj", "okres", F.col("k.kategoria").alias("doc_kategoria"), F.posexplode("k.dokumenty").alias("at", "d"))
-    return d.select("kraj", "okres", "doc_kategoria", (F.col("at") + 1).cast("long").alias("rank"), "d.*")
+    return nest.ranked(documents(spark, sf_dir), "place").select("kraj", "okres", "doc_kategoria", "rank", "datum", "nazov", "url")
 
 
 @query(f"WITH {DOCUMENTS} SELECT kraj, okres, doc_kategoria, count(*) AS dokumenty FROM docs WHERE fresh GROUP BY ALL")
 def nested_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    fresh = delta.new_on_boards(boards(docs), boards(docs.filter("NOT fresh")))
+    fresh = delta.new_on_boards(boards(docs), boards(docs.filter("NOT fresh")), share=F.floor(F.crc32(F.encode("url", "UTF-8")) / (2**32 // PIECES)))
     return nest.flatten(fresh).groupBy("kraj", "okres", "doc_kategoria").agg(F.count(F.lit(1)).alias("dokumenty"))
 
 
@@ -261,10 +261,9 @@ def place_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(k.alias("k"), urls.region_name(r).alias("kraj"), urls.district_name(o).alias("okres"))
 
 
-@query("SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(strip_accents(w), '[^A-Za-z0-9_]+', '_', 'g'), '_+', '_', 'g'), '^_+|_+$', '', 'g') AS name FROM (SELECT doc_id, regexp_replace(text, '[^A-Za-z0-9 éèêçáíóúñäöü.-]', '', 'g') AS w FROM documents)")
+@query("SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(strip_accents(text), '[^\\p{L}\\p{N}_]+', '_', 'g'), '_+', '_', 'g'), '^_+|_+$', '', 'g') AS name FROM documents")
 def safe_file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plain = F.regexp_replace("text", "[^A-Za-z0-9 éèêçáíóúñäöü.-]", "")
-    return table(spark, sf_dir, "documents").select("doc_id", urls.safe_file_name(plain).alias("name"))
+    return table(spark, sf_dir, "documents").select("doc_id", urls.safe_file_name(F.col("text")).alias("name"))
 
 
 @query(f"SELECT event_id, {_case('lower(event_type)', urls.ICONS, 'event_type')} AS icon FROM events")
@@ -354,29 +353,33 @@ def row_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).select("place", present.place_cell(F.col("kraj"), F.col("kraj_url")).alias("kraj"), summary.alias("summary"))
 
 
-@query(f"WITH {DOCUMENTS} SELECT datum, nazov, url FROM docs ORDER BY datum DESC, url LIMIT 100 OFFSET 200")
+@query(f"WITH {DOCUMENTS} SELECT datum, nazov, url FROM docs ORDER BY datum DESC, url LIMIT 100 OFFSET 100")
 def grid_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return present.page(present.newest_first(documents(spark, sf_dir).select("datum", "nazov", "url")), 3)
+    return present.page(present.newest_first(documents(spark, sf_dir).select("datum", "nazov", "url")), 2)
 
 
-_WORD = "^([A-Za-zéèêçáíóúñäöüÉÈÊÇÁÍÓÚÑÄÖÜ]*)"
+_WORD = "[A-Za-zéèêçáíóúñäöüÉÈÊÇÁÍÓÚÑÄÖÜ]+"
+_SQL_WORDS = f"words AS (SELECT w, count(*) AS n FROM (SELECT unnest(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS w FROM documents) GROUP BY w)"
 
 
-@query(f"SELECT min(w) AS word, count(*) AS n FROM (SELECT regexp_extract(coalesce(text, ''), '{_WORD}', 1) AS w FROM documents) GROUP BY strip_accents(lower(w))")
+def _words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The different words of all whole texts, with their counts."""
+    return table(spark, sf_dir, "documents").select(F.explode(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(_WORD), F.lit(0))).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"WITH {_SQL_WORDS} SELECT min(w) AS word, CAST(sum(n) AS BIGINT) AS n FROM words GROUP BY strip_accents(lower(w))")
 def collated_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = table(spark, sf_dir, "documents").select(F.regexp_extract(F.coalesce("text", F.lit("")), _WORD, 1).alias("w"))
-    return words.groupBy(present.collation_key(F.col("w"))).agg(F.min("w").alias("word"), F.count(F.lit(1)).alias("n")).select("word", "n")
+    return _words(spark, sf_dir).groupBy(present.collation_key(F.col("w"))).agg(F.min("w").alias("word"), F.sum("n").alias("n")).select("word", "n")
 
 
-@query(f"SELECT doc_id, w AS word FROM (SELECT doc_id, regexp_extract(coalesce(text, ''), '{_WORD}', 1) AS w FROM documents) ORDER BY strip_accents(lower(w)), doc_id LIMIT 50 OFFSET 50")
+@query(f"WITH {_SQL_WORDS} SELECT w AS word, n FROM words ORDER BY strip_accents(lower(w)), w LIMIT 50 OFFSET 50")
 def collated_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = table(spark, sf_dir, "documents").select("doc_id", F.regexp_extract(F.coalesce("text", F.lit("")), _WORD, 1).alias("word"))
-    return present.page(words.orderBy(present.collation_key(F.col("word")), "doc_id"), 2, 50)
+    return present.page(_words(spark, sf_dir).orderBy(present.collation_key(F.col("w")), "w").withColumnRenamed("w", "word"), 2, 50)
 
 
-@query("SELECT p_partkey, p_name FROM part WHERE contains(lower(p_name), '1') AND contains(lower(p_type), lower('E'))")
+@query("SELECT p_partkey, p_name FROM part WHERE contains(lower(p_name), 'ring') AND contains(lower(p_type), 'l')")
 def header_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return present.matching(table(spark, sf_dir, "part"), p_name="1", p_type="E", p_brand="").select("p_partkey", "p_name")
+    return present.matching(table(spark, sf_dir, "part"), p_name="RING", p_type="L", p_brand="").select("p_partkey", "p_name")
 
 
 @query("SELECT event_id, ts FROM events WHERE event_type = 'error'")

@@ -49,10 +49,15 @@ DOCUMENTS = """docs AS (SELECT r_name AS kraj, '/r/' || r_regionkey AS kraj_url,
   FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
 
 
+#: Documents of a board row, at most.
+SHARE = 1000
+
+
 def boards(rows: DataFrame) -> DataFrame:
-    """Nested boards of flat rows, in no order, as a scraper would write them."""
-    doc = F.struct("datum", "nazov", "url")
-    k = rows.groupBy("kraj", "kraj_url", "okres", "okres_url", "okres_url_tabule", "doc_kategoria").agg(F.collect_list(doc).alias("dokumenty"))
-    o = k.groupBy("kraj", "kraj_url", "okres", "okres_url", "okres_url_tabule").agg(F.collect_list(F.struct(F.col("doc_kategoria").alias("kategoria"), "dokumenty")).alias("ks"))
-    okres = F.struct(F.col("okres").alias("nazov"), F.col("okres_url").alias("url"), F.col("okres_url_tabule").alias("url_tabule"), F.col("ks").alias("dokumenty_zivotne_prostredie"))
-    return o.groupBy("kraj", "kraj_url").agg(F.collect_list(okres).alias("okresy")).withColumnRenamed("kraj_url", "url")
+    """Nested boards of flat rows, in no order, in pieces: a row is a region with one district, one category and at most SHARE documents."""
+    share = F.floor(F.col("place") / SHARE).alias("share")
+    keys = ["kraj", "kraj_url", "okres", "okres_url", "okres_url_tabule", "doc_kategoria"]
+    pieces = rows.groupBy(*keys, share).agg(F.collect_list(F.struct("datum", "nazov", "url")).alias("dokumenty"))
+    kategoria = F.struct(F.col("doc_kategoria").alias("kategoria"), "dokumenty")
+    okres = F.struct(F.col("okres").alias("nazov"), F.col("okres_url").alias("url"), F.col("okres_url_tabule").alias("url_tabule"), F.array(kategoria).alias("dokumenty_zivotne_prostredie"))
+    return pieces.select("kraj", F.array(okres).alias("okresy"), F.col("kraj_url").alias("url"))

@@ -24,6 +24,7 @@ _PAGE = "_status int, _type string, _body binary, _error string"
 def fetch(rows: DataFrame, fetcher: Fetcher, url: str = "url") -> DataFrame:
     """``rows`` with http_status, content_type, body and error. A null URL is an error."""
 
+    # Not deterministic, so that no rewriting of the plan asks twice for one row.
     @F.pandas_udf(f"struct<{_PAGE.replace(' ', ':').replace(',:', ',')}>")
     def get(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for urls in batches:
@@ -39,7 +40,7 @@ def fetch(rows: DataFrame, fetcher: Fetcher, url: str = "url") -> DataFrame:
             df = pd.DataFrame(out, columns=["_status", "_type", "_body", "_error"])
             yield df.assign(_status=df["_status"].astype("Int32"))
 
-    got = rows.withColumn("_got", get(F.col(url)))
+    got = rows.withColumn("_got", get.asNondeterministic()(F.col(url)))
     return got.select(*rows.columns, F.col("_got._status").alias("http_status"), F.col("_got._type").alias("content_type"), F.col("_got._body").alias("body"), F.col("_got._error").alias("error"))
 
 
@@ -54,20 +55,22 @@ def fetch_with_fallback(rows: DataFrame, fetcher: Fetcher, url: str = "url", fal
         status, kind, body = fetcher(second)
         return status, f"\x00{kind}", body
 
-    got = fetch(rows.withColumn("_pair", F.concat(F.col(url), F.lit("\x00"), F.coalesce(F.col(fallback), F.lit("")))), both, "_pair").drop("_pair")
+    pair = F.when(F.col(url) != "", F.concat(F.col(url), F.lit("\x00"), F.coalesce(F.col(fallback), F.lit(""))))
+    got = fetch(rows.withColumn("_pair", pair), both, "_pair").drop("_pair")
     marked = F.coalesce(F.col("content_type").startswith("\x00"), F.lit(False))
     return got.withColumn("used_fallback", marked).withColumn("content_type", F.translate("content_type", "\x00", ""))
 
 
-def fetch_with_retries(rows: DataFrame, fetcher: Fetcher, write: Callable[[DataFrame, int], DataFrame], delays: tuple[int, ...] = RETRY_DELAYS, sleep: Callable[[float], None] = time.sleep, url: str = "url") -> DataFrame:
-    """Failed rows only are asked again, after each of ``delays``. ``write`` stores a round's rows and returns them read back."""
+def in_rounds(rows: DataFrame, attempt: Callable[[DataFrame], DataFrame], write: Callable[[DataFrame, int], DataFrame], delays: tuple[int, ...] = RETRY_DELAYS, sleep: Callable[[float], None] = time.sleep, url: str = "url") -> DataFrame:
+    """``attempt`` adds error and others to rows. Failed rows only are tried again, after each of ``delays``.
+
+    ``write`` stores a round's rows and returns them read back. A row without a URL fails for good.
+    """
     done, left = None, rows
     for number in range(len(delays) + 1):
-        got = write(fetch(left, fetcher, url), number)
-        last = number == len(delays)
-        # A row without a URL fails for good: another round would not mend it.
+        got = write(attempt(left), number)
         again = got.filter(F.col("error").isNotNull() & F.col(url).isNotNull())
-        if last or again.isEmpty():
+        if number == len(delays) or again.isEmpty():
             return got if done is None else done.unionByName(got)
         settled = got.filter(F.col("error").isNull() | F.col(url).isNull())
         done = settled if done is None else done.unionByName(settled)
@@ -76,16 +79,24 @@ def fetch_with_retries(rows: DataFrame, fetcher: Fetcher, write: Callable[[DataF
     raise AssertionError
 
 
-def crawl(first: DataFrame, fetcher: Fetcher, write: Callable[[DataFrame, int], DataFrame], base: str, most_pages: int = 10_000) -> DataFrame:
-    """``first``: url of each list's first page. Follows each list to its last page; rows get their page number."""
-    left, pages = first.select("url").withColumn("page", F.lit(1)), None
-    for number in range(1, most_pages + 1):
+def fetch_with_retries(rows: DataFrame, fetcher: Fetcher, write: Callable[[DataFrame, int], DataFrame], delays: tuple[int, ...] = RETRY_DELAYS, sleep: Callable[[float], None] = time.sleep, url: str = "url") -> DataFrame:
+    """As ``fetch``, in rounds."""
+    return in_rounds(rows, lambda left: fetch(left, fetcher, url), write, delays, sleep, url)
+
+
+def crawl(first: DataFrame, fetcher: Fetcher, write: Callable[[DataFrame, int], DataFrame], base: str) -> DataFrame:
+    """``first``: url of each list's first page. Follows each list to its last page; rows get their page number.
+
+    Each page leads to the one with the next number at most, so a list ends where its numbers do.
+    """
+    left, pages, number = first.select("url").withColumn("page", F.lit(1)), None, 0
+    while True:
+        number += 1
         got = write(fetch(left, fetcher).withColumn("html", F.decode("body", "UTF-8")), number)
         pages = got if pages is None else pages.unionByName(got)
         left = got.filter("error IS NULL").select(next_page("html", F.col("page"), F.lit(base)).alias("url")).filter("url IS NOT NULL").withColumn("page", F.lit(number + 1))
         if left.isEmpty():
-            break
-    return pages
+            return pages
 
 
 def stored_name(rows: DataFrame) -> DataFrame:

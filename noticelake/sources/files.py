@@ -4,17 +4,38 @@ from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticelake.functions.arrow import arrow
+from noticelake.functions.text import strict_json, strip
+from noticelake.operators.schema import STORED
 
 
-def read_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Rows of a JSON array file. The schema is required; invalid JSON fails the read rather than lose rows."""
+def read_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A Parquet table, with no rows where there is no such path; any other fault of the read is raised."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def read_json_array(spark: SparkSession, path: str, schema: str, lenient: bool = False) -> DataFrame:
+    """Rows of a JSON array file. The schema is required; a file that is no array fails the read rather than lose rows.
+
+    With ``lenient``, valid JSON that is no array counts as an empty one.
+    """
+    faults = input_faults(spark, path)
+    if lenient and faults and all(level == "error" for level, _ in faults):
+        return spark.createDataFrame([], schema)
+    if faults:
+        raise ValueError("; ".join(text for _, text in faults))
     return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
 
 
@@ -29,13 +50,17 @@ def read_json_text(spark: SparkSession, text: str, schema: str) -> DataFrame:
 def input_faults(spark: SparkSession, path: str) -> list[tuple[str, str]]:
     """What is wrong with an input file as a whole: (level, text) entries; none if it can be read as an array."""
     try:
-        text = spark.read.text(path, wholetext=True).first()
-    except Exception as e:
-        return [("critical", f"input {path} cannot be read: {str(e).splitlines()[0]}")]
-    first = (text["value"] if text else "").strip()[:1]
-    if not first:
+        files = spark.read.text(path, wholetext=True)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return [("critical", f"input {path} is missing")]
+    text = strip(F.col("value"))
+    told = files.select(F.col("_metadata.file_name").alias("name"), F.substring(text, 1, 1).alias("first"), strict_json(text)["error"].alias("error"))
+    wrong = told.filter("error IS NOT NULL OR first <> '['").orderBy("name").limit(10).collect()
+    if not wrong and files.isEmpty():
         return [("critical", f"input {path} is empty")]
-    return [] if first == "[" else [("error", f"input {path} is not a list")]
+    return [("error", f"input {r['name']} is not a list") if r["error"] is None else ("critical", f"input {r['name']} is empty" if not r["first"] else f"input {r['name']} is no JSON: {r['error']}") for r in wrong]
 
 
 def read_store(spark: SparkSession, root: str, pattern: str = "*.{json,txt,md}") -> DataFrame:
@@ -95,6 +120,36 @@ def write_json_array(rows: DataFrame, path: str, order: list[str], value: str |
     rows.agg(F.to_json(ordered, {"pretty": "true", "ignoreNullFields": "false"}).alias("value")).coalesce(1).write.mode("overwrite").text(path)
 
 
+def saver(root: str) -> Callable[[DataFrame, str], DataFrame]:
+    """Stores a step's rows under a folder and returns them read back, so that the step runs once."""
+
+    def save(rows: DataFrame, name: str) -> DataFrame:
+        rows.write.mode("overwrite").parquet(f"{root}/{name}")
+        return rows.sparkSession.read.schema(rows.schema).parquet(f"{root}/{name}")
+
+    return save
+
+
+def stored_files(done: DataFrame, source: str, text_name: str = "text.txt") -> DataFrame:
+    """``done``: kraj, okres, doc_id, text, analysis_raw, analysis. A row for each file that the store keeps of a document."""
+    names = ((text_name, "text"), ("analysis.txt", "analysis_raw"), ("analysis.json", "analysis"))
+    listed = F.array(*(F.struct(F.lit(n).alias("file_name"), F.col(c).alias("content")) for n, c in names))
+    rows = done.filter("doc_id IS NOT NULL").select(F.lit(source).alias("source"), "kraj", "okres", "doc_id", F.inline(listed)).filter("content IS NOT NULL")
+    return rows.dropDuplicates(["kraj", "okres", "doc_id", "file_name"])
+
+
+def append_store(rows: DataFrame, path: str, run_id: int) -> None:
+    """Stored files of a run added to the store's table, which keeps those of earlier runs."""
+    rows.write.mode("overwrite").parquet(f"{path}/run={run_id}")
+
+
+def latest_stored(spark: SparkSession, path: str) -> DataFrame:
+    """The store's table with the latest version of each file."""
+    rows = read_if_there(spark, path, f"{STORED}, run long")
+    key = ["source", "kraj", "okres", "doc_id", "file_name"]
+    return rows.groupBy(*key).agg(F.max_by("content", "run").alias("content"))
+
+
 def write_snapshot(rows: DataFrame, root: str, version: str) -> None:
     """A snapshot beside the earlier ones, whole or not at all."""
     rows.write.mode("overwrite").parquet(f"{root}/snapshot={version}")
@@ -102,11 +157,7 @@ def write_snapshot(rows: DataFrame, root: str, version: str) -> None:
 
 def read_snapshots(spark: SparkSession, root: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """The two latest snapshots (current, previous); an absent one has no rows."""
-    try:
-        every = spark.read.parquet(root)
-    except Exception:
-        none = spark.createDataFrame([], schema)
-        return none, none
+    every = read_if_there(spark, root, f"{schema}, snapshot string")
     versions = [r[0] for r in every.select(F.col("snapshot").cast("string")).distinct().orderBy(F.desc("snapshot")).limit(2).collect()]
     at = lambda k: every.filter(F.col("snapshot").cast("string") == versions[k]).drop("snapshot") if k < len(versions) else spark.createDataFrame([], schema)
     return at(0), at(1)

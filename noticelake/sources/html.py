@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from typing import NamedTuple
 from urllib.parse import parse_qs, urljoin, urlparse
 
 import pandas as pd
@@ -89,14 +90,16 @@ def carried(value: Column, keys: list[str], order: str) -> Column:
     return F.last(value, ignorenulls=True).over(Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
 
 
-def board_documents(pages: DataFrame, keys: list[str], base: str = "https://www.minv.sk", specific: str | None = None, general: str | None = GENERAL_HEADING) -> tuple[DataFrame, DataFrame]:
-    """``pages``: the keys and html. Returns documents (keys, place, kategoria, datum, nazov, url, warning) and failed pages (keys, error).
+class Boards(NamedTuple):
+    """documents: keys, place, kategoria, datum, nazov, url, warning. failed: keys, error. linkless: documents without a link, which are left out."""
 
-    In a table, a category holds until the next named one and an unnamed first one gets a name; in paragraphs, a
-    date holds until the next. A document without a date or link is kept, or dropped, with a warning.
-    """
-    parts = pages.select(*keys, board_parts("html", F.lit(specific).cast("string"), F.lit(general).cast("string")).alias("b"))
-    failed = parts.filter("b.error IS NOT NULL").select(*keys, "b.error")
+    documents: DataFrame
+    failed: DataFrame
+    linkless: DataFrame
+
+
+def documents_of(parts: DataFrame, keys: list[str], base: str) -> tuple[DataFrame, DataFrame]:
+    """``parts``: keys and b, what ``board_parts`` found. Documents, and those without a link."""
     rows = parts.filter("b.error IS NULL").select(*keys, "b.layout", F.posexplode("b.parts").alias("place", "p")).select(*keys, "layout", "place", "p.*")
     kind = F.col("kind")
     named = carried(F.when((kind == "category") & (F.col("text") != ""), F.col("text")), keys, "place")
@@ -107,7 +110,20 @@ def board_documents(pages: DataFrame, keys: list[str], base: str = "https://www.
     rows = rows.withColumn("datum", F.when(F.col("layout") == "table", F.when(is_date_like(before), before)).otherwise(dated))
     docs = rows.filter("kind = 'document' AND kategoria IS NOT NULL").withColumn("url", join_url(F.lit(base), F.col("href")))
     warning = F.when(F.col("url").isNull(), "link without href").when(F.col("datum").isNull(), "document without date")
-    return docs.select(*keys, "place", "kategoria", iso_date(F.col("datum")).alias("datum"), F.col("text").alias("nazov"), "url", warning.alias("warning")), failed
+    docs = docs.select(*keys, "place", "kategoria", iso_date(F.col("datum")).alias("datum"), F.col("text").alias("nazov"), "url", warning.alias("warning"))
+    return docs.filter("url IS NOT NULL"), docs.filter("url IS NULL")
+
+
+def board_documents(pages: DataFrame, keys: list[str], base: str = "https://www.minv.sk", specific: str | Column | None = None, general: str | Column | None = GENERAL_HEADING) -> Boards:
+    """``pages``: the keys and html. The headings may be columns, as pages of a fallback have another.
+
+    In a table, a category holds until the next named one and an unnamed first one gets a name; in paragraphs, a
+    date holds until the next. A document without a date is kept with a warning, one without a link is left out.
+    """
+    heading = lambda h: h if isinstance(h, Column) else F.lit(h).cast("string")
+    parts = pages.select(*keys, board_parts("html", heading(specific), heading(general)).alias("b"))
+    docs, linkless = documents_of(parts, keys, base)
+    return Boards(docs, parts.filter("b.error IS NOT NULL").select(*keys, "b.error"), linkless)
 
 
 def _news(html: str, base: str) -> list[tuple]:

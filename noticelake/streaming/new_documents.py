@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from noticelake.functions.urls import doc_id
 from noticelake.operators.delta import new_items
+from noticelake.sources.files import read_if_there
 
 
 def read(spark, path: str, schema: str) -> DataFrame:
@@ -28,11 +29,8 @@ def append_new(listing: DataFrame, table: str, checkpoint: str, available_now: b
 
     def batch(rows: DataFrame, number: int) -> None:
         spark = rows.sparkSession
-        try:
-            old = spark.read.parquet(table).filter(F.col("batch") != number).select(*rows.columns)
-        except Exception:
-            old = spark.createDataFrame([], rows.schema)
-        fresh = new_items(rows.dropDuplicates(["url"]), old)
+        old = read_if_there(spark, table, f"{rows.schema.toDDL()}, batch long").filter(F.col("batch") != number)
+        fresh = new_items(rows.dropDuplicates(["url"]), old.select("url"))
         fresh.write.mode("overwrite").parquet(f"{table}/batch={number}")
 
     writer = listing.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)

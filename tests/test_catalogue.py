@@ -30,6 +30,7 @@ def test_query(spark, con, name):
         assert len(got)
         return
     want = con.execute(catalogue.ORACLES[name]).df()
+    assert len(want)
     assert sorted(got.columns) == sorted(want.columns) and normal(got) == normal(want)
 
 

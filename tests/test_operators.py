@@ -99,7 +99,7 @@ def test_enrich(spark):
     assert one["analysis"] == '{"a": 1}' and [s["type"] for s in one["status"]] == ["info"] and one["kraj_url"] == "https://www.minv.sk/k"
     assert [s["text"].split(":")[0] for s in by["K", "https://h/?subor=2"]["status"]] == ["Failed to parse the status entries.", "Failed to parse the analysis"]
     assert [s["text"] for s in by["K", "https://h/?subor=3"]["status"]] == ["Analysis file not found."]
-    assert by[None, "https://h/?subor=1"]["kraj_url"] == "/k" and by["K", None]["status"][0]["text"] == "Document has no URL."
+    assert by[None, "https://h/?subor=1"]["kraj_url"] == "/k" and by["K", None]["status"][0]["text"] == "The document has no link."
     nested = spark.createDataFrame([("K", "/k", [("O", "/o")])], "kraj string, url string, okresy array<struct<nazov:string,url:string>>")
     assert rows(enrich.district_status(nested, store), "okres", "okres_url_tabule", "typ", "sprava") == [("O", "https://www.minv.sk/o#popis", "info", "t")]
 
@@ -142,6 +142,25 @@ def test_status(spark, tmp_path):
     assert rows(status.faults(bad), "fault") == [("Invalid or empty URL",), ("Missing district",), ("Missing region",)]
 
 
+def test_strip_is_linear(spark):
+    from noticelake.functions import text
+
+    long = "a" + " " * 1_000_000 + "b"
+    df = spark.createDataFrame([(" \t\u00a0\u2003x y\u3000\x1c\n",), (long,), (" " * 1_000_000,), (None,)], "t string")
+    assert [r[0] for r in df.select(text.strip(F.col("t"))).collect()] == ["x y", long, "", None]
+    assert [r[0] for r in df.select(text.without_fences(F.concat(F.lit("```\n"), "t", F.lit("```")))).collect()] == ["x y", long, "", None]
+
+
+def test_extraction_prompt(spark):
+    asked = spark.createDataFrame([("the text",), (None,)], "t string").select(prompts.extraction(F.col("t"))).collect()
+    template = asked[0][0].split("\n\n")[1]
+    import json
+
+    assert json.loads(template)["miesto_realizacie"]["katastralne_uzemia"][0]["parcely"] == [{"typ": None, "cisla": []}] and asked[0][0].endswith("the text") and asked[1][0] is None
+    with pytest.raises(ValueError, match="exactly once"):
+        prompts.prompt(spark.createDataFrame([("p", "c")], "path string, content string"), "no place")
+
+
 def test_convert(spark):
     files = spark.createDataFrame([("a.pdf", b"thin"), ("b.pdf", b"x" * 40), ("c.docx", b"D"), ("d.txt", b"t\xff"), ("e.exe", b""), ("f.xls", b"boom")], "file_name string, content binary")
 

@@ -3,9 +3,10 @@ import json
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from noticelake import cli
-from noticelake.operators import convert, schema
+from noticelake.operators import convert, prompts, schema
 from noticelake.plans import pipelines
 from noticelake.sources import fetch, files, html
 from noticelake.streaming import new_documents
@@ -25,17 +26,16 @@ PARAGRAPHS = """<div id="popis"><h2>Životné prostredie / Úradná tabuľa</h2>
 
 def test_boards(spark):
     pages = spark.createDataFrame([("t", TABLE), ("p", PARAGRAPHS), ("x", "<p>none</p>"), ("h", '<div id="popis"><h2>Iné</h2></div>'), ("n", None)], "page string, html string")
-    docs, failed = html.board_documents(pages, ["page"], specific="životné prostredie")
+    docs, failed, linkless = html.board_documents(pages, ["page"], specific="životné prostredie")
     got = [tuple(r) for r in docs.orderBy("page", "place").select("page", "kategoria", "datum", "nazov", "url", "warning").collect()]
     assert got == [
         ("p", "", "2025-04-30", "A", "https://www.minv.sk/a", None),
         ("p", "", "2025-05-01", "B", "https://www.minv.sk/b", None),
-        ("p", "", "2025-05-01", "no link", None, "link without href"),
         ("t", html.UNNAMED_CATEGORY, "2025-04-30", "One", "https://www.minv.sk/d1?subor=1", None),
         ("t", "Lesy", None, "Two", "https://h/2", "document without date"),
-        ("t", "Lesy", None, "Three", None, "link without href"),
         ("t", "Lesy", "2025-05-02", "Four", "https://www.minv.sk/4", None),
     ]
+    assert sorted((r["page"], r["nazov"], r["warning"]) for r in linkless.collect()) == [("p", "no link", "link without href"), ("t", "Three", "link without href")]
     assert {r["page"]: r["error"] for r in failed.collect()} == {"x": "section #popis not found", "h": "heading not found", "n": "section #popis not found"}
 
 
@@ -110,9 +110,15 @@ def test_files(spark, tmp_path):
     (tmp_path / "empty.json").write_text("[]")
     (tmp_path / "ok.json").write_text(json.dumps([{"nazov": "č", "url": "u"}]))
     (tmp_path / "obj.json").write_text('{"a": 1}')
+    (tmp_path / "bad.json").write_text('[{"a": 1}, oops')
+    (tmp_path / "none.json").write_text("")
     assert files.read_json_array(spark, str(tmp_path / "empty.json"), schema.LISTING).count() == 0
     assert files.read_json_array(spark, str(tmp_path / "ok.json"), schema.LISTING).first()["nazov"] == "č"
-    assert [files.input_faults(spark, str(tmp_path / n)) and files.input_faults(spark, str(tmp_path / n))[0][0] for n in ("ok.json", "obj.json", "no.json")] == [[], "error", "critical"]
+    assert [files.input_faults(spark, str(tmp_path / n)) and files.input_faults(spark, str(tmp_path / n))[0][0] for n in ("ok.json", "obj.json", "no.json", "bad.json", "none.json")] == [[], "error", "critical", "critical", "critical"]
+    assert files.read_json_array(spark, str(tmp_path / "obj.json"), schema.LISTING, lenient=True).count() == 0
+    for name in ("obj.json", "bad.json", "no.json"):
+        with pytest.raises(ValueError, match="input"):
+            files.read_json_array(spark, str(tmp_path / name), schema.LISTING)
     assert files.read_json_text(spark, '[{"url": "u"}]', schema.LISTING).first()["url"] == "u"
     with pytest.raises(ValueError, match="no input"):
         files.read_json_text(spark, " ", schema.LISTING)
@@ -148,23 +154,99 @@ def test_archives(spark):
     assert got["2"][0] is None and "BadZipFile" in got["2"][1][0] and "RAR" in got["3"][1][0] and got["4"] == ("plain", None)
 
 
-def test_flows(spark):
-    site = {"https://h/?subor=1": ("text/plain", b"text one"), "https://h/?subor=2": ("application/zip", archive(**{"a.txt": "in zip"}))}
+def counted(f, log):
+    """``f`` with a line in a file for every call, as calls happen in other processes."""
 
-    def fetcher(url):
-        if url.endswith(".html"):
-            return 200, "text/html", PAGE.encode()
+    def call(x):
+        with open(log, "a") as out:
+            out.write(f"{str(x)[:60]}\n".replace("\n", " ") + "\n")
+        return f(x)
+
+    return call
+
+
+def calls(log):
+    found = sorted(x.strip() for x in open(log).read().splitlines()) if log.exists() else []
+    log.unlink(missing_ok=True)
+    return found
+
+
+def test_each_document_is_processed_once(spark, tmp_path):
+    site = {"https://h/?subor=1": ("text/plain", b"text one, long enough"), "https://h/?subor=2": ("application/zip", archive(**{"a.txt": "in a zip file"})), "https://h/?subor=5": ("application/pdf", b"pdf of some length"), "https://h/?subor=6": ("application/zip", b"broken archive")}
+
+    def get(url):
         if url not in site:
             raise OSError("gone")
         return 200, *site[url]
 
-    docs = spark.createDataFrame([("K", "O", "https://h/?subor=1"), ("K", "P", "https://h/?subor=1"), ("K", "O", "https://h/?subor=2"), ("K", "O", "https://h/3"), ("K", "O", " ")], "kraj string, okres string, url string")
-    got = pipelines.process_documents(docs, fetcher, convert.Converters(), lambda t: json.dumps({"t": t}))
-    by = sorted((str(r["doc_id"])[:8], r["text"], r["analysis"], r["error"]) for r in got.collect() if r["text"] or r["error"])
-    assert len(by) == 5 and by[0] == ("1", "text one", '{"t": "text one"}', None) and by[2][1] == "in zip" and by[3] == ("None", None, None, "Invalid or empty URL") and by[4][3] == "OSError: gone"
-    items = spark.createDataFrame([("n", "https://h/doc.html", "2025-01-01", "about"), ("n", "https://h/gone", "", "")], "nazov string, url string, datum string, popis string")
-    rows = {r["url"]: r for r in pipelines.process_listing(items, fetcher, lambda t: json.dumps({"n": len(t)})).collect()}
-    assert rows["https://h/doc.html"]["doc_id"] == "doc" and rows["https://h/doc.html"]["okres"] == "Martin" and rows["https://h/doc.html"]["error"] is None and rows["https://h/gone"]["error"] == "OSError: gone"
+    fetched, converted, extracted = (tmp_path / n for n in ("f", "c", "e"))
+    conv = convert.Converters(pdf=counted(lambda b: "the text of a page, longer than the limit", converted))
+    tools = (counted(get, fetched), conv, counted(lambda t: json.dumps({"t": t}), extracted))
+    docs = spark.createDataFrame([("K", "O", "https://h/?subor=1"), ("K", "P", "https://h/?subor=1"), ("K", "O", "https://h/?subor=2"), ("K", "O", "https://h/3"), ("K", "O", " "), ("K", "O", "https://h/?subor=5"), ("K", "O", "https://h/?subor=6")], "kraj string, okres string, url string")
+    got = pipelines.process_documents(docs, *tools, files.saver(str(tmp_path / "w")))
+    got.write.parquet(str(tmp_path / "r1"))
+    rows = [(r["okres"], str(r["doc_id"])[:8], r["text"], r["analysis"], r["error"]) for r in spark.read.parquet(str(tmp_path / "r1")).collect()]
+    by = {(o, d): x for o, d, *x in rows}
+    assert len(rows) == 7 and by["O", "1"] == by["P", "1"] == ["text one, long enough", '{"t": "text one, long enough"}', None]
+    assert by["O", "2"][0] == "in a zip file" and by["O", "None"] == [None, None, "Invalid or empty URL"] and by["O", "urlhash_"][2] == "OSError: gone" and "BadZipFile" in by["O", "6"][2]
+    assert calls(fetched) == sorted([*site, "https://h/3"]) and len(calls(converted)) == 1 and len(calls(extracted)) == 3
+
+    # The second run asks again only for what failed; a text that is missing is made again, and its analysis.
+    done = spark.read.parquet(str(tmp_path / "r1")).filter("body IS NOT NULL").withColumn("text", F.when(F.col("doc_id") != "1", F.col("text")))
+    pipelines.process_documents(docs, *tools, files.saver(str(tmp_path / "w2")), done).write.parquet(str(tmp_path / "r2"))
+    assert calls(fetched) == ["https://h/3"] and len(calls(extracted)) == 1
+    again = {(r["okres"], str(r["doc_id"])[:8]): [r["text"], r["analysis"], r["error"]] for r in spark.read.parquet(str(tmp_path / "r2")).collect()}
+    assert again == by | {("O", "6"): again["O", "6"]} and again["O", "6"][2]
+    store = files.stored_files(spark.read.parquet(str(tmp_path / "r2")), "minv")
+    files.append_store(store, str(tmp_path / "store"), 1)
+    files.append_store(store.withColumn("content", F.lit("new")).filter("file_name = 'text.txt' AND doc_id = '2'"), str(tmp_path / "store"), 2)
+    kept = {(r["okres"], r["doc_id"], r["file_name"]): r["content"] for r in files.latest_stored(spark, str(tmp_path / "store")).collect()}
+    assert kept["O", "2", "text.txt"] == "new" and kept["P", "1", "analysis.json"] == by["P", "1"][1] and len(kept) == 12
+    log = pipelines.status_of(spark.read.parquet(str(tmp_path / "r2")), F.lit("2025-01-02 03:04:05").cast("timestamp"), 1, "minv")
+    assert sorted((str(r["doc_id"])[:8], r["type"]) for r in log.collect()) == [("6", "error"), ("None", "error"), ("urlhash_", "error")]
+    skipped = pipelines.process_documents(docs, *tools, files.saver(str(tmp_path / "w3")), skip_analysis=True)
+    said = pipelines.status_of(skipped, F.lit("2025-01-02 03:04:05").cast("timestamp"), 1, "minv", True).collect()
+    assert sum(r["text"] == "analysis skipped" for r in said) == 4 and not calls(extracted)
+
+
+def test_boards_flow(spark, tmp_path):
+    fine = TABLE.replace(" Úradná tabuľa ", "Životné prostredie / Úradná tabuľa")
+    fails = tmp_path / "fails"
+
+    def get(url):
+        if "/late" in url and not fails.exists():
+            fails.write_text("x")
+            raise TimeoutError("late")
+        if "/general" in url:
+            return (404, "text/html", b"") if "odbor" in url else (200, "text/html", TABLE.encode())
+        if "/odd" in url:
+            return 200, "text/html", TABLE.encode()
+        return 200, "text/html", fine.encode()
+
+    directory = spark.createDataFrame([("B", "/b", [("own", "/own"), ("general", "/general"), ("late", "/late")]), ("A", "/a", [("odd", "/odd"), ("none", None)]), ("C", "/c", [])], schema.DIRECTORY)
+    waits = []
+    found = pipelines.scrape_boards(directory, get, files.saver(str(tmp_path / "w")), delays=(1, 2), sleep=waits.append)
+    assert [c.split(":")[0] for c in found.columns] == ["kraj", "url", "okresy"] and waits == [1, 2]
+    by = {(r["kraj"], o["nazov"]): o for r in found.collect() for o in r["okresy"]}
+    assert list(by) and {k: (o["error"], o["url_tabule"]) for k, o in by.items()} == {
+        ("B", "own"): (None, "https://www.minv.sk/own&odbor=10&sekcia=uradna-tabula"), ("B", "general"): (None, "https://www.minv.sk/general&sekcia=uradna-tabula"),
+        ("B", "late"): (None, "https://www.minv.sk/late&odbor=10&sekcia=uradna-tabula"), ("A", "odd"): ("heading not found", None), ("A", "none"): ("district without URL", None),
+    }
+    assert [(k["kategoria"], [d["nazov"] for d in k["dokumenty"]]) for k in by["B", "late"]["dokumenty_zivotne_prostredie"]] == [(html.UNNAMED_CATEGORY, ["One"]), ("Lesy", ["Two", "Four"])]
+    assert by["A", "odd"]["dokumenty_zivotne_prostredie"] == [] and [r["okresy"] for r in found.collect() if r["kraj"] == "C"] == [[]]
+
+
+def test_listing_flow(spark, tmp_path):
+    pages = {f"https://h/list?page={n}": news(n, n == 12).encode() for n in range(1, 13)}
+    get = lambda url: (200, "text/html", pages[url]) if "list" in url else (200, "text/html", PAGE.encode()) if url.endswith("doc.html") else (404, "text/html", b"")
+    items = pipelines.crawl_listing(spark.createDataFrame([("https://h/list?page=1",)], "url string"), get, files.saver(str(tmp_path / "c")), "https://h")
+    assert [r["nazov"] for r in items.collect()][::2] == [f"Title {n}" for n in range(1, 13)]
+    items = spark.createDataFrame([("n", "https://h/doc.html", "2025-01-01", "about"), ("n", "https://h/gone", "", ""), ("n", None, "", "")], "nazov string, url string, datum string, popis string")
+    asked = tmp_path / "asked"
+    done = pipelines.process_listing(items, get, counted(lambda t: json.dumps({"n": len(t)}), asked), files.saver(str(tmp_path / "w")), asked=prompts.extraction)
+    rows = {r["url"]: r for r in done.collect()}
+    assert rows["https://h/doc.html"]["doc_id"] == "doc" and rows["https://h/doc.html"]["okres"] == "Martin" and rows["https://h/doc.html"]["error"] is None
+    assert rows["https://h/gone"]["error"] == "HTTP 404" and rows[None]["error"] == "no URL" and calls(asked) == [prompts.INSTRUCTION[:60].strip()]
 
 
 def test_stream(spark, tmp_path):
@@ -184,7 +266,7 @@ def test_commands(spark, tmp_path, capsys):
     for name, urls in (("old", ["a"]), ("new", ["a", "b"])):
         (tmp_path / f"{name}.json").write_text(json.dumps([{"url": u, "nazov": "n", "datum": "", "popis": ""} for u in urls]))
     assert cli.main(["diff", "--old", str(tmp_path / "old.json"), "--new", str(tmp_path / "new.json")]) == 0
-    assert [json.loads(x)["url"] for x in capsys.readouterr().out.splitlines()] == ["b"]
+    assert [x["url"] for x in json.loads(capsys.readouterr().out)] == ["b"]
     (tmp_path / "menu.html").write_text(MENU)
     cli.main(["directory", "--pages", str(tmp_path / "menu.html"), "--output", str(tmp_path / "o")])
     assert json.loads(next((tmp_path / "o").glob("part-*")).read_text())[0]["kraj"] == "Kraj 1"
@@ -207,10 +289,11 @@ def test_commands_with_tools(spark, tmp_path, capsys, monkeypatch):
     board = [{"kraj": "K", "url": "/k", "okresy": [{"nazov": "O", "url": "/o", "dokumenty_zivotne_prostredie": [{"kategoria": "c", "dokumenty": [doc]}]}]}]
     (tmp_path / "boards.json").write_text(json.dumps(board))
     (tmp_path / "bad.json").write_text("{}")
-    assert cli.main(["process-boards", "--input", str(tmp_path / "boards.json"), "--tools", "own_tools"]) == 0
-    row = json.loads(capsys.readouterr().out.splitlines()[-1])
+    assert cli.main(["process-boards", "--input", str(tmp_path / "boards.json"), "--tools", "own_tools", "--work", str(tmp_path / "w"), "--store", str(tmp_path / "s"), "--status", str(tmp_path / "l")]) == 0
+    (row,) = json.loads(capsys.readouterr().out)
     assert (row["doc_id"], row["text"], row["analysis"]) == ("7", "body", "{}")
-    assert cli.main(["process-listing", "--input", str(tmp_path / "bad.json"), "--tools", "own_tools"]) == 1
+    assert cli.main(["process-listing", "--input", str(tmp_path / "bad.json"), "--tools", "own_tools", "--work", str(tmp_path / "w2"), "--status", str(tmp_path / "l")]) == 1
+    assert [r["type"] for r in spark.read.parquet(str(tmp_path / "l")).collect()] == ["error"] and files.latest_stored(spark, str(tmp_path / "s")).count() == 3
     (tmp_path / "x.pdf").write_bytes(b"pdf")
     assert cli.main(["pdf-text", "--input", str(tmp_path / "x.pdf"), "--tools", "own_tools"]) == 0
     monkeypatch.setattr("sys.stdin", io.StringIO(json.dumps(board)))
