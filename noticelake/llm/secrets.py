@@ -2,13 +2,17 @@
 
 Base findings stand alone: assignments to a secret's name, access identifiers, long hex runs. Weak
 candidates (an identifier, a mixed token, an endpoint) are reported only where a part that completes them
-lies within a scope: identifier and endpoint need a secret, a mixed token needs an identifier or endpoint.
+lies within a scope and apart from them: identifier and endpoint need a secret, a mixed token needs an identifier or
+endpoint. An endpoint is its address; what stands in its query counts as beside it, so a token there completes it, but
+a part of its path does not. An endpoint that holds user and password is complete by itself. Every finding tells its
+links: the role and the place of the nearest part of each kind that completes it, before and after.
 
 Each text is matched where it is read. A match list and the texts between matches give lengths only; the
 rows that travel are (id, digest, kind, position, lengths) and one marker per document, never text. One
 shuffle by document then serves all that follows: running sums turn lengths into places, the interval join
-is a pair of running extremes over the spans in order of their start (the nearest part of each role before
-and after), so no pairs are formed, and a last grouping joins the spans of a document.
+is a pair of running extremes over the places where spans begin and stop (the nearest part of each role that stopped
+before a span begins, and that begins after it stops), so no pairs are formed, and a last grouping joins the spans of
+a document. Repeated rows are merged per input partition before any shuffle.
 
 Defined cases: null text is empty; repeated rows (same id and text) are each reported, with the same spans;
 null ids are kept; an empty table gives an empty result; other columns are never read.
@@ -41,6 +45,10 @@ KINDS = (
     ("endpoint", "endpoint", ENDPOINT),
 )
 BASE = 3
+#: What completes a part.
+WANTS = {"secret": ("identifier", "endpoint"), "identifier": ("secret",), "endpoint": ("secret",)}
+#: An endpoint with user and password.
+USERINFO = r"^[a-zA-Z0-9:]+://[^\s/?#:@]+:[^\s/?#@]+@"
 
 
 def _may_match(kind: str, text: Column, pattern: str) -> Column:
@@ -66,7 +74,7 @@ def _counts(kind: str, match: Column) -> Column:
 
 
 def _matches(number: int, text: Column) -> Column:
-    """array<struct<kind, pos, gap, len, ok>>: every match of a kind and the length of the text before it."""
+    """array<struct<kind, pos, gap, len, core, alone, ok>>: every match of a kind, and the length of the text before it."""
     kind, _, pattern = KINDS[number]
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
@@ -77,41 +85,52 @@ def _matches(number: int, text: Column) -> Column:
             i.alias("pos"),
             F.length(x["g"]).alias("gap"),
             F.length(x["m"]).alias("len"),
+            F.length(F.regexp_extract(x["m"], r"^[^?#]*", 0) if kind == "endpoint" else x["m"]).alias("core"),
+            (x["m"].rlike(USERINFO) if kind == "endpoint" else F.lit(False)).alias("alone"),
             _counts(kind, x["m"]).alias("ok"),
         ),
     )
-    return F.when(_may_match(kind, text, pattern), listed).otherwise(F.array().cast("array<struct<kind:int,pos:int,gap:int,len:int,ok:boolean>>"))
+    return F.when(_may_match(kind, text, pattern), listed).otherwise(F.array().cast("array<struct<kind:int,pos:int,gap:int,len:int,core:int,alone:boolean,ok:boolean>>"))
 
 
 def _placed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, digest, kind, start, end, copies: the findings, and a row of kind -1 for each different document."""
-    marker = F.array(F.struct(F.lit(-1).alias("kind"), F.lit(0).alias("pos"), F.lit(0).alias("gap"), F.lit(0).alias("len"), F.lit(True).alias("ok")))
+    """id, digest, kind, start, stop, end, alone, copies: the findings, and a row of kind -1 for each different document."""
+    marker = F.array(F.struct(F.lit(-1).alias("kind"), F.lit(0).alias("pos"), F.lit(0).alias("gap"), F.lit(0).alias("len"), F.lit(0).alias("core"), F.lit(False).alias("alone"), F.lit(True).alias("ok")))
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     rows = rows.select("id", F.unhex(F.sha2("text", 256)).alias("digest"), F.inline(F.concat(marker, *(_matches(k, F.col("text")) for k in range(len(KINDS))))))
-    once = rows.repartition("id", "digest").groupBy("id", "digest", "kind", "pos", "gap", "len", "ok").agg(F.count(F.lit(1)).alias("copies"))
+    once = rows.groupBy("id", "digest", "kind", "pos", "gap", "len", "core", "alone", "ok").agg(F.count(F.lit(1)).alias("copies")).repartition("id", "digest")
     end = F.sum(F.col("gap") + F.col("len")).over(Window.partitionBy("id", "digest", "kind").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))
-    return once.withColumn("end", end).filter("ok").select("id", "digest", "kind", (F.col("end") - F.col("len")).alias("start"), "end", "copies")
+    start = F.col("end") - F.col("len")
+    return once.withColumn("end", end).filter("ok").select("id", "digest", "kind", start.alias("start"), (start + F.col("core")).alias("stop"), "end", "alone", "copies")
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE) -> DataFrame:
-    """One row per document: id, found: array<struct<start, number, end, kind, weak>> by start, then kind as listed."""
-    placed = _placed(docs, id_col, text_col)
+    """One row per document: id, found: array<struct<start, number, end, kind, weak, links>> by start, then kind as listed.
+
+    links: array<struct<role, at>>, the parts that complete a finding: where one stops before it or begins after it.
+    """
     role = F.element_at(F.array(*(F.lit(r) for _, r, _ in KINDS)), F.col("kind") + 1)
-    placed = placed.withColumn("role", F.when(F.col("kind") >= 0, role))
+    placed = _placed(docs, id_col, text_col).withColumn("role", F.when(F.col("kind") >= 0, role))
+    # Every span has a place where it stops and one where it begins; at one place, stops come first.
+    events = placed.select("*", F.inline(F.array(F.struct(F.col("stop").alias("at"), F.lit(0).alias("side")), F.struct(F.col("start").alias("at"), F.lit(1).alias("side")))))
     whole = Window.partitionBy("id", "digest")
-    before = whole.orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, -1)
-    after = whole.orderBy(F.desc("start"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, -1)
-
-    def near(wanted: str) -> Column:
-        mine = F.col("role") == wanted
-        gap_before = F.col("start") - F.max(F.when(mine, F.col("end"))).over(before)
-        gap_after = F.min(F.when(mine, F.col("start"))).over(after) - F.col("end")
-        return (F.coalesce(gap_before, F.lit(scope + 1)) <= scope) | (F.coalesce(gap_after, F.lit(scope + 1)) <= scope)
-
-    linked = F.when(F.col("role") == "secret", near("identifier") | near("endpoint")).otherwise(near("secret"))
-    linked = placed.withColumn("report", (F.col("kind") < BASE) | linked)
+    before = whole.orderBy("at", "side").rowsBetween(Window.unboundedPreceding, -1)
+    after = whole.orderBy(F.desc("at"), F.desc("side")).rowsBetween(Window.unboundedPreceding, -1)
+    for r in WANTS:
+        mine = F.col("role") == r
+        events = events.withColumn(f"before_{r}", F.max(F.when(mine & (F.col("side") == 0), F.col("at"))).over(before))
+        events = events.withColumn(f"after_{r}", F.min(F.when(mine & (F.col("side") == 1), F.col("at"))).over(after))
+    keys = ["id", "digest", "kind", "start", "stop", "end", "alone", "copies", "role"]
+    spans = events.groupBy(*keys).agg(*(F.max(F.when(F.col("side") == int(w == "before"), F.col(f"{w}_{r}"))).alias(f"{w}_{r}") for r in WANTS for w in ("before", "after")))
+    links = []
+    for r in WANTS:
+        wanted = F.col("role").isin([own for own, wants in WANTS.items() if r in wants])
+        for w, gap in (("before", F.col("start") - F.col(f"before_{r}")), ("after", F.col(f"after_{r}") - F.col("stop"))):
+            links.append(F.when(wanted & (gap <= scope), F.struct(F.lit(r).alias("role"), F.col(f"{w}_{r}").alias("at"))))
+    linked = spans.withColumn("links", F.filter(F.array(*links), lambda x: x.isNotNull()))
+    reported = (F.col("kind") < BASE) | F.col("alone") | (F.size("links") > 0)
     name = F.element_at(F.array(*(F.lit(k) for k, _, _ in KINDS)), F.col("kind") + 1)
-    span = F.when((F.col("kind") >= 0) & F.col("report"), F.struct("start", F.col("kind").alias("number"), "end", name.alias("kind"), (F.col("kind") >= BASE).alias("weak")))
+    span = F.when((F.col("kind") >= 0) & reported, F.struct("start", F.col("kind").alias("number"), "end", name.alias("kind"), (F.col("kind") >= BASE).alias("weak"), "links"))
     joined = linked.groupBy("id", "digest").agg(F.sort_array(F.collect_list(span)).alias("found"), F.max(F.when(F.col("kind") < 0, F.col("copies"))).alias("copies"))
     return joined.select("id", "found", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("id", "found")
 
@@ -128,6 +147,7 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         count(2).alias("n_hex"),
         F.sha2(spelled(base), 256).alias("base_sha256"),
         spelled(F.col("found")).alias("spans"),
+        F.array_join(F.flatten(F.transform("found", lambda s: F.transform(s["links"], lambda x: F.concat(s["start"].cast("string"), F.lit(":"), s["end"].cast("string"), F.lit(">"), x["role"], F.lit("@"), x["at"].cast("string"))))), ",").alias("links"),
     )
 
 
@@ -143,22 +163,27 @@ FROM (SELECT r, unnest(ms) AS m, unnest(gs[1:len(ms)]) AS g, generate_subscripts
       FROM (SELECT r, regexp_extract_all(t, {quote(p)}) AS ms, string_split_regex(t, {quote(p)}) AS gs FROM d))"""
         for k, (kind, role, p) in enumerate(KINDS)
     ]
-    near = lambda role: f"(coalesce(start_ - max(CASE WHEN role = '{role}' THEN end_ END) OVER b, {SCOPE + 1}) <= {SCOPE} OR coalesce(min(CASE WHEN role = '{role}' THEN start_ END) OVER a - end_, {SCOPE + 1}) <= {SCOPE})"
+    near = ", ".join(f"(SELECT max(y.stop_) FROM spans y WHERE y.r = x.r AND y.role = '{r}' AND y.stop_ <= x.start_) AS before_{r}, (SELECT min(y.start_) FROM spans y WHERE y.r = x.r AND y.role = '{r}' AND y.start_ >= x.stop_) AS after_{r}" for r in WANTS)
+    links = []
+    for r in WANTS:
+        wanted = ", ".join(f"'{own}'" for own, wants in WANTS.items() if r in wants)
+        for at, gap in ((f"before_{r}", f"start_ - before_{r}"), (f"after_{r}", f"after_{r} - stop_")):
+            links.append(f"CASE WHEN role IN ({wanted}) AND {gap} <= {SCOPE} THEN start_ || ':' || end_ || '>{r}@' || {at} END")
     return f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
 hits AS ({" UNION ALL ".join(parts)}),
 placed AS (SELECT *, sum(length(g) + length(m)) OVER (PARTITION BY r, number ORDER BY pos ROWS UNBOUNDED PRECEDING) AS end_ FROM hits),
-spans AS (SELECT r, number, kind, role, CAST(end_ - length(m) AS BIGINT) AS start_, CAST(end_ AS BIGINT) AS end_ FROM placed WHERE ok),
-linked AS (SELECT *, number < {BASE} OR CASE WHEN role = 'secret' THEN {near('identifier')} OR {near('endpoint')} ELSE {near('secret')} END AS report
-  FROM spans
-  WINDOW b AS (PARTITION BY r ORDER BY start_, number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
-         a AS (PARTITION BY r ORDER BY start_ DESC, number DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+spans AS (SELECT r, number, kind, role, CAST(end_ - length(m) AS BIGINT) AS start_, CAST(end_ AS BIGINT) AS end_,
+  CAST(end_ - length(m) + CASE WHEN number = 5 THEN length(regexp_extract(m, '^[^?#]*')) ELSE length(m) END AS BIGINT) AS stop_,
+  number = 5 AND regexp_matches(m, {quote(USERINFO)}) AS alone FROM placed WHERE ok),
+linked AS (SELECT *, list_filter([{", ".join(links)}], lambda x: x IS NOT NULL) AS links FROM (SELECT x.*, {near} FROM spans x)),
 told AS (SELECT r, count(*) FILTER (number = 0) AS n0, count(*) FILTER (number = 1) AS n1, count(*) FILTER (number = 2) AS n2,
   string_agg(kind || ':' || start_ || ':' || end_, ',' ORDER BY start_, number) FILTER (number < {BASE}) AS base,
-  string_agg(kind || ':' || start_ || ':' || end_, ',' ORDER BY start_, number) AS spans
-  FROM linked WHERE report GROUP BY r)
+  string_agg(kind || ':' || start_ || ':' || end_, ',' ORDER BY start_, number) AS spans,
+  string_agg(array_to_string(links, ','), ',' ORDER BY start_, number) FILTER (len(links) > 0) AS links
+  FROM linked WHERE number < {BASE} OR alone OR len(links) > 0 GROUP BY r)
 SELECT doc_id, coalesce(n0, 0) AS n_assign, coalesce(n1, 0) AS n_access, coalesce(n2, 0) AS n_hex,
-       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(links, '') AS links
 FROM d LEFT JOIN told USING (r)
 """
 

@@ -22,14 +22,24 @@ def all_spans(text, scope=secrets.SCOPE):
                 found.append((m.start(), number, m.end()))
     found.sort()
 
-    def near(x, wanted):
-        return any(y != x and roles[y[1]] in wanted and max(y[0] - x[2], x[0] - y[2]) <= scope for y in found)
+    def stop(x):
+        return x[0] + len(re.match(r"[^?#]*", text[x[0] : x[2]])[0]) if x[1] == 5 else x[2]
 
-    wants = {"secret": ("identifier", "endpoint"), "identifier": ("secret",), "endpoint": ("secret",)}
-    return [x for x in found if x[1] < secrets.BASE or near(x, wants[roles[x[1]]])]
+    def links(x):
+        out = []
+        for r in ("secret", "identifier", "endpoint"):
+            if r in secrets.WANTS[roles[x[1]]]:
+                before = [stop(y) for y in found if roles[y[1]] == r and stop(y) <= x[0]]
+                after = [y[0] for y in found if roles[y[1]] == r and y[0] >= stop(x)]
+                out += [(r, max(before))] if before and x[0] - max(before) <= scope else []
+                out += [(r, min(after))] if after and min(after) - stop(x) <= scope else []
+        return out
 
+    told = [(*x, links(x)) for x in found]
+    return [x for x in told if x[1] < secrets.BASE or x[3] or (x[1] == 5 and re.match(secrets.USERINFO, text[x[0] : x[2]]))]
 
-PARTS = ['token = "abc123def456"', "password: token: abcdef12345", "PassWord=short", "api_key:'x.y/z=+_-1'", "AKIA" + "Z9" * 10, "AKIAAKIA", "AKIA" * 6, "0123456789abcdef01234567", "deadbeef" * 2, "client_id=zoe.1", "user: anna", "https://example.com/x?y", "Ab1" * 12, "jdbc:mysql://h/db", "é", "🙂", " ", "\n", "plain words here ", "x" * 90, "y " * 120]
+
+PARTS = ['token = "abc123def456"', "password: token: abcdef12345", "PassWord=short", "api_key:'x.y/z=+_-1'", "AKIA" + "Z9" * 10, "AKIAAKIA", "AKIA" * 6, "0123456789abcdef01234567", "deadbeef" * 2, "client_id=zoe.1", "user: anna", "https://example.com/x?y", "Ab1" * 12, "jdbc:mysql://h/db", "https://ann:pw12@h.org/x", "https://h.org/a?token=abcdef99&x", "https://h.org/blob/Ab1Cd2Ef3Gh4Ij5Kl6Mn7Op8Qr9St0Uv1Wx2/readme", "é", "🙂", " ", "\n", "plain words here ", "x" * 90, "y " * 120]
 
 
 def test_matches_brute_force(spark):
@@ -38,7 +48,7 @@ def test_matches_brute_force(spark):
     rows = [(k, t) for k, t in enumerate(texts)] + [(7, texts[7]), (7, "token=other1234"), (None, texts[3]), (900, None), (901, ""), (902, "w " * 50_000 + PARTS[0])]
     df = spark.createDataFrame([(i, t, 1, "k") for i, t in rows], "doc_id long, text string, pos int, kind string")
     got = secrets.find_secrets(df).collect()
-    told = lambda i, spans: (str(i), [(s[0], s[1], s[2]) for s in spans])
+    told = lambda i, spans: (str(i), [(s[0], s[1], s[2], [tuple(x) for x in s[-1]]) for s in spans])
     assert sorted(told(r["id"], r["found"]) for r in got) == sorted(told(i, all_spans(t or "")) for i, t in rows)
     assert secrets.find_secrets(df.limit(0)).count() == 0
 
@@ -52,3 +62,24 @@ def test_query_matches_base_contract(spark):
         want[r["doc_id"]] = [sum(s[1] == k for s in spans) for k in range(3)] + [hashlib.sha256(",".join(f"{names[n]}:{a}:{b}" for a, n, b in spans).encode()).hexdigest()]
     got = {r["doc_id"]: [r["n_assign"], r["n_access"], r["n_hex"], r["base_sha256"]] for r in secrets.op1_secret_scan(spark, sf).collect()}
     assert got == want
+
+
+def test_parts_of_one_address_complete_nothing(spark):
+    path = "see https://example.com/blob/Ab1Cd2Ef3Gh4Ij5Kl6Mn7Op8Qr9St0Uv1Wx2/readme now"
+    rows = [(1, path), (2, "https://h.org/a?token=abcdef99"), (3, "https://ann:pw12@h.org/x"), (4, path + " token=abcdef99")]
+    got = {r["id"]: [(s["kind"], [x["role"] for x in s["links"]]) for s in r["found"]] for r in secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] == [] and got[2] == [("endpoint", ["secret"]), ("assign", ["endpoint"])] and got[3] == [("endpoint", [])]
+    assert got[4] == [("endpoint", ["secret"]), ("assign", ["endpoint"])]
+
+
+def test_query_matches_sql(spark, tmp_path):
+    import duckdb
+
+    rng = random.Random(6)
+    rows = [(k, "".join(rng.choices(PARTS, k=rng.randint(0, 25)))) for k in range(200)] + [(5, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = sorted(con.execute(secrets.ORACLES["op1_secret_scan"]).fetchall())
+    got = sorted(tuple(r) for r in secrets.op1_secret_scan(spark, str(tmp_path)).collect())
+    assert got == want and any(r[-1] for r in got)
