@@ -6,8 +6,10 @@ greedy search proposes neighbours for every node, and robust pruning keeps a nei
 is closer to it (by the factor alpha), first with alpha 1, then with a larger one that leaves long edges.
 Vectors get one more component that makes all norms equal, so that nearest means largest inner product.
 
-Queries go to all shards in blocks of bounded size. A beam search proposes nodes, which are scored again in
-double precision on the original vectors; the shards' best meet in one ranking per query.
+A shard is one task's: its nodes come first, sorted, then all queries. The task builds the graph, keeps it in memory
+and streams the queries past it, so no graph is ever shuffled and a lost task repeats its own shard only. A beam
+search proposes nodes, which are scored again in double precision on the original vectors; the shards' best meet in
+one ranking per query.
 
 Defined cases: vectors that are null, all zero, or hold null or non-finite components take no part, nor do
 those of another length than the most common one; equal scores rank by smaller id; repeated rows (same id
@@ -17,6 +19,8 @@ other columns are never read.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -24,9 +28,9 @@ from pyspark.sql import functions as F
 
 from noticelake.llm.common import checkpoint, table
 
-#: Nodes of a shard and queries of a block, at most about.
-SHARD = 8192
-QUERY_BLOCK = 4096
+#: Nodes of a shard, at most about. Tables too small for one such shard a core get smaller ones, of SMALL nodes or more.
+SHARD = 65_536
+SMALL = 8192
 #: Neighbours that pruning leaves, and links that a node may gather before it is pruned again.
 DEGREE = 32
 ROOM = 64
@@ -149,47 +153,51 @@ def build(points: np.ndarray, seed: int = 1) -> Graph:
     return g
 
 
-def _pack(shard: pd.DataFrame, norm2: float) -> pd.DataFrame:
-    shard = shard.sort_values("first", ignore_index=True)
-    raw = np.vstack(shard["vec"].to_list()).astype(np.float64)
-    extra = np.sqrt(np.maximum(norm2 - (raw**2).sum(1), 0))
-    g = build(np.hstack([raw, extra[:, None]]).astype(np.float32))
-    members = np.concatenate(shard["ids"].to_list()).astype(np.int64)
-    edges = np.append(0, np.cumsum(shard["ids"].map(len))).astype(np.int64)
-    blobs = {"vectors": raw, "links": g.links, "members": members, "edges": edges}
-    return pd.DataFrame({"shard": shard["shard"].iloc[:1], "entry": [g.entry], **{k: [v.tobytes()] for k, v in blobs.items()}})
-
-
-def _answer(index: pd.DataFrame, queries: pd.DataFrame, k: int, beam: int, norm2: float) -> pd.DataFrame:
-    none = pd.DataFrame({"query_id": np.array([], np.int64), "vec_id": np.array([], np.int64), "score": np.array([], np.float64)})
-    if index.empty or queries.empty:
-        return none
-    row = index.iloc[0]
-    edges, members = np.frombuffer(row["edges"], np.int64), np.frombuffer(row["members"], np.int64)
-    n = len(edges) - 1
-    raw = np.frombuffer(row["vectors"], np.float64).reshape(n, -1)
-    extra = np.sqrt(np.maximum(norm2 - (raw**2).sum(1), 0))
-    g = Graph(np.hstack([raw, extra[:, None]]).astype(np.float32), np.frombuffer(row["links"], np.int32).reshape(n, -1), int(row["entry"]))
-    out = [none]
-    for at in range(0, len(queries), _CHUNK):
-        part = queries.iloc[at : at + _CHUNK]
-        ids, q = part["query_id"].to_numpy(), np.vstack(part["vec"].to_list()).astype(np.float64)
-        found = g.search(np.hstack([q, np.zeros((len(q), 1))]).astype(np.float32), min(beam, n))
-        score = np.where(found >= 0, (raw[found] * q[:, None, :]).sum(2), -np.inf)
-        best = np.argsort(-score, axis=1, kind="stable")[:, : k + 1]  # one more: the query's own
-        rows = np.arange(len(q))[:, None]
-        found, score = found[rows, best], score[rows, best]
-        i, j = np.nonzero(found >= 0)
-        node = found[i, j]
-        count = edges[node + 1] - edges[node]
-        member = members[np.repeat(edges[node] - (np.cumsum(count) - count), count) + np.arange(count.sum())]
-        df = pd.DataFrame({"query_id": np.repeat(ids[i], count), "vec_id": member, "score": np.repeat(score[i, j], count)})
-        df = df[df["query_id"] != df["vec_id"]].sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
-        out.append(df.groupby("query_id").head(k))
-    return pd.concat(out)
-
-
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", shard: int = SHARD, query_block: int = QUERY_BLOCK, beam: int = SEARCH_BEAM) -> DataFrame:
+class Shard:
+    """A graph with the original vectors of its nodes and the ids that each node stands for."""
+
+    def __init__(self, nodes: pd.DataFrame, norm2: float):
+        self.raw = np.vstack(nodes["vec"].to_list()).astype(np.float64)
+        extra = np.sqrt(np.maximum(norm2 - (self.raw**2).sum(1), 0))
+        self.graph = build(np.hstack([self.raw, extra[:, None]]).astype(np.float32))
+        self.members = np.concatenate(nodes["ids"].to_list()).astype(np.int64)
+        self.edges = np.append(0, np.cumsum(nodes["ids"].map(len))).astype(np.int64)
+
+    def answer(self, queries: pd.DataFrame, k: int, beam: int) -> Iterator[pd.DataFrame]:
+        raw, edges, step = self.raw, self.edges, max(64, min(_CHUNK, 16_000_000 // len(self.raw)))
+        for at in range(0, len(queries), step):
+            part = queries.iloc[at : at + step]
+            ids, q = part["key"].to_numpy(), np.vstack(part["vec"].to_list()).astype(np.float64)
+            found = self.graph.search(np.hstack([q, np.zeros((len(q), 1))]).astype(np.float32), min(beam, len(raw)))
+            score = np.where(found >= 0, (raw[found] * q[:, None, :]).sum(2), -np.inf)
+            best = np.argsort(-score, axis=1, kind="stable")[:, : k + 1]  # one more: the query's own
+            rows = np.arange(len(q))[:, None]
+            found, score = found[rows, best], score[rows, best]
+            i, j = np.nonzero(found >= 0)
+            node = found[i, j]
+            count = edges[node + 1] - edges[node]
+            member = self.members[np.repeat(edges[node] - (np.cumsum(count) - count), count) + np.arange(count.sum())]
+            df = pd.DataFrame({"query_id": np.repeat(ids[i], count), "vec_id": member, "score": np.repeat(score[i, j], count)})
+            df = df[df["query_id"] != df["vec_id"]].sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
+            yield df.groupby("query_id").head(k)
+
+
+def _searched(batches: Iterator[pd.DataFrame], k: int, beam: int, norm2: float) -> Iterator[pd.DataFrame]:
+    """Rows shard, query, key, vec, ids, sorted: a shard's nodes, then its queries. What the queries find comes out."""
+    number, nodes, index = None, [], None
+    for batch in batches:
+        for (shard, query), part in batch.groupby(["shard", "query"], sort=True):
+            if shard != number:
+                number, nodes, index = shard, [], None
+            if not query:
+                nodes.append(part)
+            elif nodes or index:
+                if index is None:
+                    index, nodes = Shard(pd.concat(nodes, ignore_index=True), norm2), []
+                yield from index.answer(part, k, beam)
+
+
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", shard: int = SHARD, small: int = SMALL, beam: int = SEARCH_BEAM) -> DataFrame:
     """Per row of ``queries`` its k best among ``vectors`` by inner product: query_id, rank, vec_id, score."""
     clean = lambda df, name: df.select(F.col(id_col).cast("long").alias(name), F.col(vec_col).cast("array<double>").alias("vec")).filter(usable(F.col("vec")) & F.col(name).isNotNull())
     rows = clean(vectors, "id")
@@ -201,27 +209,15 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "
     smallest = rows.filter(sized).withColumn("r", F.dense_rank().over(Window.partitionBy("vec").orderBy("id"))).filter(F.col("r") <= k + 1)
     nodes = checkpoint(smallest.groupBy("vec").agg(F.sort_array(F.collect_set("id")).alias("ids")))
     stats = nodes.agg(F.count(F.lit(1)), F.max(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))).first()
-    shards, norm2 = -(-stats[0] // shard), float(stats[1])
-
-    def pack(df: pd.DataFrame) -> pd.DataFrame:
-        return _pack(df, norm2)
-
-    def answer(index: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        return _answer(index, block, k, beam, norm2)
-
-    dealt = nodes.select(F.pmod(F.xxhash64("vec"), F.lit(shards)).alias("shard"), F.col("ids")[0].alias("first"), "vec", "ids")
-    schema = "shard long, entry int, vectors binary, links binary, members binary, edges binary"
-    # By range, each shard is a task of its own; by hash, some tasks would build several.
-    index = checkpoint(dealt.repartitionByRange(shards, "shard").groupBy("shard").applyInPandas(pack, schema))
-
+    n, norm2 = stats[0], float(stats[1])
     asked = clean(queries, "query_id").filter(sized).distinct()
-    blocks = -(-asked.count() // query_block)
-    if not blocks:
-        return empty
-    spread = lambda n, name: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias(name)
-    left = index.select("*", spread(blocks, "block")).groupBy("shard", "block")
-    right = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks))).select("*", spread(shards, "shard")).groupBy("shard", "block")
-    found = left.cogroup(right).applyInPandas(answer, "query_id long, vec_id long, score double")
+    shards = max(-(-n // shard), min(vectors.sparkSession.sparkContext.defaultParallelism, -(-n // min(small, shard))))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard")
+    held = nodes.select(F.pmod(F.xxhash64("vec"), F.lit(shards)).alias("shard"), F.lit(0).alias("query"), F.col("ids")[0].alias("key"), "vec", "ids")
+    dealt = held.unionByName(asked.select(every, F.lit(1).alias("query"), F.col("query_id").alias("key"), "vec", F.lit(None).cast("array<bigint>").alias("ids")))
+    # By range, each shard is a task of its own; by hash, some tasks would build several.
+    sorted_ = dealt.repartitionByRange(shards, "shard").sortWithinPartitions("shard", "query", "key")
+    found = sorted_.mapInPandas(lambda batches: _searched(batches, k, beam, norm2), "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -23,7 +23,7 @@ def recall(got, want):
 @pytest.mark.parametrize("shard", [8192, 150])
 def test_recall_and_scores(spark, shard):
     emb = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
-    got = ann.nearest(emb, emb.filter("vec_id % 20 = 0"), shard=shard, query_block=10).toPandas()
+    got = ann.nearest(emb, emb.filter("vec_id % 20 = 0"), shard=shard).toPandas()
     pdf = pd.read_parquet("/root/testdata/sf0.01/embeddings.parquet")
     rows = list(zip(pdf["vec_id"], pdf["embedding"], strict=True))
     want = brute(rows, [r for r in rows if r[0] % 20 == 0], 20)
@@ -38,6 +38,21 @@ def test_recall_and_scores(spark, shard):
         assert list(zip(-g["score"], g["vec_id"], strict=True)) == sorted(zip(-g["score"], g["vec_id"], strict=True))
 
 
+def test_recall_over_many_full_shards(spark):
+    """Clusters of unlike norms, in shards that are thirty times as large as the beam."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(200, 32))
+    x = (centres[rng.integers(0, 200, 16_000)] + 0.7 * rng.normal(size=(16_000, 32))) * rng.uniform(0.8, 1.2, (16_000, 1))
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(16_000), "embedding": x.tolist()}), "vec_id long, embedding array<double>").repartition(4)
+    got = ann.nearest(df, df.filter("vec_id % 200 = 0"), shard=4000).toPandas()
+    want = {}
+    for q in range(0, 16_000, 200):
+        score = x @ x[q]
+        score[q] = -np.inf
+        want[q] = [(int(i), 0.0) for i in np.argsort(-score)[:20]]
+    assert recall(got, want) >= 0.9
+
+
 def test_equal_vectors_and_bad_rows(spark):
     rng = np.random.default_rng(2)
     base = rng.normal(size=(30, 4)).round(3)

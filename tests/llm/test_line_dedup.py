@@ -70,7 +70,7 @@ def test_chunks_match_definition_and_shift():
 def test_matches_brute_force(spark):
     rows = corpus(random.Random(9))
     rows += [(3, rows[3][1]), (3, rows[4][1]), (500, rows[5][1]), (None, rows[6][1]), (501, None), (502, ""), (503, "\n" * 50), (504, "\n" * 50), (505, "x y\n" * 30_000)]
-    df = spark.createDataFrame([(i, t, 7, "k") for i, t in rows], "doc_id long, text string, chunk int, key string")
+    df = spark.createDataFrame([(i, t, 7, "k", 1, 2, 3, 4) for i, t in rows], "doc_id long, text string, chunk int, key string, _id int, drop int, row int, `a.b` int")
     out = line_dedup.drop_repeated_lines(df)
     assert out.columns == [*df.columns, "lines", "removed"]
     key = lambda r: (str(r[0]), str(r[1]))
@@ -124,6 +124,15 @@ def test_whole_runs_are_removed(spark):
     assert line_dedup.drop_repeated_runs(df.limit(0)).count() == 0
 
 
+def test_clashing_pair_keys_are_told_apart_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "line_pairs", lambda docs, content=False, cut=line_dedup.line_pairs: cut(docs, content).withColumn("key", F.substring("key", 1, 0)))
+    rows = corpus(random.Random(14))[:40]
+    df = spark.createDataFrame([(i, t, 1, 2) for i, t in rows], "doc_id long, text string, lines int, own_id int")
+    out = line_dedup.drop_repeated_runs(df)
+    assert out.columns == ["doc_id", "text", "own_id", "lines", "removed"]
+    assert sorted((r["doc_id"], r["text"], r["lines"], r["removed"]) for r in out.collect()) == sorted(brute_runs(rows))
+
+
 def test_query_removes_runs(spark, tmp_path):
     rows = [(1, "a one\nb two"), (2, "c\na one\nb two\nd")]
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
