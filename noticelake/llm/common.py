@@ -41,6 +41,12 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.hint("rebalance").checkpoint(eager=True)
 
 
+def dealt_checkpoint(df: DataFrame) -> DataFrame:
+    """``checkpoint`` of rows that need no rebalancing: they come from a shuffle, or are as many as a scan's partitions."""
+    checkpoint_folder(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def broadcast_if_few(df: DataFrame, most: int = FEW) -> DataFrame:
     """A checkpointed table of short rows, to be broadcast if it was counted to have at most ``most``, else to be joined by a shuffle."""
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df

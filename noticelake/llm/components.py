@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noticelake.llm.common import checkpoint
+from noticelake.llm.common import dealt_checkpoint
 
 
 def _signature(edges: DataFrame) -> tuple:
@@ -19,15 +19,15 @@ def components(edges: DataFrame) -> DataFrame:
     aggregations, and its neighbours are split by the adaptive skew join. Nothing but the count and checksum
     of the edges reaches the driver. Nulls and self-loops are ignored.
     """
-    current = checkpoint(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    current = dealt_checkpoint(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     seen = _signature(current)
     while seen[0]:
         both = current.union(current.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lowest, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        current = checkpoint(small.union(lowest).distinct())
+        current = dealt_checkpoint(small.union(lowest).distinct())
         now = _signature(current)
         if now == seen:
             break

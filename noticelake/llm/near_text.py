@@ -29,14 +29,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noticelake.llm import simhash
-from noticelake.llm.common import broadcast_if_few, checkpoint, text_of
+from noticelake.llm.common import broadcast_if_few, checkpoint, dealt_checkpoint, text_of
 from noticelake.llm.components import components
 
 WIDTH = 5
 SIMILARITY = 0.8
 #: Shingles of eight bytes that are broadcast at most.
 FEW_TOKENS = 1_000_000
-_BUCKETS = 1 << 17
+_BUCKETS = 1 << 14
 _MARKS = 4
 _MARK_NAMES = [f"m{k}" for k in range(_MARKS)]
 _EPS = 1e-9
@@ -102,80 +102,64 @@ def _near(pairs: DataFrame, texts: DataFrame, width: int, similarity: float) ->
             yield pd.Series(out, dtype=bool)
 
     # Few texts have a candidate; only they are shuffled. Their keys are broadcast while they are few.
-    pairs = checkpoint(pairs)
-    needed = checkpoint(pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "node"))
+    pairs = dealt_checkpoint(pairs.distinct())
+    needed = dealt_checkpoint(pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "node"))
     held = texts.join(broadcast_if_few(needed), "node", "left_semi")
     one, two = (held.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}")) for c in ("a", "b"))
-    return checkpoint(pairs.join(one, "a").join(two, "b").filter(similar("text_a", "text_b")).select("a", "b"))
+    return dealt_checkpoint(pairs.join(one, "a").join(two, "b").filter(similar("text_a", "text_b")).select("a", "b"))
 
 
-def _outlines(texts: DataFrame, width: int) -> DataFrame:
-    """node, fp (the text's SimHash), size (of its set of shingles) and marks, from one pass over the texts."""
+def _by_fingerprint(texts: DataFrame, width: int) -> DataFrame:
+    """Candidate pairs a, b by operator 2: texts of one fingerprint with the first of them, and first ones within three bits."""
+    prints = checkpoint(simhash.fingerprints(texts, "node", "text", width))
+    classes = dealt_checkpoint(prints.groupBy("fp").agg(F.min("id").alias("rep")))
+    same = prints.join(classes, "fp").filter("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
+    return same.union(simhash.near_links(classes))
 
-    @F.pandas_udf(f"struct<fp:long,size:int,{','.join(f'{m}:long' for m in _MARK_NAMES)}>")
+
+def _heads(texts: DataFrame, width: int, similarity: float) -> DataFrame:
+    """node, tokens (hashes of the first shingles of its set, in the table's order), size (of the set) and marks."""
+    counts = texts.sparkSession.sparkContext.broadcast(_counts(texts, width))
+
+    @F.pandas_udf(f"struct<tokens:array<long>,size:int,{','.join(f'{m}:long' for m in _MARK_NAMES)}>")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        often = counts.value
         for batch in batches:
-            fps, sizes, marks = [], [], []
+            tokens, sizes, marks = [], [], []
             for t in batch:
-                runs = list(simhash.shingle_hashes(t, width, 42))
-                h = np.unique(np.concatenate(runs or [np.zeros(1, np.uint64)]))
-                fps.append(simhash.majority(runs))
+                h = _hashes(t, width)
+                order = np.argsort(often[(h % np.uint64(_BUCKETS)).astype(np.int64)], kind="stable")
+                tokens.append(h[order[: len(h) - int(np.ceil(similarity * len(h) - _EPS)) + 1]].view(np.int64))
                 sizes.append(len(h))
                 marks.append(_marks(h))
             columns = dict(zip(_MARK_NAMES, np.array(marks, np.int64).reshape(-1, _MARKS).T, strict=True))
-            yield pd.DataFrame({"fp": np.array(fps, np.uint64).view(np.int64), "size": np.array(sizes, np.int32), **columns})
-
-    return checkpoint(texts.select("node", of("text").alias("o")).select("node", "o.*"))
-
-
-def _by_fingerprint(outlines: DataFrame) -> DataFrame:
-    """Candidate pairs a, b: each text with the smallest node of its component over fingerprints within three bits."""
-    classes = checkpoint(outlines.groupBy("fp").agg(F.min("node").alias("rep")))
-    found = components(simhash.near_links(classes))
-    named = classes.join(found, classes["rep"] == found["node"], "left").select("fp", F.coalesce("component", "rep").alias("a"))
-    return outlines.select("node", "fp").join(named, "fp").filter("node <> a").select("a", F.col("node").alias("b"))
+            yield pd.DataFrame({"tokens": pd.Series(tokens, dtype=object), "size": np.array(sizes, np.int32), **columns})
 
-
-def _placed(shared: DataFrame, outlines: DataFrame, links: DataFrame) -> DataFrame:
-    """Shared shingles with size, marks and component of their text, dealt by shingle."""
-    known = outlines.drop("fp").join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    return shared.join(known, "node").repartition("token")
+    return dealt_checkpoint(texts.select("node", of("text").alias("h")).select("node", "h.*"))
 
 
 def near_links(texts: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY) -> DataFrame:
     """``texts``: node (long, each once), text. Returns links a, b that join all pairs of near copies."""
-    outlines = _outlines(texts, width)
-    close = _near(_by_fingerprint(outlines), texts, width, similarity)
-    counts = texts.sparkSession.sparkContext.broadcast(_counts(texts, width))
-
-    @F.pandas_udf("array<long>")
-    def first_tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        often = counts.value
-        for batch in batches:
-            out = []
-            for t in batch:
-                h = _hashes(t, width)
-                order = np.argsort(often[(h % np.uint64(_BUCKETS)).astype(np.int64)], kind="stable")
-                out.append(h[order[: len(h) - int(np.ceil(similarity * len(h) - _EPS)) + 1]].view(np.int64))
-            yield pd.Series(out, dtype=object)
-
-    # Worked out twice: kept, these rows would take more disk than the texts.
-    dealt = texts.select("node", F.posexplode(first_tokens("text")).alias("pos", "token"))
-    common = checkpoint(dealt.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("token"))
-    shared = checkpoint(dealt.join(broadcast_if_few(common, FEW_TOKENS), "token"))
-    placed = _placed(shared, outlines, close)
-    # The hub is of the component with the smallest number, so that the shingles of near copies tend to share it.
-    hubs = placed.groupBy("token").agg(F.min(F.struct("component", "node", "pos", "size", *_MARK_NAMES)).alias("h")).select("token", "h.*")
-    to_hub = placed.alias("x").join(hubs.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.component") != F.col("y.component")) & _may("x", "y", similarity, first=False))
-    links = checkpoint(close.unionAll(_near(to_hub.select(F.col("y.node").alias("a"), F.col("x.node").alias("b")).distinct(), texts, width, similarity)))
-    placed = _placed(shared, outlines, links)
+    close = _by_fingerprint(texts, width)
+    heads = _heads(texts, width, similarity)
+    dealt = heads.select("node", F.posexplode("tokens").alias("pos", "token"))
+    common = dealt_checkpoint(dealt.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("token"))
+    shared = dealt.join(broadcast_if_few(common, FEW_TOKENS), "token")
+    placed = dealt_checkpoint(shared.join(heads.drop("tokens"), "node"))
+
+    # First every text with the smallest of each shingle's texts.
+    hubs = placed.groupBy("token").agg(F.min(F.struct("node", "pos", "size", *_MARK_NAMES)).alias("h")).select("token", "h.*")
+    to_hub = placed.alias("x").join(hubs.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.node") != F.col("y.node")) & _may("x", "y", similarity, first=False))
+    found = components(_near(close.union(to_hub.select(F.col("y.node").alias("a"), F.col("x.node").alias("b"))), texts, width, similarity))
+
+    # Then what these links leave apart: of a shingle's texts, those outside its largest component with all others.
+    placed = placed.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     main = placed.groupBy("token", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("token").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1").drop("parts")
-    placed = placed.join(main, "token")
-    rest = placed.filter("component <> main")
+    placed = dealt_checkpoint(placed.join(main, "token"))
     apart = (F.col("x.component") != F.col("y.component")) & ((F.col("y.component") == F.col("y.main")) | (F.col("x.node") < F.col("y.node")))
-    more = rest.alias("x").join(placed.alias("y"), (F.col("x.token") == F.col("y.token")) & apart & _may("x", "y", similarity))
-    more = more.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    return links.union(_near(more, texts, width, similarity))
+    more = placed.filter("component <> main").alias("x").join(placed.alias("y"), (F.col("x.token") == F.col("y.token")) & apart & _may("x", "y", similarity))
+    more = more.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+    return found.select(F.col("component").alias("a"), F.col("node").alias("b")).union(_near(more, texts, width, similarity))
 
 
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, similarity: float = SIMILARITY) -> DataFrame:
