@@ -8,8 +8,9 @@ checked against its shingles. An exact join then finds all other pairs, and skip
 The join. Shingles have one order for the whole table, roughly the rarest first; sets of n that are as similar as t
 share a shingle among the first n - ceil(t n) + 1 of each. Only these travel. Sizes and places bound how much two
 sets can share, and so do marks: every shingle of a set flips one of 256 bits, so sets differ in at least as many
-shingles as their marks do in bits. What passes is compared by the shingles' bytes. The order comes from counts over
-all texts, by class of hash; it decides the cost and never the result. Texts that share a shingle are first
+shingles as their marks do in bits. Pairs that pass meet the same bound again, by marks as wide as the sets are large
+(an eighth of a byte or two for each shingle), which leaves little but near copies; those are compared by the shingles'
+bytes. The order comes from counts over all texts, by class of hash; it decides the cost and never the result. Texts that share a shingle are first
 paired with one of them (its hub) only. Those that are then in one component need no more pairs among themselves;
 the rest are paired with all others that the bounds allow.
 
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noticelake.llm import simhash
-from noticelake.llm.common import broadcast_if_few, checkpoint, dealt_checkpoint, text_of
+from noticelake.llm.common import broadcast_if_few, dealt_checkpoint, text_of
 from noticelake.llm.components import components
 
 WIDTH = 5
@@ -48,33 +49,50 @@ def shingles(text: str, width: int = WIDTH) -> set[bytes]:
     return {b" ".join(words[i : i + width]) for i in range(len(words) - width + 1)} if words else {b""}
 
 
-def _hashes(text: str, width: int) -> np.ndarray:
+def _different(runs: list[np.ndarray]) -> np.ndarray:
     """The different hashes of a text's shingles; a text without words has one, as if its shingle were empty."""
-    return np.unique(np.concatenate(list(simhash.shingle_hashes(text, width, 42)) or [np.zeros(1, np.uint64)]))
+    return np.unique(np.concatenate(runs or [np.zeros(1, np.uint64)]))
 
 
-def _marks(h: np.ndarray) -> np.ndarray:
-    """_MARKS words of 64 bits; a bit is set if an odd number of the hashes fall on it."""
-    odd = np.bincount((h >> np.uint64(40)).astype(np.int64) % (64 * _MARKS), minlength=64 * _MARKS) & 1
-    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+def _wide_marks(h: np.ndarray) -> np.ndarray:
+    """Bits, at least two for each hash and a power of two in all; one is set if an odd number of the hashes fall on it."""
+    bits = max(64 * _MARKS, 1 << int(2 * len(h) - 1).bit_length())
+    return np.bincount((h >> np.uint64(24)).astype(np.int64) % bits, minlength=bits).astype(np.uint8) & 1
 
 
-def _counts(texts: DataFrame, width: int) -> np.ndarray:
-    """In how many texts shingles fall into each class of their hash. The classes are of a fixed number."""
+def _marks(wide: np.ndarray) -> np.ndarray:
+    """The same marks folded to 64 * _MARKS bits, in words of 64."""
+    return np.packbits(np.bitwise_xor.reduce(wide.reshape(-1, 64 * _MARKS), axis=0), bitorder="little").view(np.int64)
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def _apart(a: bytes, b: bytes) -> int:
+    """In how many bits wide marks differ, the wider folded to the size of the other."""
+    x, y = sorted((np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)), key=len)
+    return int(np.bitwise_count(x ^ np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)).sum())
+
+
+def _scan(texts: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
+    """From one pass: id, fp (fingerprints) of all texts, and in how many texts shingles fall into each class of their
+    hash. The classes are of a fixed number."""
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(_BUCKETS, np.int64)
         for batch in batches:
+            prints = []
             for t in batch["text"]:
-                total += np.bincount((_hashes(t, width) % np.uint64(_BUCKETS)).astype(np.int64), minlength=_BUCKETS)
+                runs = list(simhash.shingle_hashes(t, width, 42))
+                prints.append(simhash.majority(runs))
+                total += np.bincount((_different(runs) % np.uint64(_BUCKETS)).astype(np.int64), minlength=_BUCKETS)
+            yield pd.DataFrame({"is_text": True, "key": batch["node"], "value": np.array(prints, np.uint64).view(np.int64)})
         at = np.flatnonzero(total)
-        yield pd.DataFrame({"bucket": at, "n": total[at]})
+        yield pd.DataFrame({"is_text": False, "key": at, "value": total[at]})
 
-    rows = texts.select("text").mapInPandas(count, "bucket long, n long")
-    found = rows.groupBy("bucket").agg(F.sum("n").alias("n")).select(F.col("bucket").cast("int").alias("bucket"), F.least("n", F.lit(2**31 - 1)).cast("int").alias("n")).toPandas()
+    rows = dealt_checkpoint(texts.select("node", "text").mapInPandas(scan, "is_text boolean, key long, value long"))
+    counts = rows.filter("not is_text").groupBy("key").agg(F.sum("value").alias("n"))
+    found = counts.select(F.col("key").cast("int").alias("bucket"), F.least("n", F.lit(2**31 - 1)).cast("int").alias("n")).toPandas()
     out = np.zeros(_BUCKETS, np.int32)
     out[found["bucket"].to_numpy()] = found["n"].to_numpy()
-    return out
+    return rows.filter("is_text").select(F.col("key").alias("id"), F.col("value").alias("fp")), out
 
 
 def _may(a: str, b: str, similarity: float, first: bool = True) -> Column:
@@ -89,8 +107,13 @@ def _may(a: str, b: str, similarity: float, first: bool = True) -> Column:
     return fits & (size + other - apart >= 2 * needed)
 
 
-def _near(pairs: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
-    """Those of the pairs a, b whose texts are as similar, by the shingles' bytes."""
+def _near(pairs: DataFrame, texts: DataFrame, heads: DataFrame, width: int, similarity: float) -> DataFrame:
+    """Those of the pairs a, b whose texts are as similar: first by wide marks, then by the shingles' bytes."""
+
+    @F.pandas_udf("boolean")
+    def possible(n: pd.Series, m: pd.Series, first: pd.Series, second: pd.Series) -> pd.Series:
+        apart = np.fromiter(map(_apart, first, second), np.int64, len(first))
+        return pd.Series(apart <= (1 - similarity) / (1 + similarity) * (n + m) + _EPS)
 
     @F.pandas_udf("boolean")
     def similar(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -101,56 +124,60 @@ def _near(pairs: DataFrame, texts: DataFrame, width: int, similarity: float) ->
                 out.append(len(x & y) >= similarity * len(x | y) - _EPS)
             yield pd.Series(out, dtype=bool)
 
-    # Few texts have a candidate; only they are shuffled. Their keys are broadcast while they are few.
-    pairs = dealt_checkpoint(pairs.distinct())
+    x, y = (heads.select(F.col("node").alias(c), F.col("size").alias(f"size_{c}"), F.col("wide").alias(f"wide_{c}")) for c in ("a", "b"))
+    held = pairs.distinct().join(x, "a").join(y, "b")
+    pairs = dealt_checkpoint(held.filter(possible("size_a", "size_b", "wide_a", "wide_b")).select("a", "b"))
+    # Few texts are left in a pair; only they are shuffled. Their keys are broadcast while they are few.
     needed = dealt_checkpoint(pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "node"))
     held = texts.join(broadcast_if_few(needed), "node", "left_semi")
     one, two = (held.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}")) for c in ("a", "b"))
     return dealt_checkpoint(pairs.join(one, "a").join(two, "b").filter(similar("text_a", "text_b")).select("a", "b"))
 
 
-def _by_fingerprint(texts: DataFrame, width: int) -> DataFrame:
+def _by_fingerprint(prints: DataFrame) -> DataFrame:
     """Candidate pairs a, b by operator 2: texts of one fingerprint with the first of them, and first ones within three bits."""
-    prints = checkpoint(simhash.fingerprints(texts, "node", "text", width))
     classes = dealt_checkpoint(prints.groupBy("fp").agg(F.min("id").alias("rep")))
     same = prints.join(classes, "fp").filter("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
     return same.union(simhash.near_links(classes))
 
 
-def _heads(texts: DataFrame, width: int, similarity: float) -> DataFrame:
-    """node, tokens (hashes of the first shingles of its set, in the table's order), size (of the set) and marks."""
-    counts = texts.sparkSession.sparkContext.broadcast(_counts(texts, width))
+def _heads(texts: DataFrame, classes: np.ndarray, width: int, similarity: float) -> DataFrame:
+    """node, tokens (hashes of the first shingles of its set, in the table's order), size (of the set), wide marks and marks."""
+    counts = texts.sparkSession.sparkContext.broadcast(classes)
 
-    @F.pandas_udf(f"struct<tokens:array<long>,size:int,{','.join(f'{m}:long' for m in _MARK_NAMES)}>")
+    @F.pandas_udf(f"struct<tokens:array<long>,size:int,wide:binary,{','.join(f'{m}:long' for m in _MARK_NAMES)}>")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         often = counts.value
         for batch in batches:
-            tokens, sizes, marks = [], [], []
+            tokens, sizes, wides, marks = [], [], [], []
             for t in batch:
-                h = _hashes(t, width)
+                h = _different(list(simhash.shingle_hashes(t, width, 42)))
                 order = np.argsort(often[(h % np.uint64(_BUCKETS)).astype(np.int64)], kind="stable")
                 tokens.append(h[order[: len(h) - int(np.ceil(similarity * len(h) - _EPS)) + 1]].view(np.int64))
                 sizes.append(len(h))
-                marks.append(_marks(h))
+                wide = _wide_marks(h)
+                wides.append(np.packbits(wide, bitorder="little").tobytes())
+                marks.append(_marks(wide))
             columns = dict(zip(_MARK_NAMES, np.array(marks, np.int64).reshape(-1, _MARKS).T, strict=True))
-            yield pd.DataFrame({"tokens": pd.Series(tokens, dtype=object), "size": np.array(sizes, np.int32), **columns})
+            yield pd.DataFrame({"tokens": pd.Series(tokens, dtype=object), "size": np.array(sizes, np.int32), "wide": pd.Series(wides, dtype=object), **columns})
 
     return dealt_checkpoint(texts.select("node", of("text").alias("h")).select("node", "h.*"))
 
 
 def near_links(texts: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY) -> DataFrame:
     """``texts``: node (long, each once), text. Returns links a, b that join all pairs of near copies."""
-    close = _by_fingerprint(texts, width)
-    heads = _heads(texts, width, similarity)
+    prints, classes = _scan(texts, width)
+    close = _by_fingerprint(prints)
+    heads = _heads(texts, classes, width, similarity)
     dealt = heads.select("node", F.posexplode("tokens").alias("pos", "token"))
     common = dealt_checkpoint(dealt.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("token"))
     shared = dealt.join(broadcast_if_few(common, FEW_TOKENS), "token")
-    placed = dealt_checkpoint(shared.join(heads.drop("tokens"), "node"))
+    placed = dealt_checkpoint(shared.join(heads.drop("tokens", "wide"), "node"))
 
     # First every text with the smallest of each shingle's texts.
     hubs = placed.groupBy("token").agg(F.min(F.struct("node", "pos", "size", *_MARK_NAMES)).alias("h")).select("token", "h.*")
     to_hub = placed.alias("x").join(hubs.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.node") != F.col("y.node")) & _may("x", "y", similarity, first=False))
-    found = components(_near(close.union(to_hub.select(F.col("y.node").alias("a"), F.col("x.node").alias("b"))), texts, width, similarity))
+    found = components(_near(close.union(to_hub.select(F.col("y.node").alias("a"), F.col("x.node").alias("b"))), texts, heads, width, similarity))
 
     # Then what these links leave apart: of a shingle's texts, those outside its largest component with all others.
     placed = placed.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -159,7 +186,7 @@ def near_links(texts: DataFrame, width: int = WIDTH, similarity: float = SIMILAR
     apart = (F.col("x.component") != F.col("y.component")) & ((F.col("y.component") == F.col("y.main")) | (F.col("x.node") < F.col("y.node")))
     more = placed.filter("component <> main").alias("x").join(placed.alias("y"), (F.col("x.token") == F.col("y.token")) & apart & _may("x", "y", similarity))
     more = more.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
-    return found.select(F.col("component").alias("a"), F.col("node").alias("b")).union(_near(more, texts, width, similarity))
+    return found.select(F.col("component").alias("a"), F.col("node").alias("b")).union(_near(more, texts, heads, width, similarity))
 
 
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, similarity: float = SIMILARITY) -> DataFrame:
