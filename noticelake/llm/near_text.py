@@ -10,9 +10,9 @@ share a shingle among the first n - ceil(t n) + 1 of each. Only these travel. Si
 sets can share, and so do marks: every shingle of a set flips one of 256 bits, so sets differ in at least as many
 shingles as their marks do in bits. Pairs that pass meet the same bound again, by marks as wide as the sets are large
 (a quarter to half a byte for each shingle), which leaves little but near copies; those are compared by the shingles'
-bytes. The order comes from counts over all texts, by class of hash; it decides the cost and never the result. Texts that share a shingle are first
-paired with one of them (its hub) only. Those that are then in one component need no more pairs among themselves;
-the rest are paired with all others that the bounds allow.
+bytes. The order comes from counts over all texts, by class of hash; it decides the cost and never the result. Texts
+that share a shingle are first paired with one of them (its hub) only. Those that are then in one component need no
+more pairs among themselves; the rest are paired with all others that the bounds allow.
 
 Of each connected component the row with the smallest id stays, one with an id before one without; of repeated rows
 (same id and text) one stays. Words are cut and lower-cased as in operator 2; shorter texts are one shingle; texts
