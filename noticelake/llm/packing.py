@@ -17,7 +17,7 @@ from __future__ import annotations
 import base64
 import json
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache, partial
 from pathlib import Path
 
@@ -62,6 +62,45 @@ def encoder(path: str | None = None, added: bool = False) -> tiktoken.Encoding:
     return tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added_tokens(path) if added else {})
 
 
+@lru_cache(maxsize=4)
+def exact_encoder(path: str | None = None, added: bool = False):
+    """The library that the JSON file is made for."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    known = Tokenizer.from_file(str(Path(path).with_suffix(".json")) if path else public_tokenizers.path("byte_bpe_50k.json"))
+    known.encode_special_tokens = not added
+    return known
+
+
+@lru_cache(maxsize=4)
+def encode_whole(path: str | None = None, added: bool = False) -> Callable[[str], list[int]]:
+    """From a text of any length to its ids.
+
+    The fast library gives up on runs of about a million white-space characters; such texts take the JSON file's own.
+    """
+    known = encoder(path, added)
+    fast = partial(known.encode, allowed_special="all" if added else set(), disallowed_special=())
+
+    def encode(text: str) -> list[int]:
+        try:
+            return fast(text)
+        except ValueError:
+            return exact_encoder(path, added).encode(text, add_special_tokens=False).ids
+
+    return encode
+
+
+@lru_cache(maxsize=2)
+def token_bytes(path: str | None = None) -> list[bytes]:
+    """The bytes of each id of the rank file; none for ids that it lacks."""
+    known = encoder(path)
+    out = [b""] * (known.max_token_value + 1)
+    for piece in known.token_byte_values():
+        out[known.encode_single_token(piece)] = piece
+    return out
+
+
 def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Best fit in falling length. Returns each item's bin (numbered from 0), its offset there, and the bins' loads.
 
@@ -99,8 +138,7 @@ def packed_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """Tokenise, cut and pack within each input partition. One row per piece, with its local bin, offset and the bin's load."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = encoder(tokenizer, added)
-        encode = partial(known.encode, allowed_special="all") if added else known.encode_ordinary
+        encode = encode_whole(tokenizer, added)
         base, made, held = TaskContext.get().partitionId() << 36, 0, []
 
         def flush() -> pd.DataFrame:

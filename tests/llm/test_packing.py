@@ -77,3 +77,15 @@ def test_added_tokens_have_their_ids(spark, tmp_path):
     df.write.parquet(f"{tmp_path}/documents.parquet")
     rows = [r.asDict() for r in packing.op4_best_fit_packing(spark, str(tmp_path)).withColumnRenamed("doc_id", "id").collect()]
     check(rows, texts, plain, 2048)
+
+
+@pytest.mark.parametrize("text", [" " * 2_000_000, "\n" * 2_000_000, "a <|endoftext|>" + " \t" * 700_000 + "b"])
+@pytest.mark.parametrize("added", [False, True])
+def test_long_runs_of_white_space(spark, hf, text, added):
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    plain.encode_special_tokens = not added
+    ids = plain.encode(text, add_special_tokens=False).ids
+    assert packing.encode_whole(added=added)(text) == ids
+    if not added:
+        rows = packing.pack_documents(spark.createDataFrame([(1, text), (2, "short")], "doc_id long, text string")).collect()
+        check(rows, [(1, text), (2, "short")], hf, packing.CAPACITY)
