@@ -282,7 +282,7 @@ class Codec:
         none, size = _Pairs.NONE, np.fromiter(map(len, pieces), np.int64, len(pieces))
         width = int(size.max())
         ids = self.byte_ids[np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), np.uint8).reshape(-1, width)]
-        rank = self.pairs(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(-1, width - 1)
+        rank = self.pairs(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(len(pieces), width - 1)
         columns = np.arange(width)
         rank[columns[None, 1:] >= size[:, None]] = none
         out, rows = ids.copy(), np.arange(len(pieces))
