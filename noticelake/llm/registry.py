@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from noticelake.llm import ann, bpe, conversations, exact_dedup, language, licenses, line_dedup, packing, pii, quality, secrets, simhash
+from noticelake.llm import alignment, ann, bpe, conversations, exact_dedup, language, licenses, line_dedup, packing, pii, quality, secrets, simhash
 
-MODULES = (exact_dedup, simhash, packing, bpe, quality, ann, secrets, pii, licenses, line_dedup, conversations, language)
+MODULES = (exact_dedup, simhash, packing, bpe, quality, ann, secrets, pii, licenses, line_dedup, conversations, language, alignment)
 
 
 def queries() -> dict:
