@@ -52,7 +52,8 @@ SYLLABLES = {
 }
 
 _LOCAL = r"[\p{L}\p{N}._%+-]"
-EMAIL = rf"(?<!{_LOCAL}){_LOCAL}++@[\p{{L}}\p{{N}}-]+(?:\.[\p{{L}}\p{{N}}-]+)*\.\p{{L}}{{2,}}"
+#: Host names have at most 127 labels (fixed value). Loops over groups are bounded or possessive: others recurse once a turn.
+EMAIL = rf"(?<!{_LOCAL}){_LOCAL}++@[\p{{L}}\p{{N}}-]+(?:\.[\p{{L}}\p{{N}}-]+){{0,125}}\.\p{{L}}{{2,}}"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 IP = rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?[0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
@@ -61,7 +62,7 @@ PHONE = r"(?<![0-9+])(?:\+[0-9]{1,3}[\x20.-]?(?:\([0-9]{1,4}\)[\x20.-]?)?[0-9]{2
 IBAN = r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])"
 _TITLES = "|".join(MALE + FEMALE)
 _GIVEN = "|".join(n for names in GIVEN.values() for n in names)
-_WORD = r"\p{Lu}\p{L}*(?:['’-]\p{Lu}\p{L}*)*"
+_WORD = r"\p{Lu}\p{L}*+(?:['’-]\p{Lu}\p{L}*+)*+"
 TITLE = rf"(?:{_TITLES})\.?\x20"
 NAME = rf"(?<!\p{{L}})(?=\p{{Lu}})(?:{TITLE}{_WORD}(?:\x20{_WORD}){{0,2}}|(?:{_GIVEN})(?:\x20{_WORD}){{1,2}})(?!\p{{L}})"
 
@@ -144,8 +145,8 @@ def described(text: Column) -> Column:
 
     def again(r: Column) -> Column:
         words = F.map_keys(r["own"])
-        known = F.concat(F.lit("(?:"), F.array_join(words, "|"), F.lit(")"))
-        own = F.concat(F.lit(ANY + r"|(?:(?<!\p{L})"), known, F.lit(r"(?:\x20"), known, F.lit(r")*(?!\p{L}))"))
+        known = F.concat(F.lit("(?:"), F.array_join(words, "|"), F.lit(r")(?!\p{L})"))
+        own = F.concat(F.lit(ANY + r"|(?:(?<!\p{L})"), known, F.lit(r"(?:\x20"), known, F.lit(r")*+)"))
         return F.struct(r["own"].alias("own"), r["found"].alias("found"), F.when(F.size(words) > 0, own).otherwise(F.lit(ANY)).alias("pattern"))
 
     def told(r: Column) -> Column:
@@ -284,8 +285,15 @@ def rewritten(text: Column, key: str, attempt) -> Column:
     """struct<text, mentions_found>; attempt: from an entity to the number of its try."""
 
     def made(r: Column) -> Column:
-        draw = lambda parts: _drawn(_extend(parts, "w entity", attempt=lambda p: attempt(p["entity"])), "w entity attempt", key)
-        items = _extend(_extend(r["items"], "m kind", parts=lambda x: draw(x["parts"])), "kind", new=_worded)
+        # Each entity of the text is drawn once, however often it is mentioned.
+        each = F.array_distinct(F.flatten(F.transform(r["items"], lambda x: F.transform(x["parts"], lambda p: p["entity"]))))
+        drawn = _drawn(F.transform(each, lambda e: F.struct(e.alias("entity"), attempt(e).alias("attempt"))), "entity attempt", key)
+        known = F.map_from_entries(F.transform(drawn, lambda d: F.struct(d["entity"].alias("entity"), d["new"].alias("new"))))
+        return _let(F.struct(r["pattern"].alias("pattern"), r["items"].alias("items"), known.alias("known")), worded)
+
+    def worded(r: Column) -> Column:
+        parts = lambda x: F.transform(x["parts"], lambda p: F.struct(p["w"].alias("w"), F.try_element_at(r["known"], p["entity"]).alias("new")))
+        items = F.transform(r["items"], lambda x: _let(F.struct(x["m"].alias("m"), x["kind"].alias("kind"), parts(x).alias("parts")), lambda y: F.struct(y["kind"].alias("kind"), _worded(y).alias("new"))))
         return _let(F.struct(r["pattern"].alias("pattern"), items.alias("items")), joined)
 
     def joined(r: Column) -> Column:

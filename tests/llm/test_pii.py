@@ -231,3 +231,14 @@ def test_short_forms_that_are_used_up(spark):
     new = [x for _, t, _ in got for x in t.split("\n")]
     assert len(set(new)) == len(new) == 50_000 and not set(new) & set(numbers)
     assert all(re.fullmatch(r"\+\d{5,}", x) for x in new)
+
+
+def test_long_runs_of_words_labels_and_hyphens(spark):
+    """A loop of the regular expressions that recursed once a turn would end the executor here."""
+    n = 100_000
+    rows = [(1, "Mr John Smith left. " + "Smith " * n), (2, "Mr A" + "-A" * n + " left"), (3, "a@b" + ".b" * n), (4, "Mr John Smith. " + "Smith-Smith " * n), (5, "x@y.com " * n)]
+    got = {i: (t, found) for i, t, found in run(spark, rows)}
+    assert len(set(got[1][0].split("left. ")[1].split())) == 1 and "Smith" not in got[1][0] and got[1][1] == ["name", "name"]
+    assert got[2][0].endswith(" left") and "-A-A" not in got[2][0] and got[2][1] == ["name"]
+    assert got[3] == (rows[2][1], []) and got[5][1] == ["email"] * n and len(set(got[5][0].split())) == 1
+    assert "Smith" not in got[4][0]
