@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from noticelake.functions.text import LEAST_OUTPUT
+from noticelake.operators.membership import filter_of, with_possible
 from noticelake.operators.nest import flatten, regroup
 
 
@@ -21,6 +22,19 @@ def new_items(new: DataFrame, old: DataFrame, key: str = "url") -> DataFrame:
     return new_rows(new.filter(F.col(key).isNotNull()), old, key)
 
 
+def new_items_by_filter(new: DataFrame, old: DataFrame, known: DataFrame, blocks: int, key: str = "url", prune_old: bool = False) -> DataFrame:
+    """As ``new_items``, with ``known``, a filter of all keys of ``old`` (or of more) that was stored with it.
+
+    Items that the filter does not know are new without a look at ``old``; only the others meet it in a join. With
+    ``prune_old``, the rows of ``old`` pass a filter of these others' keys before they are shuffled.
+    """
+    told = with_possible(new.filter(F.col(key).isNotNull()), known, blocks, F.col(key), name="_possible")
+    sure, maybe = told.filter("NOT _possible").drop("_possible"), told.filter("_possible").drop("_possible")
+    if prune_old:
+        old = with_possible(old, filter_of(maybe, F.col(key), blocks=blocks), blocks, F.col(key), name="_possible").filter("_possible").drop("_possible")
+    return sure.unionByName(new_rows(maybe, old, key))
+
+
 def new_on_boards(new: DataFrame, old: DataFrame, carry_board: bool = False, share: Column | None = None) -> DataFrame:
     """The boards of ``new`` with only the documents whose URL no board of ``old`` has; emptied levels vanish.
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from noticelake.functions import dates, text, urls
-from noticelake.operators import delta, enrich, nest, present, prompts, sample, status
+from noticelake.operators import delta, enrich, membership, nest, present, prompts, sample, status
 from noticelake.plans import fixtures
 from noticelake.plans.pipelines import recent_new_documents as flagship
 from noticelake.plans.testdata import AS_OF, DOCUMENTS, OLDEST, SHARE, boards, documents, table
@@ -120,6 +120,13 @@ def flat_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delta.new_items(*_lists(spark, sf_dir))
 
 
+@query(f"WITH {_LISTS} SELECT k, url FROM new WHERE url IS NOT NULL AND NOT EXISTS (SELECT 1 FROM old WHERE old.url = new.url)")
+def flat_diff_by_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    new, old = _lists(spark, sf_dir)
+    halves = [membership.filter_of(old.filter(F.xxhash64("url") % 2 == k), F.col("url"), blocks=64) for k in (-1, 0, 1)]
+    return delta.new_items_by_filter(new, old, membership.merged(*halves), 64, prune_old=True)
+
+
 @query(f"WITH {_LISTS} SELECT k, url FROM new WHERE NOT EXISTS (SELECT 1 FROM old WHERE old.url = new.url)")
 def flat_diff_null_is_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delta.new_rows(*_lists(spark, sf_dir), null_matches_null=False)

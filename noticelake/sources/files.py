@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from noticelake.functions.arrow import arrow
 from noticelake.functions.text import strict_json, strip
+from noticelake.operators.membership import FILTER, MOST_BLOCKS, filter_of, merged
 from noticelake.operators.schema import STORED
 
 
@@ -150,9 +151,20 @@ def latest_stored(spark: SparkSession, path: str) -> DataFrame:
     return rows.groupBy(*key).agg(F.max_by("content", "run").alias("content"))
 
 
-def write_snapshot(rows: DataFrame, root: str, version: str) -> None:
-    """A snapshot beside the earlier ones, whole or not at all."""
+def write_snapshot(rows: DataFrame, root: str, version: str, key: str | None = None, blocks: int = MOST_BLOCKS) -> None:
+    """A snapshot beside the earlier ones, whole or not at all. With ``key``, the filter of its keys is stored beside them."""
     rows.write.mode("overwrite").parquet(f"{root}/snapshot={version}")
+    if key is not None:
+        stored = rows.sparkSession.read.schema(rows.schema).parquet(f"{root}/snapshot={version}")
+        filter_of(stored, F.col(key), blocks=blocks).write.mode("overwrite").parquet(f"{root}-keys/snapshot={version}")
+
+
+def read_key_filter(spark: SparkSession, root: str, versions: list[str] | None = None) -> DataFrame:
+    """The filter of the keys of all stored snapshots, or of those named."""
+    rows = read_if_there(spark, f"{root}-keys", f"{FILTER}, snapshot string")
+    if versions is not None:
+        rows = rows.filter(F.col("snapshot").cast("string").isin(*versions))
+    return merged(rows.select("block", "blocks", "bits"))
 
 
 def read_snapshots(spark: SparkSession, root: str, schema: str) -> tuple[DataFrame, DataFrame]:
