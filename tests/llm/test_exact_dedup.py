@@ -69,6 +69,27 @@ def _nodes(plan):
     return [plan] + [x for b in below for x in _nodes(b)]
 
 
+def test_a_filter_that_lets_everything_pass(spark, monkeypatch):
+    """The filter saves work only: with none, the result is the same and still at most one row per text and partition travels."""
+    monkeypatch.setattr(exact_dedup, "with_possible", lambda rows, *a: rows.withColumn("possible", F.lit(True)))
+    df = spark.createDataFrame(ROWS, "doc_id long, text string").repartition(4).select("*")
+    assert found(df) == brute(ROWS)
+    rows = exact_dedup._normalised(df, "doc_id", "text")
+    merged = exact_dedup._merge(exact_dedup.held_rows(rows, rows.select("digest").distinct()), 16)
+    assert merged.count() == len({(t or "").translate(UP) for _, t in ROWS})
+    merged.collect()
+    sent = [n for n in _nodes(merged._jdf.queryExecution().executedPlan()) if n.nodeName() == "Exchange" and "salt" in n.toString()]
+    texts = {(t or "").translate(UP) for _, t in ROWS}
+    assert sent and all(len(texts) <= n.metrics().apply("shuffleRecordsWritten").value() <= 4 * len(texts) < len(ROWS) / 8 for n in sent)
+    assert exact_dedup.drop_duplicates(df).count() == merged.count()
+
+
+def test_many_repeated_digests_and_a_small_filter(spark):
+    rows = [(k, f"text {k % 900}") for k in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert found(df, most_blocks=1) == brute(rows)
+
+
 def test_text_ids(spark):
     df = spark.createDataFrame([("b", "x"), ("a", "X"), (None, "x")], "doc_id string, text string")
     assert sorted((str(r["id"]), r["keep_id"], r["group_size"], r["kept"]) for r in exact_dedup.duplicate_groups(df).collect()) == [("None", "b", 3, False), ("a", "b", 3, False), ("b", "b", 3, True)]
