@@ -33,7 +33,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from noticelake.llm.common import broadcast_if_few, checkpoint, table
+from noticelake.llm.common import checkpoint, table
+from noticelake.operators.membership import blocks_for, filter_of, with_possible
 
 WINDOW = 2
 DIVISOR = 3
@@ -152,7 +153,10 @@ def repeated_pairs(docs: DataFrame) -> DataFrame:
     place = F.struct(F.col("id").isNull().alias("last"), "id", "mark", "pair")
     ends = [F.min(place).alias("first"), F.max(place).alias("other")]
     again = checkpoint(rows.groupBy("key").agg(*ends).filter("first <> other").select("key"))
-    held = line_pairs(docs, content=True).join(broadcast_if_few(again), "key", "left_semi")
+    # A filter of bounded size finds the pairs with a repeated key where they are read; one that passes by chance occurs once
+    # and falls out below. So the bytes of a pair travel once per partition that has it, however often it occurs there.
+    blocks = blocks_for(again.count())
+    held = with_possible(line_pairs(docs, content=True), filter_of(again, F.col("key"), blocks=blocks), blocks, F.col("key")).filter("possible").drop("possible")
     texts = held.groupBy("key", "content").agg(*ends)
     several = F.count(F.lit(1)).over(Window.partitionBy("key")) > 1
     firsts = checkpoint(texts.withColumn("several", several).filter("first <> other").select("key", "first", "several", F.when(F.col("several"), F.col("content")).alias("content")))
