@@ -41,7 +41,7 @@ FOLDS = 5
 UNKNOWN = "und"
 #: Bytes of text worked on at once; numbers (grams times languages) that a task keeps, and gathers at once.
 _CHUNK = 2_000_000
-_KEPT = 24_000_000
+_KEPT = 8_000_000
 _GATHER = 8_000_000
 
 
