@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from noticelake.functions import dates, text, urls
 from noticelake.operators import delta, enrich, membership, nest, present, prompts, sample, status
-from noticelake.plans import fixtures
+from noticelake.plans import rendered
 from noticelake.plans.pipelines import recent_new_documents as flagship
 from noticelake.plans.testdata import AS_OF, DOCUMENTS, OLDEST, SHARE, boards, documents, table
 from noticelake.sources import html
 
-QUERIES: dict = dict(fixtures.QUERIES)
-ORACLES: dict[str, str] = dict(fixtures.ORACLES)
+QUERIES: dict = dict(rendered.QUERIES)
+ORACLES: dict[str, str] = dict(rendered.ORACLES)
 #: Pieces into which a nested result is dealt; a larger table takes more.
 PIECES = 4096
 
@@ -464,6 +464,6 @@ def contiguous_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(None)
 def page_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole pages as Markdown; a parser's work, so tests compare with fixtures."""
+    """Whole pages as Markdown; a parser's work, so tests compare with written pages (``item_markdown`` has SQL)."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", F.concat(F.lit("<main>"), "html", F.lit("</main>")).alias("html"))
     return pages.select("page_id", html.main_markdown("html").alias("text"))

@@ -1,4 +1,4 @@
-"""Queries over a few literal pages, files and answers, for what the test tables do not hold. Their SQL is the expected rows."""
+"""Cases over a few literal pages, files and answers, each with the rows that it must give."""
 
 from __future__ import annotations
 
@@ -13,20 +13,15 @@ from noticelake.operators import convert, nest, present, prompts
 from noticelake.sources import fetch, html
 
 QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
-
-
-def _literal(v) -> str:
-    return "NULL" if v is None else str(v) if isinstance(v, int) else "'" + v.replace("'", "''") + "'"
+EXPECTED: dict[str, list[tuple]] = {}
 
 
 def expected(columns: str, *rows: tuple):
-    """A query and the rows that it must give."""
-    values = ", ".join("(" + ", ".join(map(_literal, r)) + ")" for r in rows)
+    """A case and the rows that it must give."""
 
     def add(f):
         QUERIES[f.__name__] = f
-        ORACLES[f.__name__] = f"SELECT * FROM (VALUES {values}) AS v({columns})"
+        EXPECTED[f.__name__] = [dict(zip(columns.split(", "), r, strict=True)) for r in rows]
         return f
 
     return add
