@@ -108,7 +108,7 @@ def main(argv: list[str] | None = None) -> int:
                 print(f"{level}: {text}", file=sys.stderr)
             if a.status:
                 rows = spark.createDataFrame(faults, "level string, text string")
-                status.append(status.entries(rows, F.col("level"), F.col("text"), F.current_timestamp(), run_id, source), a.status)
+                status.append(status.entries(rows, F.col("level"), F.col("text"), F.current_timestamp(), run_id, source), a.status, "input")
             return 1
         if a.command == "process-boards":
             before = files.read_if_there(spark, f"{a.work}/results", f"{pipelines.RESULTS}, run long")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noticelake.functions.text import LEAST_OUTPUT
@@ -72,10 +72,16 @@ def merge_maps(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def merge_columns(left: DataFrame, right: DataFrame, key: str, order: str) -> DataFrame:
-    """Upsert of typed rows: right's last row per key overwrites all columns it shares with left's, and adds rows of its own."""
-    last = right.filter(F.col(key).isNotNull()).withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(F.desc(order)))).filter("_n = 1").drop("_n")
-    r = last.select(*(F.col(c).alias(f"_r_{c}") for c in last.columns), F.lit(True).alias("_hit"))
-    joined = left.join(r, left[key] == r[f"_r_{key}"], "full")
+    """Upsert of typed rows: right's last row per key overwrites all columns it shares with left's, and adds rows of its own.
+
+    Rows of left without a key pass beside the join, so that they do not meet in one task; those of right are dropped.
+    """
+    row = F.struct(*right.columns)
+    last = right.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.max_by(row, order).alias("_r"))
+    r = last.select(*(F.col(f"_r.`{c}`").alias(f"_r_{c}") for c in right.columns), F.lit(True).alias("_hit"))
+    joined = left.filter(F.col(key).isNotNull()).join(r, F.col(key) == F.col(f"_r_{key}"), "full")
+    keyless = left.filter(F.col(key).isNull()).select("*", *(F.lit(None).cast(r.schema[c].dataType).alias(c) for c in r.columns))
+    joined = joined.unionByName(keyless)
     names = list(dict.fromkeys([*left.columns, *right.columns]))
 
     def value(c: str) -> Column:

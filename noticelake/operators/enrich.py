@@ -43,7 +43,7 @@ def enrich(docs: DataFrame, store: DataFrame, source: str, at: Column) -> DataFr
         F.when(F.coalesce("url", F.lit("")) == "", F.lit("The document has no link."))
         .when(~placed, F.lit("Missing region or district name; cannot load the analysis."))
         .when(F.coalesce("doc_id", F.lit("")) == "", F.lit("No id can be made of the link."))
-        .when(F.col("_analysis").isNull(), F.lit("Analysis file not found."))
+        .when(F.col("_analysis").isNull(), F.lit("No analysis is stored for the document."))
         .when(F.col("_parsed.error").isNotNull(), F.concat(F.lit("Failed to parse the analysis: "), F.col("_parsed.error")))
     )
     none = F.array().cast(STATUS_TYPE)

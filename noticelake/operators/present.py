@@ -31,16 +31,28 @@ def shown(value: Column, analysis: Column, without: str) -> Column:
     return F.when(analysis.isNull(), F.lit(without)).otherwise(F.coalesce(F.array_join(value, ", "), F.lit("N/A")))
 
 
+def escaped(text: Column) -> Column:
+    """A text that stands for itself in HTML, in attributes too."""
+    for sign, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")):
+        text = F.replace(text, F.lit(sign), F.lit(entity))
+    return text
+
+
+def _link(url: Column, text: Column) -> Column:
+    """A link, or the text alone without an address or with one of another kind than the web's or the site's own."""
+    safe = F.coalesce(url.rlike(r"^(?i:https?:)?/") | (F.coalesce(url, F.lit("")).rlike(r"^[^:]+$")), F.lit(False))
+    return F.when(safe, F.concat(F.lit('<a href="'), escaped(url), F.lit('">'), escaped(text), F.lit("</a>"))).otherwise(escaped(text))
+
+
 def title_cell(status: Column, category: Column, title: Column, url: Column) -> Column:
-    """The first status icon, the category if any, and the title as a link."""
+    """The first status icon, the category if any, and the title as a link; what was scraped is escaped."""
     icon = status_icon(F.get(status, F.lit(0))["type"])
-    link = F.when(F.coalesce(url, F.lit("")) != "", F.concat(F.lit('<a href="'), url, F.lit('">'), title, F.lit("</a>"))).otherwise(title)
-    return F.concat_ws(" ", icon, F.nullif(category, F.lit("")), link)
+    return F.concat_ws(" ", escaped(icon), escaped(F.nullif(category, F.lit(""))), _link(url, title))
 
 
 def place_cell(name: Column, url: Column) -> Column:
-    """A region or district as a link where it has one."""
-    return F.when(F.coalesce(url, F.lit("")) != "", F.concat(F.lit('<a href="'), url, F.lit('">'), name, F.lit("</a>"))).otherwise(name)
+    """A region or district as a link where it has one; both are escaped."""
+    return _link(url, name)
 
 
 def summary(text: Column, doc_id: Column, status: Column, default: str = "Bez zhrnutia") -> Column:

@@ -17,8 +17,10 @@ def entries(rows: DataFrame, level: str | Column, text: Column, at: Column, run_
     )
 
 
-def append(status: DataFrame, path: str) -> None:
-    status.write.mode("append").partitionBy("source").parquet(path)
+def append(status: DataFrame, path: str, step: str = "run") -> None:
+    """Adds a run's entries. A run that is repeated replaces what it wrote in the same step, so nothing is said twice."""
+    rows = status.withColumn("step", F.lit(step))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source", "run_id", "step").parquet(path)
 
 
 def latest_run(status: DataFrame) -> DataFrame:

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from noticelake.functions import dates, text, urls
 from noticelake.operators import delta, enrich, membership, nest, present, prompts, sample, status
-from noticelake.plans import rendered
+from noticelake.plans import derived, rendered
 from noticelake.plans.pipelines import recent_new_documents as flagship
 from noticelake.plans.testdata import AS_OF, DOCUMENTS, OLDEST, SHARE, boards, documents, table
 from noticelake.sources import html
 
-QUERIES: dict = dict(rendered.QUERIES)
-ORACLES: dict[str, str] = dict(rendered.ORACLES)
+QUERIES: dict = rendered.QUERIES | derived.QUERIES
+ORACLES: dict[str, str] = rendered.ORACLES | derived.ORACLES
 #: Pieces into which a nested result is dealt; a larger table takes more.
 PIECES = 4096
 

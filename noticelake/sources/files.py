@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 
@@ -15,6 +16,7 @@ from noticelake.functions.arrow import arrow
 from noticelake.functions.text import strict_json, strip
 from noticelake.operators.membership import FILTER, MOST_BLOCKS, filter_of, merged
 from noticelake.operators.schema import STORED
+from noticelake.sources.stored import open_store
 
 
 def read_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -121,6 +123,52 @@ def write_json_array(rows: DataFrame, path: str, order: list[str], value: str |
     rows.agg(F.to_json(ordered, {"pretty": "true", "ignoreNullFields": "false"}).alias("value")).coalesce(1).write.mode("overwrite").text(path)
 
 
+def write_json_file(rows: DataFrame, path: str, order: list[str], value: str | None = None) -> None:
+    """A JSON array as one file, of any size, for a file system that all machines mount: each task writes its entries at their place in it.
+
+    The entries are first written in order as parts; their sizes tell every part's place. No machine holds or passes on
+    the whole. The file is replaced when the new one is complete.
+    """
+    from pyarrow import fs
+
+    store, where = open_store(path)
+    if store.type_name != "local":
+        raise ValueError(f"{path}: parts can be written into one file on a mounted file system only; write_json_array makes a folder elsewhere")
+    item = F.to_json(F.col(value) if value else F.struct(*rows.columns), {"pretty": "true", "ignoreNullFields": "false"})
+    # Entries are indented as those of a list, each with its comma; the last one's is left out.
+    text = F.concat(F.lit("  "), F.replace(item, F.lit("\n"), F.lit("\n  ")))
+    parts, target = f"{where}-parts-{uuid.uuid4().hex}", f"{where}-{uuid.uuid4().hex}.new"
+    ranged = rows.select(*order, text.alias("_text")).repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged.select(F.concat(F.col("_text"), F.lit(",")).alias("value")).write.text(f"file://{parts}")
+    listed = sorted((f.path, f.size) for f in store.get_file_info(fs.FileSelector(parts)) if f.base_name.startswith("part-") and f.size)
+    places, at = [], 2
+    for k, (name, size) in enumerate(listed):
+        size -= 2 if k + 1 == len(listed) else 0
+        places.append((name, size, at))
+        at += size
+    with store.open_output_stream(target) as out:
+        out.write(b"[\n" if places else b"[]")
+
+    def put(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for name, size, begin in batch.itertuples(index=False):
+                with open(name, "rb") as part, open(target, "r+b") as out:
+                    out.seek(begin)
+                    while block := part.read(min(size, 1 << 22)):
+                        size -= len(block)
+                        out.write(block)
+            yield batch[["name"]]
+
+    spark = rows.sparkSession
+    if places:
+        spark.createDataFrame(places, "name string, size long, begin long").repartition(len(places), "begin").mapInPandas(put, "name string").count()
+    with open(target, "r+b") as out:
+        out.seek(at)
+        out.write(b"\n]\n" if places else b"\n")
+    store.move(target, where)
+    store.delete_dir(parts)
+
+
 def saver(root: str) -> Callable[[DataFrame, str], DataFrame]:
     """Stores a step's rows under a folder and returns them read back, so that the step runs once."""
 

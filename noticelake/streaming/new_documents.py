@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from noticelake.functions.urls import doc_id
-from noticelake.operators.delta import new_items
-from noticelake.sources.files import read_if_there
+from noticelake.streaming import state
 
 
 def read(spark, path: str, schema: str) -> DataFrame:
@@ -25,16 +24,11 @@ def first_seen(listing: DataFrame, seen_at: str | None = None, lateness: str = "
 
 
 def append_new(listing: DataFrame, table: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """Appends each batch's new documents to a Parquet table, once per batch even if it is repeated."""
+    """Appends each batch's new documents to a Parquet table, once per batch even if it is repeated.
 
-    def batch(rows: DataFrame, number: int) -> None:
-        spark = rows.sparkSession
-        old = read_if_there(spark, table, f"{rows.schema.toDDL()}, batch long").filter(F.col("batch") != number)
-        fresh = new_items(rows.dropDuplicates(["url"]), old.select("url"))
-        fresh.write.mode("overwrite").parquet(f"{table}/batch={number}")
-
-    writer = listing.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
+    Which URLs were seen is keyed state, so a batch reads nothing of what was written before.
+    """
+    return state.to_table(state.first_seen(listing), table, checkpoint, available_now=available_now)
 
 
 def status_counts(entries: DataFrame, at: str = "ts", level: str = "type", window: str = "1 hour", lateness: str = "2 hours") -> DataFrame:

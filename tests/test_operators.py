@@ -98,7 +98,7 @@ def test_enrich(spark):
     one = by["K", "https://h/?subor=1"]
     assert one["analysis"] == '{"a": 1}' and [s["type"] for s in one["status"]] == ["info"] and one["kraj_url"] == "https://www.minv.sk/k"
     assert [s["text"].split(":")[0] for s in by["K", "https://h/?subor=2"]["status"]] == ["Failed to parse the status entries.", "Failed to parse the analysis"]
-    assert [s["text"] for s in by["K", "https://h/?subor=3"]["status"]] == ["Analysis file not found."]
+    assert [s["text"] for s in by["K", "https://h/?subor=3"]["status"]] == ["No analysis is stored for the document."]
     assert by[None, "https://h/?subor=1"]["kraj_url"] == "/k" and by["K", None]["status"][0]["text"] == "The document has no link."
     nested = spark.createDataFrame([("K", "/k", [("O", "/o")])], "kraj string, url string, okresy array<struct<nazov:string,url:string>>")
     assert rows(enrich.district_status(nested, store), "okres", "okres_url_tabule", "typ", "sprava") == [("O", "https://www.minv.sk/o#popis", "info", "t")]
