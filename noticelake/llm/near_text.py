@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from noticelake.llm import simhash
@@ -189,12 +189,36 @@ def near_links(texts: DataFrame, width: int = WIDTH, similarity: float = SIMILAR
     return found.select(F.col("component").alias("a"), F.col("node").alias("b")).union(_near(more, texts, heads, width, similarity))
 
 
+def _hash_of(id_col: str, text_col: str) -> Column:
+    return F.xxhash64(F.col(id_col).isNull(), F.col(id_col), text_of(text_col))
+
+
+def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """node (a hash of id and text, different for different rows) and row; rows of one id and text come once.
+
+    Rows with a hash that others have too are compared by id and text. Different ones draw again, so a hash that two
+    rows share by chance costs none of them.
+    """
+    rows = docs.select(_hash_of(id_col, text_col).alias("node"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    several = lambda df: dealt_checkpoint(df.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("node"))
+    shared = several(rows)
+    if shared.isEmpty():
+        return rows
+    alone = rows.join(broadcast_if_few(shared), "node", "left_anti")
+    own = F.struct(F.col(f"row.`{id_col}`").alias("id"), text_of(f"row.`{text_col}`").alias("text"))
+    once = rows.join(broadcast_if_few(shared), "node", "left_semi").withColumn("own", own).dropDuplicates(["node", "own"])
+    clashing = several(once)
+    if not clashing.isEmpty():
+        once = once.join(F.broadcast(clashing.withColumn("clash", F.lit(True))), "node", "left")
+        place = F.row_number().over(Window.partitionBy("node").orderBy("own"))
+        again = once.filter("clash").withColumn("place", place).withColumn("node", F.when(F.col("place") == 1, F.col("node")).otherwise(F.xxhash64("node", "place", "own")))
+        once = once.filter("clash IS NULL").drop("clash").unionByName(again.drop("clash", "place"))
+    return alone.unionByName(once.drop("own"))
+
+
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs``, all columns, that stay: of each component of near copies the one with the smallest id."""
-    node = F.xxhash64(F.col(id_col).isNull(), F.col(id_col), text_of(text_col))
-    rows = docs.select(node.alias("node"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
-    if not rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
-        rows = rows.dropDuplicates(["node"])
+    rows = _numbered(docs, id_col, text_col)
     found = components(near_links(rows.select("node", text_of(f"row.`{text_col}`").alias("text")), width, similarity))
     ids = rows.select("node", F.col(f"row.`{id_col}`").alias("id"))
     first = F.struct(F.col("id").isNull(), "id", "node")

@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from noticelake.llm import near_text
 
 
@@ -43,3 +45,15 @@ def test_repeated_rows_and_rows_without_id(spark):
     assert got == sorted([(5, text), (None, "alone"), (7, "other words here")], key=str)
     named = df.selectExpr("'n' || doc_id AS doc_id", "text")
     assert near_text.keep_representatives(named).count() == 3
+
+
+def test_rows_that_share_a_hash_are_compared(spark, monkeypatch):
+    """Different rows under one hash all stay; rows of one id and text come once."""
+    monkeypatch.setattr(near_text, "_hash_of", lambda id_col, text_col: F.pmod(F.coalesce(F.col(id_col), F.lit(0)), F.lit(3)).cast("long"))
+    rows = [(k, " ".join(f"w{k}x{j}" for j in range(20))) for k in range(12)] + [(4, "another text of the same id"), (None, "no id"), (None, "no id"), (5, None), (5, ""), (7, " ".join(f"w7x{j}" for j in range(20)))]
+    df = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, node string")
+    out = near_text.keep_representatives(df)
+    got = sorted((str(r["doc_id"]), r["text"] or "") for r in out.collect())
+    assert out.columns == df.columns and got == sorted({(str(i), t or "") for i, t in rows})
+    numbered = near_text._numbered(df, "doc_id", "text")
+    assert numbered.count() == numbered.select("node").distinct().count() == len(got)
