@@ -13,7 +13,8 @@ chosen by a hash of their id; their feature vectors, one for each id (at most a
 the driver. Every document is scored from its whole text, in one pass without a shuffle.
 
 Defined cases: null text is empty and is scored like any other; a null id is never held out; repeated label
-rows count once, and an id that is labelled both ways is no label; of several texts of one id one is learnt from;
+rows count once, and an id that is labelled both ways is no label; where every
+training row is labelled, their texts without the labels are the unlabelled part; of several texts of one id one is learnt from;
 ``score`` takes the place of a column of that name, ``keep_good`` keeps all columns, whatever their names; without any positive the score is the prior (0.5 if nothing is known); an empty table
 gives an empty result; other columns are never read.
 """
@@ -178,7 +179,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     prior = None if share[0] is None or share[1] == 1 else float(share[0])
     texts = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).filter(fold(F.col("id")) != 1)
     positive = _sample(known.filter("y = 1").join(texts, "id", "left_semi").select("id"), max_positive, 1).withColumn("part", F.lit(1))
-    unlabelled = _sample(texts.join(known, "id", "left_anti").select("id"), max_unlabelled, 2).withColumn("part", F.lit(0))
+    rest = texts.join(known, "id", "left_anti").select("id")
+    if rest.isEmpty():
+        rest = texts.select("id")  # all are labelled: their texts serve without the labels
+    unlabelled = _sample(rest, max_unlabelled, 2).withColumn("part", F.lit(0))
 
     @F.pandas_udf("array<float>")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

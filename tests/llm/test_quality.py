@@ -64,3 +64,13 @@ def test_repeated_ids_and_labels_that_disagree(spark, monkeypatch):
     quality.train(docs, spark.createDataFrame(labels, "doc_id long, quality int"))
     unlike = {i for i, y in labels if (i, 1 - y) in labels}
     assert taken == [(10 - len(unlike), len(train) - 15 + len(unlike), (10 - len(unlike)) / (15 - len(unlike)))]
+
+
+def test_a_table_that_is_labelled_throughout(spark):
+    good, bad = "The river runs past the old mill and into the quiet valley below the hills.", "@@@ ### $$$ !!! %%% 12 ~~ << >> == ++ ^^ && **"
+    docs = spark.createDataFrame([(i, f"{good if i % 3 else bad} {i}") for i in range(300)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(300)], "doc_id long, quality int")
+    model = quality.train(docs, labels)
+    scores = {r["doc_id"]: r["score"] for r in quality.score(docs, model).collect()}
+    held = [i for i in scores if zlib.crc32(str(i).encode()) % 3 == 1]
+    assert sum((scores[i] >= 0.5) == (i % 3 > 0) for i in held) / len(held) > 0.95
