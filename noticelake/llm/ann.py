@@ -28,9 +28,11 @@ from pyspark.sql import functions as F
 
 from noticelake.llm.common import checkpoint, table
 
-#: Nodes of a shard, at most about. Tables too small for one such shard a core get smaller ones, of SMALL nodes or more.
+#: Nodes of a shard, at most about. Tables of fewer than SPREAD such shards get up to SPREAD smaller ones, of SMALL nodes or
+#: more. The number depends on the table alone, so a table gives the same result on any cluster.
 SHARD = 65_536
 SMALL = 8192
+SPREAD = 8
 #: Neighbours that pruning leaves, and links that a node may gather before it is pruned again.
 DEGREE = 32
 ROOM = 64
@@ -211,7 +213,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "
     stats = nodes.agg(F.count(F.lit(1)), F.max(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))).first()
     n, norm2 = stats[0], float(stats[1])
     asked = clean(queries, "query_id").filter(sized).distinct()
-    shards = max(-(-n // shard), min(vectors.sparkSession.sparkContext.defaultParallelism, -(-n // min(small, shard))))
+    shards = max(-(-n // shard), min(SPREAD, -(-n // min(small, shard))))
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard")
     held = nodes.select(F.pmod(F.xxhash64("vec"), F.lit(shards)).alias("shard"), F.lit(0).alias("query"), F.col("ids")[0].alias("key"), "vec", "ids")
     dealt = held.unionByName(asked.select(every, F.lit(1).alias("query"), F.col("query_id").alias("key"), "vec", F.lit(None).cast("array<bigint>").alias("ids")))
