@@ -50,11 +50,11 @@ def merged(*filters: DataFrame) -> DataFrame:
     return told.select("block", checked.alias("blocks"), "bits")
 
 
-def with_possible(rows: DataFrame, known: DataFrame, blocks: int, *keys: Column, name: str = "possible") -> DataFrame:
+def with_possible(rows: DataFrame, known: DataFrame, blocks: int, *keys: Column, name: str = "possible", most: int = MOST_BLOCKS) -> DataFrame:
     """``rows`` with the boolean ``name``: false if the key is surely not in the set of the filter ``known``."""
     at, bits = "_filter_block", "_filter_bits"
     table = known.select(F.col("block").alias(at), F.col("bits").alias(bits))
-    joined = rows.join(F.broadcast(table) if blocks <= MOST_BLOCKS else table, _block(list(keys), blocks) == F.col(at), "left")
+    joined = rows.join(F.broadcast(table) if blocks <= most else table, _block(list(keys), blocks) == F.col(at), "left")
     byte = lambda p: F.conv(F.hex(F.substring(bits, F.shiftright(p, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     held = [F.getbit(byte(p), (p % 8).cast("int")) == 1 for p in _places(list(keys))]
     found = F.coalesce(reduce(lambda a, b: a & b, held), F.lit(False))
