@@ -4,9 +4,10 @@ A text is tokenised in two ways (A: byte-level BPE of the text after a space; B:
 both are laid over the same bytes. Tokens whose byte ranges overlap are linked; the stretches between two such
 overlaps' edges are the links, one each. Offsets at which tokens of both sides end cut them into groups.
 
-1. Every text is tokenised once; the ids of both sides are written as a compressed table.
-2. A link's pair of ids is one long (A in the upper half). ``np.unique`` makes a text's pairs distinct and counts them
-   over a task's texts, so each task gives few (pair, texts) rows, in pieces of bounded size.
+1. Every text is tokenised and aligned once. A link's pair of ids is one long (A in the upper half); the pairs of all
+   links are written as a compressed table.
+2. ``np.unique`` makes a text's pairs distinct, and they are counted over a task's texts, so each task gives few
+   (pair, texts) rows, in pieces of bounded size.
 3. These rows are range-partitioned by pair and sorted; summing runs of equal pairs gives each partition's sorted
    shard: two flat files in the shared folder, pairs and counts. A task that is run again writes new files; those of
    the run that counted are the ones named in its result.
@@ -31,6 +32,7 @@ from functools import lru_cache
 from urllib.parse import unquote, urlparse
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -41,11 +43,13 @@ from noticelake.llm.common import checkpoint_folder, dealt_checkpoint, table, wh
 from noticelake.llm.packing import encode_whole, token_bytes
 
 SPACE = "▁"
-#: Bytes of text tokenised at once, tokens aligned at once, and different pairs that a task counts before it gives them on.
+#: Bytes of text aligned at once, links read at once, and different pairs that a task counts before it gives them on.
 _CHUNK = 1_000_000
-_TOKENS = 500_000
+_LINKS = 1_000_000
 PAIRS = 2_000_000
 
+ALIGNED = "id long, n_a long, n_b long, n_groups long, groups_sha256 string, pairs binary"
+ALIGNED_NAMES = ("id", "n_a", "n_b", "n_groups", "groups_sha256", "pairs")
 RESULT = "id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
@@ -83,90 +87,96 @@ def _runs(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         at += n
 
 
-def _binaries(parts: list[np.ndarray]) -> pa.Array:
-    return pa.array([p.astype("<u4").tobytes() for p in parts], pa.binary())
+def _side(ids: list[np.ndarray], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All ids in a row, how many each document has, and where each token ends in the joined bytes."""
+    n = np.fromiter(map(len, ids), np.int64, len(ids))
+    flat = np.concatenate([np.empty(0, np.int64), *ids])
+    return flat, n, np.cumsum(sizes[flat])
 
 
-def tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", a_path: str | None = None, b_path: str | None = None) -> DataFrame:
-    """One row per document: id, and the ids of both sides as little-endian unsigned 32-bit numbers; both empty where the sides do not fit."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode_a, bytes_a, b = encode_whole(a_path), token_bytes(a_path), pieces(b_path)
-        none = np.empty(0, "<u4")
-        for batch in batches:
-            for at, n in _runs(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False), _CHUNK):
-                part = batch.slice(at, n)
-                ids_a, ids_b = [], []
-                for text in part["text"].to_pylist():
-                    own_a, own_b = none, none
-                    if text:
-                        want = f" {text}".encode()
-                        a, p = encode_a(f" {text}"), b.model.encode(text)
-                        if b"".join([b.bytes[i] for i in p]) == want and b"".join([bytes_a[i] for i in a]) == want:
-                            own_a, own_b = np.array(a, "<u4"), np.array(p, "<u4")
-                    ids_a.append(own_a)
-                    ids_b.append(own_b)
-                yield pa.RecordBatch.from_arrays([part["id"], _binaries(ids_a), _binaries(ids_b)], ["id", "a", "b"])
-
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "id long, a binary, b binary")
+@lru_cache(maxsize=2)
+def _digits(most: int) -> np.ndarray:
+    """Each number up to ``most`` as decimal digits, aligned to the right, and a free cell after them; empty cells are 0."""
+    power = 10 ** np.arange(len(str(most)) - 1, -1, -1)
+    number = np.arange(most + 1)[:, None]
+    cells = np.where((number >= power) | (power == 1), number // power % 10 + ord("0"), 0)
+    return np.concatenate([cells, np.zeros((most + 1, 1), int)], axis=1).astype(np.uint8)
 
 
 class Aligned:
     """Documents' tokens of both sides over their joined bytes."""
 
-    def __init__(self, batch: pa.RecordBatch, a_path: str | None, b_path: str | None):
-        self.a, self.n_a, self.end_a = self._side(batch["a"], _sizes("a", a_path))
-        self.b, self.n_b, self.end_b = self._side(batch["b"], _sizes("b", b_path))
-        ends = np.union1d(self.end_a, self.end_b)
-        self.of_a, self.of_b = np.searchsorted(self.end_a, ends), np.searchsorted(self.end_b, ends)
+    def __init__(self, ids_a: list[np.ndarray], ids_b: list[np.ndarray], sizes_a: np.ndarray, sizes_b: np.ndarray):
+        self.a, self.n_a, end_a = _side(ids_a, sizes_a)
+        self.b, self.n_b, end_b = _side(ids_b, sizes_b)
+        self.most = max(len(sizes_a), len(sizes_b)) - 1
+        ends = np.concatenate([end_a, end_b])
+        ends.sort(kind="stable")  # two sorted runs
+        ends = ends[np.append(True, ends[1:] != ends[:-1])[: len(ends)]]
+        at_a, at_b = np.searchsorted(ends, end_a), np.searchsorted(ends, end_b)
+        closes_a, closes_b = np.zeros((2, len(ends)), bool)
+        closes_a[at_a], closes_b[at_b] = True, True
         #: Each link's pair of ids, and where the documents' links end.
-        self.pairs = self.a[self.of_a] << 32 | self.b[self.of_b]
-        held_a = np.cumsum(self.n_a)
-        self.link_edges = np.append(0, np.searchsorted(self.of_a, held_a))
+        self.pairs = self.a[np.cumsum(closes_a) - closes_a] << 32 | self.b[np.cumsum(closes_b) - closes_b]
+        self.link_edges = np.append(0, np.append(0, at_a + 1)[np.cumsum(self.n_a)])
         #: The tokens of A and of B that end a group.
-        self.last_a = np.isin(self.end_a, self.end_b, assume_unique=True)
-        self.last_b = np.isin(self.end_b, self.end_a, assume_unique=True)
-        self.doc = np.repeat(np.arange(len(self.n_a)), np.diff(self.link_edges))
-
-    @staticmethod
-    def _side(column: pa.Array, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        n = pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64) // 4
-        ids = np.frombuffer(b"".join(column.to_pylist()), "<u4").astype(np.int64)
-        return ids, n, np.cumsum(sizes[ids])
-
-    def sums(self, values: np.ndarray) -> np.ndarray:
-        """Sums over each document's links."""
-        return np.diff(np.append(0, np.cumsum(values))[self.link_edges])
-
-    def distinct(self) -> np.ndarray:
-        """The pairs of every document, each once per document."""
-        known, at = np.unique(self.pairs, return_inverse=True)
-        once = np.unique(self.doc * len(known) + at)
-        return known[once % max(1, len(known))]
+        self.last_a, self.last_b = closes_b[at_a], closes_a[at_b]
+        self.n_groups = np.diff(np.append(0, np.cumsum(self.last_a))[np.append(0, np.cumsum(self.n_a))])
 
     def groups(self) -> list[bytes]:
         """``a1,a2|b1;a3|b2`` of each document: tokens are laid out group by group, A before B, and written as digits with one mark after each."""
         group_a, group_b = np.cumsum(self.last_a) - self.last_a, np.cumsum(self.last_b) - self.last_b
-        order = np.argsort(np.concatenate([group_a * 2, group_b * 2 + 1]), kind="stable")
-        ids = np.concatenate([self.a, self.b])[order]
-        mark = np.concatenate([np.where(self.last_a, ord("|"), ord(",")), np.where(self.last_b, ord(";"), ord(","))])[order]
-        power = 10 ** np.arange(len(str(int(ids.max(initial=0)))) - 1, -1, -1)
-        digits = (ids[:, None] // power % 10 + ord("0")).astype(np.uint8)
-        digits[ids[:, None] < power] = 0
-        digits[ids == 0, -1] = ord("0")
-        cells = np.concatenate([digits, mark[:, None].astype(np.uint8)], axis=1)
-        width = (cells > 0).sum(1)
-        text = cells[cells > 0].tobytes()
-        edges = np.append(0, np.cumsum(width))[np.append(0, np.cumsum(self.n_a + self.n_b))]
+        many = int(self.last_a.sum())
+        held_a, held_b = np.bincount(group_a, minlength=many), np.bincount(group_b, minlength=many)
+        to_a = np.arange(len(self.a)) + (np.cumsum(held_b) - held_b)[group_a]
+        to_b = np.arange(len(self.b)) + np.cumsum(held_a)[group_b]
+        cells = np.empty((len(self.a) + len(self.b), _digits(self.most).shape[1]), np.uint8)
+        cells[to_a], cells[to_b] = _digits(self.most)[self.a], _digits(self.most)[self.b]
+        cells[to_a, -1] = np.where(self.last_a, ord("|"), ord(","))
+        cells[to_b, -1] = np.where(self.last_b, ord(";"), ord(","))
+        shown = cells > 0
+        text = cells[shown].tobytes()
+        edges = np.append(0, np.cumsum(shown.sum(1)))[np.append(0, np.cumsum(self.n_a + self.n_b))].tolist()
         return [text[x : max(x, y - 1)] for x, y in zip(edges, edges[1:], strict=False)]
 
 
-def _aligned(batches: Iterator[pa.RecordBatch], a_path: str | None, b_path: str | None) -> Iterator[tuple[pa.RecordBatch, Aligned]]:
+def aligned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", a_path: str | None = None, b_path: str | None = None) -> DataFrame:
+    """One row per document: id, n_a, n_b, n_groups, groups_sha256, and ``pairs``: the packed pair of every link, little-endian."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode_a, b = encode_whole(a_path), pieces(b_path)
+        sizes_a, sizes_b, none = _sizes("a", a_path), _sizes("b", b_path), np.empty(0, np.int64)
+        for batch in batches:
+            for at, n in _runs(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False), _CHUNK):
+                part = batch.slice(at, n)
+                ids_a, ids_b = [], []
+                for text in part["text"].to_pylist():
+                    own_a = own_b = none
+                    if text:
+                        want, found = f" {text}".encode(), b.model.encode(text)
+                        if b"".join([b.bytes[i] for i in found]) == want:
+                            own_a, own_b = np.array(encode_a(f" {text}"), np.int64), np.array(found, np.int64)
+                        # A's tokens are cut from the bytes one after another, so only their length can differ.
+                        if sizes_a[own_a].sum() != len(want):
+                            own_a = own_b = none
+                    ids_a.append(own_a)
+                    ids_b.append(own_b)
+                own = Aligned(ids_a, ids_b, sizes_a, sizes_b)
+                data, edges = own.pairs.astype("<i8").tobytes(), own.link_edges * 8
+                digest = [hashlib.sha256(g).hexdigest() if g else "" for g in own.groups()]
+                pairs = pa.array([data[x:y] for x, y in zip(edges, edges[1:], strict=False)], pa.binary())
+                yield pa.RecordBatch.from_arrays([part["id"], *(pa.array(c, pa.int64()) for c in (own.n_a, own.n_b, own.n_groups)), pa.array(digest, pa.string()), pairs], [*ALIGNED_NAMES])
+
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, ALIGNED)
+
+
+def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Runs of documents with all their links' pairs, and how many links each has."""
     for batch in batches:
-        sizes = pc.add(pc.binary_length(batch["a"]), pc.binary_length(batch["b"])).to_numpy(zero_copy_only=False)
-        for at, n in _runs(sizes, 4 * _TOKENS):
+        sizes = pc.binary_length(batch["pairs"]).to_numpy(zero_copy_only=False).astype(np.int64)
+        for at, n in _runs(sizes, 8 * _LINKS):
             part = batch.slice(at, n)
-            yield part, Aligned(part, a_path, b_path)
+            yield part, np.frombuffer(b"".join(part["pairs"].to_pylist()), "<i8"), sizes[at : at + n] // 8
 
 
 def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -175,13 +185,15 @@ def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return known, np.bincount(at, np.concatenate(counts), len(known)).astype(np.int64)
 
 
-def pair_counts(coded: DataFrame, a_path: str | None = None, b_path: str | None = None, most: int = PAIRS) -> DataFrame:
+def pair_counts(rows: DataFrame, most: int = PAIRS) -> DataFrame:
     """``pair``, ``n``: how many documents of a task (or of a part of it with ``most`` different pairs) hold the pair."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts, waiting = [], [], 0
-        for _, own in _aligned(batches, a_path, b_path):
-            known, n = np.unique(own.distinct(), return_counts=True)
+        for _, pairs, links in _links(batches):
+            code, known = pd.factorize(pairs)
+            once = np.unique(np.repeat(np.arange(len(links)), links) * len(known) + code)  # each pair once per document
+            n = np.bincount(once % max(1, len(known)), minlength=len(known))
             keys.append(known)
             counts.append(n)
             waiting += len(known)
@@ -195,7 +207,7 @@ def pair_counts(coded: DataFrame, a_path: str | None = None, b_path: str | None
             known, n = _summed(keys, counts)
             yield pa.RecordBatch.from_arrays([pa.array(known), pa.array(n)], ["pair", "n"])
 
-    return coded.mapInArrow(run, "pair long, n long")
+    return rows.select("pairs").mapInArrow(run, "pair long, n long")
 
 
 def _store(folder: str):
@@ -297,10 +309,10 @@ def align(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", a_pat
     whole_ids(docs, id_col)
     spark = docs.sparkSession
     folder = f"{checkpoint_folder(spark)}/alignment-{uuid.uuid4().hex}"
-    tokens(docs, id_col, text_col, a_path, b_path).write.option("compression", "zstd").parquet(f"{folder}/tokens")
-    coded = spark.read.schema("id long, a binary, b binary").parquet(f"{folder}/tokens")
+    aligned(docs, id_col, text_col, a_path, b_path).write.option("compression", "zstd").parquet(f"{folder}/links")
+    rows = spark.read.schema(ALIGNED).parquet(f"{folder}/links")
     # The range sample would count all pairs a second time.
-    partial = dealt_checkpoint(pair_counts(coded, a_path, b_path))
+    partial = dealt_checkpoint(pair_counts(rows))
     told = dealt_checkpoint(write_shards(partial, f"{folder}/shards"))
     shards = sorted(told.filter("shard IS NOT NULL").select("first", "shard", "rows").collect())
     tops = told.filter("shard IS NULL").groupBy("a").agg(F.max("best").alias("best")).toArrow()
@@ -311,15 +323,18 @@ def align(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", a_pat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         top, *where = shared.value
         count_of = Shards(*where)
-        for part, own in _aligned(batches, a_path, b_path):
-            known, at = np.unique(own.pairs, return_inverse=True)
-            count = count_of(known)[at]
-            n_groups = np.diff(np.append(0, np.cumsum(own.last_a))[np.append(0, np.cumsum(own.n_a))])
-            digest = [hashlib.sha256(g).hexdigest() if g else "" for g in own.groups()]
-            columns = [own.n_a, own.n_b, n_groups, np.diff(own.link_edges), own.sums(count == top[own.pairs >> 32]), own.sums(count)]
-            yield pa.RecordBatch.from_arrays([part["id"], *(pa.array(c, pa.int64()) for c in columns), pa.array(digest, pa.string())], [c.split()[0] for c in RESULT.split(", ")])
-
-    done = dealt_checkpoint(coded.mapInArrow(run, RESULT))
+        for part, pairs, links in _links(batches):
+            code, known = pd.factorize(pairs)
+            order = np.argsort(known)
+            count = np.empty(len(known), np.int64)
+            count[order] = count_of(known[order])
+            most = count == top[known >> 32]
+            edges = np.append(0, np.cumsum(links))
+            sums = [np.diff(np.append(0, np.cumsum(x[code]))[edges]) for x in (most, count)]
+            kept = [part[c] for c in ("id", "n_a", "n_b", "n_groups")]
+            yield pa.RecordBatch.from_arrays([*kept, *(pa.array(x, pa.int64()) for x in (links, *sums)), part["groups_sha256"]], [c.split()[0] for c in RESULT.split(", ")])
+
+    done = dealt_checkpoint(rows.mapInArrow(run, RESULT))
     where = spark._jvm.org.apache.hadoop.fs.Path(folder)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
     return done
