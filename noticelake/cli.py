@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 from noticelake.functions import dates
 from noticelake.operators import convert, delta, nest, prompts, sample, schema, status
 from noticelake.plans import pipelines
-from noticelake.sources import files, html
+from noticelake.sources import files, html, records
 
 
 def _write(rows, path: str | None, order: list[str]) -> None:
@@ -110,15 +110,22 @@ def main(argv: list[str] | None = None) -> int:
                 rows = spark.createDataFrame(faults, "level string, text string")
                 status.append(status.entries(rows, F.col("level"), F.col("text"), F.current_timestamp(), run_id, source), a.status, "input")
             return 1
+        # Entries that cannot be read are skipped and named; the rest is processed.
+        entries = records.flat_boards(records.json_texts(spark, a.input)) if a.command == "process-boards" else records.read_json_entries(spark, a.input, schema.LISTING)
+        skipped = save(records.warnings(entries.refused), f"skipped-{run_id}")
+        for r in skipped.limit(20).collect():
+            print(f"{r['level']}: {r['text']}", file=sys.stderr)
+        if a.status:
+            status.append(status.entries(skipped, F.col("level"), F.col("text"), F.current_timestamp(), run_id, source), a.status, "entries")
         if a.command == "process-boards":
             before = files.read_if_there(spark, f"{a.work}/results", f"{pipelines.RESULTS}, run long")
             newest = before.withColumn("n", F.row_number().over(Window.partitionBy("url").orderBy(F.desc("run")))).filter("n = 1 AND body IS NOT NULL").drop("n", "run")
-            done = pipelines.process_documents(nest.flatten(boards(a.input)), tools.fetcher, tools.converters, tools.extractor, save, newest, a.skip_analysis, prompts.extraction)
+            done = pipelines.process_documents(entries.rows, tools.fetcher, tools.converters, tools.extractor, save, newest, a.skip_analysis, prompts.extraction)
             done = save(done, f"done-{run_id}")
             kept = done.filter("doc_id IS NOT NULL").select(*StructType.fromDDL(pipelines.RESULTS).names).dropDuplicates(["url"])
             kept.write.mode("overwrite").parquet(f"{a.work}/results/run={run_id}")
         else:
-            done = save(pipelines.process_listing(listing(a.input), tools.fetcher, tools.extractor, save, a.skip_analysis, prompts.extraction), f"done-{run_id}")
+            done = save(pipelines.process_listing(entries.rows, tools.fetcher, tools.extractor, save, a.skip_analysis, prompts.extraction), f"done-{run_id}")
         if a.store:
             files.append_store(files.stored_files(done, source, "text.txt" if source == "minv" else "text.md"), a.store, run_id)
         if a.status:

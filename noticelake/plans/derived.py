@@ -139,6 +139,47 @@ def record_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.drift(_damaged(spark, sf_dir), "text", "event_type")
 
 
+_ENTRIES = """c AS (SELECT r_name AS kraj, n_name AS okres, c_mktsegment AS kategoria, c_name AS nazov, c_custkey AS k, c_custkey // 100 AS block FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
+
+
+def _entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested boards as JSON, one text per hundred customers; some documents, categories and districts are damaged."""
+    c, n, r = (table(spark, sf_dir, t) for t in ("customer", "nation", "region"))
+    key = F.col("c_custkey")
+    quoted = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))
+    doc = F.when(key % 10 == 3, quoted('"text ', key, '"')).when(key % 10 == 7, quoted('{"nazov": "', F.col("c_name"), '", "url": " "}')).otherwise(quoted('{"datum": "d", "nazov": "', F.col("c_name"), '", "url": "u', key, '"}'))
+    # Regions and nations are 5 and 25 rows at any scale.
+    rows = c.join(F.broadcast(n), c["c_nationkey"] == n["n_nationkey"]).join(F.broadcast(r), n["n_regionkey"] == r["r_regionkey"])
+    listed = lambda df, part, *group: df.groupBy("block", *group).agg(F.array_join(F.array_sort(F.collect_list(part)), ", ").alias("part"))
+    docs = listed(rows.withColumn("block", F.floor(key / 100)), doc, "r_name", "n_name", "c_mktsegment")
+    category = F.when((F.col("c_mktsegment") == "BUILDING") & (F.col("block") % 3 == 0), "17").otherwise(quoted('{"kategoria": "', F.col("c_mktsegment"), '", "dokumenty": [', F.col("part"), "]}"))
+    categories = listed(docs, category, "r_name", "n_name")
+    district = F.when((F.col("n_name") == "NATION_4") | (F.col("block") % 5 == 4), quoted('{"dokumenty_zivotne_prostredie": [', F.col("part"), "]}")).otherwise(quoted('{"nazov": "', F.col("n_name"), '", "dokumenty_zivotne_prostredie": [', F.col("part"), "]}"))
+    districts = listed(categories, district, "r_name")
+    regions = listed(districts, quoted('{"kraj": "', F.col("r_name"), '", "okresy": [', F.col("part"), "]}"))
+    return regions.select(F.col("block").cast("string").alias("name"), quoted("[", F.col("part"), ", null]").alias("text"))
+
+
+_STAYS = "block % 5 <> 4 AND okres <> 'NATION_4' AND NOT (kategoria = 'BUILDING' AND block % 3 = 0)"
+
+
+@query(f"WITH {_ENTRIES} SELECT kraj, okres, kategoria AS doc_kategoria, nazov, CASE WHEN k % 10 = 7 THEN ' ' ELSE 'u' || k END AS url FROM c WHERE {_STAYS} AND k % 10 <> 3")
+def kept_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.flat_boards(kept(_entries(spark, sf_dir))).rows.select("kraj", "okres", "doc_kategoria", "nazov", "url")
+
+
+@query(
+    f"""WITH {_ENTRIES}, named AS (SELECT * FROM c WHERE block % 5 <> 4 AND okres <> 'NATION_4')
+SELECT CAST(block AS VARCHAR) AS name, fault, count(*) AS n FROM (
+  SELECT DISTINCT block, 'region is no object' AS fault, 0 AS k, '' AS o FROM c
+  UNION ALL SELECT DISTINCT block, 'district without a name', 0, okres FROM c WHERE block % 5 = 4 OR okres = 'NATION_4'
+  UNION ALL SELECT DISTINCT block, 'category is no object', 0, okres FROM named WHERE kategoria = 'BUILDING' AND block % 3 = 0
+  UNION ALL SELECT block, 'document is no object', k, okres FROM c WHERE {_STAYS} AND k % 10 = 3) GROUP BY ALL"""
+)
+def refused_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.flat_boards(kept(_entries(spark, sf_dir))).refused.groupBy("name", "fault").agg(F.count(F.lit(1)).alias("n"))
+
+
 # Sketches ------------------------------------------------------------------------------------------------------------
 
 

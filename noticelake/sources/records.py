@@ -61,3 +61,56 @@ def drift(rows: DataFrame, text: str, *group: str) -> DataFrame:
 def common_schema(text: Column) -> Column:
     """An aggregate: the schema that all records share, in Spark's notation for variants."""
     return F.schema_of_variant_agg(F.try_parse_json(text))
+
+
+def json_texts(spark: SparkSession, path: str) -> DataFrame:
+    """Whole files: name, text."""
+    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("name"), F.col("value").alias("text"))
+
+
+def _level(rows: DataFrame, of: str, keep: list[str], what: str) -> tuple[DataFrame, DataFrame]:
+    """The objects in the list ``of`` (a variant) as ``v``, with ``keep`` and ``place`` (the path to each), and the entries that are none."""
+    there = rows.filter(F.col(of).isNotNull())
+    kind = F.schema_of_variant(of)
+    faulty = lambda df, fault, value, place: df.select("name", place.alias("place"), F.to_json(value).alias("text"), F.lit(fault).alias("fault"))
+    lists, others = there.filter(kind.startswith("ARRAY")), there.filter(~kind.startswith("ARRAY") & (kind != "VOID"))
+    each = lists.lateralJoin(rows.sparkSession.tvf.variant_explode(F.col(of).outer()))
+    each = each.withColumn("place", F.concat_ws("/", "place", F.col("pos").cast("string")))
+    is_object = F.schema_of_variant("value").startswith("OBJECT")
+    refused = faulty(each.filter(~is_object), f"{what} is no object", F.col("value"), F.col("place")).unionByName(faulty(others, f"{what}s are no list", F.col(of), F.col("place")))
+    return each.filter(is_object).select("name", *keep, "place", F.col("value").alias("v")), refused
+
+
+def _text(name: str) -> Column:
+    return F.try_variant_get("v", f"$.{name}", "string")
+
+
+def flat_boards(texts: DataFrame) -> Records:
+    """``texts``: name, text; nested boards as JSON. rows: the documents with their region, district and category; refused: name, place, text, fault.
+
+    On every level an entry that is no object is skipped and named, and what is beside it stays; regions, districts and
+    categories without a name are skipped too. Documents without a URL stay, as they become error rows later. ``place``
+    is the path of numbers to an entry.
+    """
+    parsed_ = texts.select("name", "text", F.try_parse_json("text").alias("all"), F.lit(None).cast("string").alias("place"))
+    broken = parsed_.filter("all IS NULL").select("name", F.lit("").alias("place"), "text", F.lit("no JSON").alias("fault"))
+    found, refused = parsed_, [broken]
+    keep: list[str] = []
+    of = "all"
+    steps = (("region", {"kraj": "kraj", "kraj_url": "url"}, "okresy"), ("district", {"okres": "nazov", "okres_url": "url", "okres_url_tabule": "url_tabule"}, "dokumenty_zivotne_prostredie"), ("category", {"doc_kategoria": "kategoria"}, "dokumenty"))
+    for what, columns, below in steps:
+        found, bad = _level(found, of, keep, what)
+        refused.append(bad)
+        found = found.select("name", *keep, "place", "v", *(_text(field).alias(c) for c, field in columns.items()))
+        named = next(iter(columns))
+        refused.append(found.filter(F.col(named).isNull()).select("name", "place", F.to_json("v").alias("text"), F.lit(f"{what} without a name").alias("fault")))
+        keep += columns
+        found = found.filter(F.col(named).isNotNull()).withColumn("below", F.try_variant_get("v", f"$.{below}", "variant")).drop("v")
+        of = "below"
+    found, bad = _level(found, of, keep, "document")
+    found = found.select("name", *keep, "place", "v", *(_text(c).alias(c) for c in ("datum", "nazov", "url")))
+    refused.append(bad)
+    every = refused[0]
+    for r in refused[1:]:
+        every = every.unionByName(r)
+    return Records(found.select(*keep, "datum", "nazov", "url"), every)

@@ -157,6 +157,22 @@ def test_drift_and_common_schema(spark):
     assert rows.filter("t LIKE '{%'").agg(records.common_schema(F.col("t"))).first()[0].startswith("OBJECT<k: ")
 
 
+def test_board_entries(spark):
+    """What is damaged on one level costs nothing beside it."""
+    doc = {"datum": "d", "nazov": "n", "url": "u"}
+    whole = {"kraj": "K", "url": "/k", "okresy": [{"nazov": "O", "url": "/o", "url_tabule": "/t", "dokumenty_zivotne_prostredie": [{"kategoria": "", "dokumenty": [doc, 5, {"nazov": "no url"}, None, []]}, "c", {"dokumenty": [doc]}, {"kategoria": "x", "dokumenty": {}}]}, None, {"url": "/p"}, {"nazov": "P"}]}
+    texts = [("a", json.dumps([whole, 1, {"okresy": [1]}, {"kraj": "L", "okresy": "none"}])), ("b", "{}"), ("c", "["), ("d", "[]"), ("e", json.dumps([whole]))]
+    found = records.flat_boards(spark.createDataFrame(texts, "name string, text string"))
+    rows = [(r["kraj"], r["kraj_url"], r["okres"], r["okres_url_tabule"], r["doc_kategoria"], r["nazov"], r["url"]) for r in found.rows.collect()]
+    assert sorted(rows, key=str) == sorted([("K", "/k", "O", "/t", "", "n", "u"), ("K", "/k", "O", "/t", "", "no url", None)] * 2, key=str)
+    told = sorted((r["place"], r["fault"]) for r in found.refused.filter("name = 'a'").collect())
+    assert told == [
+        ("0/0/0/1", "document is no object"), ("0/0/0/3", "document is no object"), ("0/0/0/4", "document is no object"), ("0/0/1", "category is no object"), ("0/0/2", "category without a name"), ("0/0/3", "documents are no list"),
+        ("0/1", "district is no object"), ("0/2", "district without a name"), ("1", "region is no object"), ("2", "region without a name"), ("3", "districts are no list"),
+    ]
+    assert sorted((r["name"], r["fault"]) for r in found.refused.filter("name IN ('b', 'c', 'd')").collect()) == [("b", "regions are no list"), ("c", "no JSON")]
+
+
 # Sketches, indexes ---------------------------------------------------------------------------------------------------
 
 
