@@ -4,14 +4,15 @@ Fingerprints. A text is lower-cased (A-Z), cut at ASCII white space and shingled
 with XXH64 (seed 42) and a bit is set if more than half the hashes have it. Copies share a fingerprint, so
 everything after works on one row per different fingerprint.
 
-Links. Two fingerprints within three bits agree on at least two of five blocks of bits, so each is dealt to
-ten groups by the 25 or 26 bits of two blocks: there are hundreds of millions of groups, which stay small at
-any scale but for fingerprints that are alike. Rows of a task are sorted by group and Gray rank: neighbours in Gray order differ
-in few bits, so blocks of 16 share a long masked bit pattern. These patterns form the nodes of a tree, 16
-children to a node. The tree is joined with itself from the roots: a pair of nodes whose shared patterns
-already differ in more than three bits is dropped with all below it, and so is a pair that lies in one
-component already. Leaves compare fingerprints exactly. A task returns a spanning forest of its links,
-never all pairs of a group.
+Links. Two fingerprints within three bits agree on at least one of four blocks of 16 bits, so each is dealt to
+four groups, by the first bits of each block; as many bits as leave about ``GROUP`` fingerprints in a group (none in a
+small table, which is one group). Where 16 bits no longer do, past hundreds of millions of fingerprints, they agree
+on two of five blocks, and ten groups go by those. Rows of a task are sorted by group and Gray rank: neighbours in Gray
+order differ in few bits, so nodes over 16 of them share a long masked bit pattern, and 16 nodes have a node above them
+with what all share, level by level. The tree of a group is joined with itself from the root: a pair of nodes whose
+shared patterns already differ in more than three bits is dropped with all below it, and so is a pair that lies in
+one component already. Leaves compare fingerprints exactly. A task returns a spanning forest of its links, never all
+pairs of a group.
 
 A group of more than ``block`` fingerprints is cut into blocks by hash; every pair of blocks is one task
 group of at most about two blocks, so no task holds a whole hot group and no pair is lost.
@@ -39,10 +40,12 @@ from noticelake.llm.common import checkpoint, table, text_of, whole_ids
 from noticelake.llm.components import components
 
 MAX_BITS = 3
-#: The first bit and the number of bits of five blocks. Three differing bits leave two of them alike.
+#: The first bit and the number of bits of five blocks. Three differing bits leave two of them alike, as they leave one of four.
 BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 LEAF = 16
 BLOCK = 16_384
+#: Fingerprints of a group, about.
+GROUP = 8192
 _PIECE = 65_536
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -137,8 +140,11 @@ def _union(label: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
             label[:] = up
 
 
-def links(keys: np.ndarray, fps: np.ndarray, bits: int = MAX_BITS, chunk: int = 4096) -> np.ndarray:
-    """For items sorted by key and Gray rank: the first item of each one's component within its key."""
+def links(keys: np.ndarray, fps: np.ndarray, bits: int = MAX_BITS, chunk: int = 4096, compared: list[int] | None = None) -> np.ndarray:
+    """For items sorted by key and Gray rank: the first item of each one's component within its key.
+
+    ``compared`` gathers how many pairs of items met below the leaves.
+    """
     label = np.arange(len(fps))
     levels, low, high, ks = [], fps, fps, keys
     while True:
@@ -166,6 +172,8 @@ def links(keys: np.ndarray, fps: np.ndarray, bits: int = MAX_BITS, chunk: int =
             continue
         x, y = _pairs(a, b, levels[depth])
         if depth == 0:
+            if compared is not None:
+                compared.append(len(x))
             near = np.bitwise_count(fps[x] ^ fps[y]) <= bits
             _union(label, x[near], y[near])
             continue
@@ -205,16 +213,25 @@ def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield solve(pd.concat(held))
 
 
-def _keys(fp: Column) -> Column:
-    """array<struct<blocks, value>>: the bits of two of five blocks of a fingerprint, for all ten choices."""
+def _keys(fp: Column, bits: int) -> Column:
+    """array<struct<blocks, value>>: the groups of a fingerprint.
+
+    Up to 16 bits: the first ``bits`` of each of four blocks; one group for all without bits. Beyond: two of five blocks.
+    """
+    if not bits:
+        return F.array(F.struct(F.lit(0).alias("blocks"), F.lit(0).cast("long").alias("value")))
+    if bits <= 16:
+        first = [F.shiftrightunsigned(fp, 16 * k + 16 - bits).bitwiseAND((1 << bits) - 1) for k in range(4)]
+        return F.array(*(F.struct(F.lit(k).alias("blocks"), v.alias("value")) for k, v in enumerate(first)))
     block = [F.shiftrightunsigned(fp, at).bitwiseAND((1 << n) - 1) for at, n in BLOCKS]
     pairs = list(combinations(range(len(BLOCKS)), 2))
     return F.array(*(F.struct(F.lit(k).alias("blocks"), (F.shiftleft(block[a], BLOCKS[b][1]) + block[b]).alias("value")) for k, (a, b) in enumerate(pairs)))
 
 
-def near_links(classes: DataFrame, block: int = BLOCK) -> DataFrame:
+def near_links(classes: DataFrame, block: int = BLOCK, group: int = GROUP) -> DataFrame:
     """``classes``: fp, rep, one row per fingerprint. Returns links a, b between reps that join all within three bits."""
-    dealt = classes.select("fp", "rep", F.inline(_keys(F.col("fp"))))
+    bits = max(0, int(-(-classes.count() // group)) - 1).bit_length()
+    dealt = classes.select("fp", "rep", F.inline(_keys(F.col("fp"), bits)))
     hot = dealt.groupBy("blocks", "value").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block)
     k = F.coalesce(F.ceil(F.col("n") / block), F.lit(1)).cast("long")
     mine = F.pmod(F.xxhash64("fp"), k)

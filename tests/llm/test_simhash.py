@@ -66,11 +66,26 @@ def test_links_and_components_match_brute_force(spark):
     fps = sorted({*clusters(rng, 20, 15, 5), *(rng.getrandbits(64) for _ in range(100)), 0, 2**64 - 1, 7})
     reps = rng.sample(range(10_000), len(fps))
     df = spark.createDataFrame([(int(np.uint64(f).view(np.int64)), r) for f, r in zip(fps, reps, strict=True)], "fp long, rep long")
-    for block in (16_384, 5):
-        found = {r["node"]: r["component"] for r in simhash.components(simhash.near_links(df, block)).collect()}
+    for block, group in ((16_384, 8192), (5, 8192), (16_384, 40), (7, 3), (16_384, 0.001)):
+        found = {r["node"]: r["component"] for r in simhash.components(simhash.near_links(df, block, group)).collect()}
         assert {r: found.get(r, r) for r in reps} == brute_components(fps, reps)
 
 
+def test_upper_nodes_prune_pairs():
+    """Three levels over one wide group: many pairs fall away above the leaves, and no link does."""
+    rng = random.Random(5)
+    items = np.array(sorted({*clusters(rng, 60, 10, 3), *(rng.getrandbits(64) for _ in range(2500))}), np.uint64)
+    order = items.copy()
+    for shift in (1, 2, 4, 8, 16, 32):
+        order ^= order >> np.uint64(shift)
+    items = items[np.argsort(order)]
+    compared = []
+    label = simhash.links(np.zeros(len(items), np.int64), items, compared=compared)
+    assert sum(compared) < 0.75 * len(items) * (len(items) - 1) / 2 and len(items) > simhash.LEAF**2
+    want = brute_components([int(f) for f in items], list(range(len(items))))
+    assert label.tolist() == [want[k] for k in range(len(items))]
+
+
 def test_near_duplicates_cases(spark):
     base = [" ".join(random.Random(k).choices("alpha beta gamma delta eps zeta eta theta".split(), k=200)) for k in range(6)]
     rows = [(10 * k + 5, t) for k, t in enumerate(base)] + [(3, base[0].upper()), (99, base[1] + " tail"), (5, base[0])]
