@@ -100,6 +100,8 @@ class Templates:
     def scan(self, text: str) -> list[tuple[int, int, str, float]]:
         """(start, end, template, dice) of every line, block of lines and whole text that matches, in code points."""
         out, at = set(), 0
+        # Line ends of two characters become one with a space before it, so that places stay.
+        text = text.replace("\r\n\r\n", "  \n\n").replace("\r\n", " \n")
         blocks = text.split("\n\n")
         units = []
         for block in blocks:
@@ -154,7 +156,7 @@ def _oracle() -> str:
     values = ", ".join(f"({k}, {quote(n)}, {quote(t)})" for k, (n, t) in enumerate(TEMPLATES))
     grams = "SELECT {key}, w[i] || ' ' || w[i + 1] AS g, count(*) AS c FROM (SELECT {key}, w, unnest(range(1, len(w))) AS i FROM {table}) GROUP BY ALL"
     return f"""
-WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, replace(replace(coalesce(text, ''), chr(13) || chr(10) || chr(13) || chr(10), '  ' || chr(10) || chr(10)), chr(13) || chr(10), ' ' || chr(10)) AS t FROM documents),
 b0 AS (SELECT r, t, unnest(bs) AS u, generate_subscripts(bs, 1) AS k, len(bs) AS n FROM (SELECT r, t, string_split(t, chr(10) || chr(10)) AS bs FROM d)),
 b AS (SELECT *, CAST(sum(length(u) + 2) OVER (PARTITION BY r ORDER BY k) - length(u) - 2 AS BIGINT) AS s FROM b0),
 l0 AS (SELECT r, k, s AS bs, unnest(ls) AS u, generate_subscripts(ls, 1) AS j FROM (SELECT r, k, s, string_split(u, chr(10)) AS ls FROM b)),

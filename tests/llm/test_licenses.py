@@ -7,6 +7,7 @@ from noticelake.llm import licenses
 def brute(text):
     """Every unit against every template."""
     units, at = set(), 0
+    text = text.replace("\r\n\r\n", "  \n\n").replace("\r\n", " \n")
     for block in text.split("\n\n"):
         start = at
         for line in block.split("\n"):
@@ -44,8 +45,18 @@ def test_matches_brute_force(spark):
                 w.insert(len(w) // 2, "\n")
             parts.append(rng.choice([" ".join(w), " ".join(w).upper(), "plain words in a line"]))
         texts.append(rng.choice(["\n", "\n\n", "\n"]).join(parts))
+    texts += [t.replace("\n", "\r\n") for t in texts[:40]]
     rows = list(enumerate(texts)) + [(0, texts[0]), (None, texts[1]), (900, None), (901, ""), (902, "\n" * 5), (903, "word " * 50_000 + "\nReleased under the MIT License.")]
     df = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, found string")
     got = sorted((str(r["id"]), [tuple(x) for x in r["found"]]) for r in licenses.scan_licenses(df).collect())
     assert got == sorted((str(i), brute(t or "")) for i, t in rows)
     assert licenses.scan_licenses(df.limit(0)).count() == 0
+
+
+def test_lines_that_end_in_two_characters():
+    known = licenses.Templates(licenses.TEMPLATES, licenses.THRESHOLD)
+    name, words = next((n, t.split()) for n, t in licenses.TEMPLATES if len(t.split()) > 60)
+    wrapped = "\n".join(" ".join(words[k : k + 12]) for k in range(0, len(words), 12))
+    unix = f"/* x */\n\n{wrapped}\n\nint main() {{}}\n"
+    found = [x[2] for x in known.scan(unix)]
+    assert name in found and [x[2:] for x in known.scan(unix.replace("\n", "\r\n"))] == [x[2:] for x in known.scan(unix)]
