@@ -32,11 +32,12 @@ from pyspark.sql import functions as F
 from noticelake.llm import simhash
 from noticelake.llm.common import broadcast_if_few, dealt_checkpoint, text_of
 from noticelake.llm.components import components
+from noticelake.operators.membership import blocks_for, filter_of, with_possible
 
 WIDTH = 5
 SIMILARITY = 0.8
-#: Shingles of eight bytes that are broadcast at most.
-FEW_TOKENS = 1_000_000
+#: Blocks of 4 KB of the filter of shared shingles that are broadcast at most.
+MOST_BLOCKS = 8_192
 _BUCKETS = 1 << 14
 _MARKS = 4
 _MARK_NAMES = [f"m{k}" for k in range(_MARKS)]
@@ -169,10 +170,15 @@ def near_links(texts: DataFrame, width: int = WIDTH, similarity: float = SIMILAR
     prints, classes = _scan(texts, width)
     close = _by_fingerprint(prints)
     heads = _heads(texts, classes, width, similarity)
-    dealt = heads.select("node", F.posexplode("tokens").alias("pos", "token"))
+    dealt = heads.select("node", "size", *_MARK_NAMES, F.posexplode("tokens").alias("pos", "token"))
     common = dealt_checkpoint(dealt.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("token"))
-    shared = dealt.join(broadcast_if_few(common, FEW_TOKENS), "token")
-    placed = dealt_checkpoint(shared.join(heads.drop("tokens", "wide"), "node"))
+    # A filter of bounded size keeps the shingles that one text alone has from travelling; those that pass by chance are
+    # alone with their token and pair with nothing. It is read anew from the heads each time, as that takes no disk.
+    many = common.count()
+    blocks = blocks_for(many, most=MOST_BLOCKS)
+    placed = with_possible(dealt, dealt_checkpoint(filter_of(common, F.col("token"), blocks=blocks)), blocks, F.col("token"), most=MOST_BLOCKS).filter("possible").drop("possible")
+    if blocks < blocks_for(many, most=1 << 40):
+        placed = dealt_checkpoint(placed.join(common, "token", "left_semi"))  # the filter is crowded, so the tokens decide
 
     # First every text with the smallest of each shingle's texts.
     hubs = placed.groupBy("token").agg(F.min(F.struct("node", "pos", "size", *_MARK_NAMES)).alias("h")).select("token", "h.*")
@@ -180,7 +186,7 @@ def near_links(texts: DataFrame, width: int = WIDTH, similarity: float = SIMILAR
     found = components(_near(close.union(to_hub.select(F.col("y.node").alias("a"), F.col("x.node").alias("b"))), texts, heads, width, similarity))
 
     # Then what these links leave apart: of a shingle's texts, those outside its largest component with all others.
-    placed = placed.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    placed = placed.join(broadcast_if_few(found), "node", "left").withColumn("component", F.coalesce("component", "node"))
     main = placed.groupBy("token", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("token").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1").drop("parts")
     placed = dealt_checkpoint(placed.join(main, "token"))
     apart = (F.col("x.component") != F.col("y.component")) & ((F.col("y.component") == F.col("y.main")) | (F.col("x.node") < F.col("y.node")))
