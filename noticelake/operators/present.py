@@ -55,7 +55,7 @@ def place_cell(name: Column, url: Column) -> Column:
     return _link(url, name)
 
 
-def summary(text: Column, doc_id: Column, status: Column, default: str = "Bez zhrnutia") -> Column:
+def summary(text: Column, doc_id: Column, status: Column, default: str = "Súhrn chýba") -> Column:
     """The summary or a default, the document's id and its status lines."""
     lines = F.transform(status, lambda s: F.concat_ws(" ", s["date"], status_icon(s["type"]), s["text"]))
     return F.concat_ws("\n", F.coalesce(F.nullif(text, F.lit("")), F.lit(default)), F.concat(F.lit("ID: "), F.coalesce(doc_id, F.lit("N/A"))), F.nullif(F.array_join(lines, "\n"), F.lit("")))

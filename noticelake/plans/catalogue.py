@@ -353,7 +353,7 @@ def analysis_display(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", present.has_analysis(analysis).alias("has_analysis"), present.has_valid_analysis(analysis).alias("valid_analysis"), present.shown(kinds, analysis, "Bez analýzy").alias("shown"))
 
 
-@query(f"WITH {DOCUMENTS} SELECT place, '<a href=\"' || kraj_url || '\">' || kraj || '</a>' AS kraj, coalesce(CASE WHEN place % 3 = 0 THEN nazov END, 'Bez zhrnutia') || chr(10) || 'ID: ' || coalesce(CASE WHEN place % 2 = 0 THEN nazov END, 'N/A') || chr(10) || datum || ' ℹ️ ok' AS summary FROM docs")
+@query(f"WITH {DOCUMENTS} SELECT place, '<a href=\"' || kraj_url || '\">' || kraj || '</a>' AS kraj, coalesce(CASE WHEN place % 3 = 0 THEN nazov END, 'Súhrn chýba') || chr(10) || 'ID: ' || coalesce(CASE WHEN place % 2 = 0 THEN nazov END, 'N/A') || chr(10) || datum || ' ℹ️ ok' AS summary FROM docs")
 def row_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = F.array(F.struct(F.col("datum").alias("date"), F.lit("info").alias("type"), F.lit("ok").alias("text")))
     summary = present.summary(F.when(F.col("place") % 3 == 0, F.col("nazov")), F.when(F.col("place") % 2 == 0, F.col("nazov")), entries)
