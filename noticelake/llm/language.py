@@ -256,7 +256,8 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     return Trees(names, found["gram"].to_numpy(), owners, found["n"].to_numpy(), order)
 
 
-_SCORERS: dict[int, Scorer] = {}
+#: A worker's scorer, for tasks that follow with the same trees.
+_SCORER: list[Scorer] = []
 
 
 def identify(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -264,11 +265,9 @@ def identify(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: st
     shared = docs.sparkSession.sparkContext.broadcast(trees)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = shared._jbroadcast.id() if shared._jbroadcast is not None else id(shared)
-        if key not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[key] = Scorer(shared.value)
-        score, names = _SCORERS[key], np.array([*shared.value.languages, UNKNOWN], object)
+        if not _SCORER or _SCORER[0].trees is not shared.value:
+            _SCORER[:] = [Scorer(shared.value)]
+        score, names = _SCORER[0], np.array([*shared.value.languages, UNKNOWN], object)
         for batch in batches:
             for at, n in _slices(batch):
                 part = batch.slice(at, n)

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from noticelake.llm import language as L
 
@@ -107,3 +108,13 @@ def test_sample_is_bounded(spark):
     docs = spark.createDataFrame([(k, "a" * 100, "en" if k % 3 else "de") for k in range(3000)], "doc_id long, text string, lang string")
     sizes = {r["lang"]: r["n"] for r in L.sample(docs, max_bytes=5000).groupBy("lang").count().withColumnRenamed("count", "n").collect()}
     assert sizes == {"en": 50, "de": 50}
+
+
+def test_models_that_follow_each_other(spark):
+    """Workers keep a scorer for the tasks that follow, but only with its own trees."""
+    texts = [(k, ("und der die das " if k % 2 else "the of and that ") * 5 + str(k)) for k in range(40)]
+    docs = spark.createDataFrame([(k, t, "de" if k % 2 else "en") for k, t in texts], "doc_id long, text string, lang string")
+    for a, b in (("de", "en"), ("x", "y"), ("en", "de"), ("p", "q")):
+        own = docs.withColumn("lang", F.when(F.col("lang") == "de", a).otherwise(b))
+        got = {r["id"]: r["lang_pred"] for r in L.identify(docs, L.learn(own)).collect()}
+        assert got == {k: a if k % 2 else b for k, _ in texts}
