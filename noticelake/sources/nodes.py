@@ -15,7 +15,7 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -141,6 +141,11 @@ def attr(node: str, name: str) -> Column:
     return F.try_element_at(F.col(f"{node}.attrs"), F.lit(name))
 
 
+def joined(left: DataFrame, right: DataFrame, on: list, how: str = "inner") -> DataFrame:
+    """A join by sort and merge. Both sides grow with the pages; by their compressed size Spark would send some to the driver, to be broadcast."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def step(context: DataFrame, at: str, axis: str, found: DataFrame, keys: list[str], name: str, how: str = "inner") -> DataFrame:
     """``context`` with the struct ``name``: each node of ``found`` on an axis of the node ``at`` (child, descendant, following)."""
     own = as_node(found, [F.col(k).alias(f"_{k}") for k in keys], name)
@@ -161,7 +166,7 @@ def step(context: DataFrame, at: str, axis: str, found: DataFrame, keys: list[st
     else:
         raise ValueError(f"no such axis: {axis}")
     drop = [f"_{k}" for k in keys] + ["_block", "_at"]
-    return context.join(own, on, how).drop(*drop)
+    return joined(context, own, on, how).drop(*drop)
 
 
 def path(every: DataFrame, keys: list[str], *steps: tuple[str, Column]) -> DataFrame:
@@ -197,7 +202,7 @@ def texts(context: DataFrame, at: str, every: DataFrame, keys: list[str], separa
     parts = F.array_sort(F.collect_set(F.struct(F.col("_t.pre").alias("pre"), said.alias("said"))))
     told = found.groupBy(*names, F.col(f"{at}.pre").alias("_pre")).agg(F.array_join(F.transform(parts, lambda p: p["said"]), separator).alias("text"))
     on = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys] + [F.col(f"{at}.pre") == F.col("_pre")]
-    return context.join(told, on, "left").withColumn("text", F.coalesce("text", F.lit(""))).drop("_pre", *(f"_{k}" for k in keys))
+    return joined(context, told, on, "left").withColumn("text", F.coalesce("text", F.lit(""))).drop("_pre", *(f"_{k}" for k in keys))
 
 
 # The pages of the sources --------------------------------------------------------------------------------------------
@@ -216,57 +221,80 @@ def menu(every: DataFrame, keys: list[str]) -> DataFrame:
     linked = first_by(step(items, "item", "child", every.filter(is_("a")), keys, "link"), [*keys, "region.pre", "item.pre"], F.lit(0), "link", [*keys, "region", "item"])
     districts = texts(linked, "link", every, keys).select(*(F.col(k).alias(f"_{k}") for k in keys), F.col("region.pre").alias("_pre"), F.col("item.pre").alias("okres_place"), F.col("text").alias("okres"), attr("link", "href").alias("okres_url"))
     on = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys] + [F.col("region.pre") == F.col("_pre")]
-    return named.join(districts, on, "left").select(*keys, F.col("region.pre").alias("place"), "kraj", "url", "okres_place", "okres", "okres_url")
+    return joined(named, districts, on, "left").select(*keys, F.col("region.pre").alias("place"), "kraj", "url", "okres_place", "okres", "okres_url")
 
 
-def _only_text(context: DataFrame, at: str, every: DataFrame, keys: list[str]) -> DataFrame:
-    """``context`` with ``text``: that of an element that holds a single text, however deep; else null."""
-    inside = step(context.select(*keys, at), at, "descendant", every, keys, "_n")
-    told = inside.groupBy(*(F.col(k).alias(f"_{k}") for k in keys), F.col(f"{at}.pre").alias("_pre")).agg(
-        # A chain of single children has as many levels as nodes, and ends in a text.
-        F.when((F.count_distinct("_n.pre") == F.count_distinct("_n.level")) & (F.max_by("_n.tag", "_n.level").isin(TEXT, HIDDEN_TEXT)), F.max_by("_n.text", "_n.level")).alias("text")
-    )
-    on = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys] + [F.col(f"{at}.pre") == F.col("_pre")]
-    return context.join(told, on, "left").drop("_pre", *(f"_{k}" for k in keys))
+def _headings(section: DataFrame, every: DataFrame, keys: list[str], rank: Column) -> DataFrame:
+    """Of each page the h2 of the section that ranks first by ``rank``, an order of its ``text``: that of an element that holds a single text, however deep."""
+    # A chain of single children has as many levels as nodes and ends in a text, so the last node of an h2 tells; few texts have a rank.
+    said = every.filter(F.col("tag").isin(TEXT, HIDDEN_TEXT)).withColumn("_rank", rank).filter("_rank IS NOT NULL").select(*keys, F.col("pre").alias("_end"), F.col("level").alias("_deep"), "_rank")
+    heads = step(section, "section", "descendant", every.filter(is_("h2")), keys, "head").withColumn("_end", F.col("head.last"))
+    chained = F.col("_deep") - F.col("head.level") == F.col("head.last") - F.col("head.pre")
+    return first_by(joined(heads, said, [*keys, "_end"]).filter(chained), keys, F.col("_rank"), "head", keys)
+
+
+def _frames(every: DataFrame, keys: list[str], rank: Column) -> DataFrame:
+    """keys, and the nodes that bound the documents of a page with a section: head, table, and stop, the number of the next heading beside head."""
+    section = first_by(as_node(every.filter(is_("div", id="popis")), keys, "section"), keys, F.lit(0), "section", keys)
+    head = _headings(section, every, keys, rank)
+    table = first_by(step(head, "head", "following", every.filter(is_("table", "tabdoc")), keys, "table"), keys, F.lit(0), "table", keys)
+    stop = step(head, "head", "following", every.filter(is_("h2")), keys, "stop").groupBy(*keys).agg(F.min("stop.pre").alias("stop"))
+    out = section.select(*keys)
+    for found in (head, table, stop):
+        out = joined(out, found, keys, "left")
+    return out
+
+
+def _paragraphs(bare: DataFrame, every: DataFrame, keys: list[str]) -> DataFrame:
+    """Parts of pages without a table: keys, place, kind, text, href of the paragraphs that follow the heading up to the next."""
+    said, link = strip(F.col("text")), F.col("tag") == "a"
+    few = every.filter(is_("p") | link | (F.col("tag") == TEXT) & (said != "")).select(*keys, "pre", "last", "parent", "tag", F.try_element_at("attrs", F.lit("href")).alias("href"), said.alias("said"))
+    # Siblings do not overlap, so the one that began last is the only one that a node can be in. One row of ``bare`` per page.
+    near = few.join(bare.hint("shuffle_hash"), keys).filter((F.col("pre") > F.col("head.last")) & (F.col("stop").isNull() | (F.col("pre") < F.col("stop"))))
+    own = is_("p") & (F.col("parent") == F.col("head.parent"))
+    begun = F.last(F.when(own, F.struct("pre", "last")), ignorenulls=True).over(Window.partitionBy(*keys).orderBy("pre"))
+    inside = near.withColumn("_p", begun).filter(~is_("p") & (F.col("pre") <= F.col("_p.last")))
+    each = F.array_sort(F.collect_list(F.struct("pre", "last", link.alias("link"), "href", "said")))
+    listed = inside.groupBy(*keys, F.col("_p.pre").alias("place")).agg(each.alias("all"))
+    listed = listed.withColumn("first", F.get(F.filter("all", lambda x: x["link"]), F.lit(0)))
+    first = F.col("first")
+    told = F.filter("all", lambda x: x["said"].isNotNull() & (first.isNull() | (x["pre"] > first["pre"]) & (x["pre"] <= first["last"])))
+    rows = listed.select(*keys, "place", F.when(first.isNull(), "date").otherwise("document").alias("kind"), F.array_join(F.transform(told, lambda x: x["said"]), "").alias("text"), first["href"].alias("href"))
+    return rows.filter((F.col("kind") == "document") | is_date_like(F.col("text")))
 
 
 def board_parts(pages: DataFrame, every: DataFrame, keys: list[str], specific: str | None = None, general: str | None = GENERAL_HEADING) -> DataFrame:
     """keys and b, struct<error, layout, parts>, for every row of ``pages``, as the Arrow function of that name finds them."""
-    section = first_by(as_node(every.filter(is_("div", id="popis")), keys, "section"), keys, F.lit(0), "section", keys)
-    heads = _only_text(step(section, "section", "descendant", every.filter(is_("h2")), keys, "head"), "head", every, keys)
     said = F.lower("text")
     rank = F.when(F.contains(said, F.lit(specific)) if specific else F.lit(False), 0).when(strip(said) == general if general else F.lit(False), 1)
-    head = first_by(heads.withColumn("_rank", rank).filter("_rank IS NOT NULL"), keys, F.col("_rank"), "head", keys)
-    tables = step(head, "head", "following", every.filter(is_("table", "tabdoc")), keys, "table")
-    table = first_by(tables, keys, F.lit(0), "table", keys)
-    rows = step(table, "table", "descendant", every.filter(is_("tr")), keys, "row").drop("table")
-    cell = lambda cls, name: first_by(step(rows, "row", "descendant", every.filter(is_("td", cls)), keys, name), [*keys, "row.pre"], F.lit(0), name, [*keys, "row"])
-    part = lambda df, kind, text, href, before: df.select(*keys, F.col("_place").alias("place"), F.lit(kind).alias("kind"), text.alias("text"), href.alias("href"), before.alias("before"))
+    frames = kept(_frames(every, keys, rank))
+    # Of pages with a table, the nodes below it.
+    bounds = frames.filter("table IS NOT NULL").select(*keys, F.col("table.pre").alias("_from"), F.col("table.last").alias("_to"))
+    wanted = F.col("tag").isin("tr", "td", "a", TEXT)
+    inner = kept(every.filter(wanted).join(bounds.hint("shuffle_hash"), keys).filter((F.col("pre") > F.col("_from")) & (F.col("pre") <= F.col("_to"))).drop("_from", "_to"))
+    rows = as_node(inner.filter(is_("tr")), keys, "row")
+    cell = lambda cls, name: first_by(step(rows, "row", "descendant", inner.filter(is_("td", cls)), keys, name), [*keys, "row.pre"], F.lit(0), name, [*keys, "row"])
+    part = lambda df, kind, text, href, before: df.select(*keys, F.col("_place").alias("place"), kind.alias("kind"), text.alias("text"), href.alias("href"), before.alias("before"))
     null = F.lit(None).cast("string")
     heading_cells = cell("tddocup", "cell")
-    categories = part(texts(heading_cells, "cell", every, keys).withColumn("_place", F.col("row.pre")), "category", F.col("text"), null, null)
-    plain = cell("document-name", "cell").withColumn("_pre", F.col("row.pre")).join(heading_cells.select(*keys, F.col("row.pre").alias("_pre")), [*keys, "_pre"], "left_anti").drop("_pre")
-    linked = first_by(step(plain, "cell", "descendant", every.filter(is_("a", "govuk-link")), keys, "link"), [*keys, "row.pre"], F.lit(0), "link", [*keys, "row", "cell"])
-    named = texts(linked, "link", every, keys).withColumnRenamed("text", "_name")
-    whole = texts(named, "cell", every, keys)
+    categories = part(texts(heading_cells, "cell", inner, keys).withColumn("_place", F.col("row.pre")), F.lit("category"), F.col("text"), null, null)
+    plain = joined(cell("document-name", "cell").withColumn("_pre", F.col("row.pre")), heading_cells.select(*keys, F.col("row.pre").alias("_pre")), [*keys, "_pre"], "left_anti").drop("_pre")
+    linked = first_by(step(plain, "cell", "descendant", inner.filter(is_("a", "govuk-link")), keys, "link"), [*keys, "row.pre"], F.lit(0), "link", [*keys, "row", "cell"])
+    named = texts(linked, "link", inner, keys).withColumnRenamed("text", "_name")
+    whole = texts(named, "cell", inner, keys)
     ahead = F.expr("substring(text, 1, greatest(locate(_name, text) - 1, 0))")
-    documents = part(whole.withColumn("_place", F.col("row.pre")), "document", F.col("_name"), attr("link", "href"), ahead)
+    documents = part(whole.withColumn("_place", F.col("row.pre")), F.lit("document"), F.col("_name"), attr("link", "href"), ahead)
     # Without a table: the siblings up to the next heading.
-    bare = head.join(table.select(*keys), keys, "left_anti")
-    stop = step(bare, "head", "following", every.filter(is_("h2")), keys, "stop").groupBy(*keys).agg(F.min("stop.pre").alias("_stop"))
-    after = step(bare, "head", "following", every.filter(is_("p")), keys, "p").join(stop, keys, "left").filter("_stop IS NULL OR p.pre < _stop").drop("_stop", "head")
-    with_link = first_by(step(after, "p", "descendant", every.filter(is_("a")), keys, "link"), [*keys, "p.pre"], F.lit(0), "link", [*keys, "p"])
-    loose = part(texts(with_link, "link", every, keys).withColumn("_place", F.col("p.pre")), "document", F.col("text"), attr("link", "href"), null)
-    without = after.withColumn("_pre", F.col("p.pre")).join(with_link.select(*keys, F.col("p.pre").alias("_pre")), [*keys, "_pre"], "left_anti").drop("_pre")
-    dates = texts(without, "p", every, keys)
-    dated = part(dates.filter(is_date_like(F.col("text"))).withColumn("_place", F.col("p.pre")), "date", F.col("text"), null, null)
-    parts = categories.unionByName(documents).unionByName(loose).unionByName(dated)
+    bare = frames.filter("head IS NOT NULL AND table IS NULL").select(*keys, "head", "stop")
+    loose = part(_paragraphs(bare, every, keys).withColumnRenamed("place", "_place"), F.col("kind"), F.col("text"), F.col("href"), null)
+    parts = categories.unionByName(documents).unionByName(loose)
     one = F.struct("place", "kind", "text", "href", "before")
     listed = parts.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(one)), lambda p: F.struct(*(p[c].alias(c) for c in ("kind", "text", "href", "before")))).alias("parts"))
-    flag = lambda df, name: df.select(*keys, F.lit(True).alias(name))
-    told = pages.select(*keys).join(flag(section, "_section"), keys, "left").join(flag(head, "_head"), keys, "left").join(flag(table, "_table"), keys, "left").join(listed, keys, "left")
-    error = F.when(F.col("_section").isNull(), "section #popis not found").when(F.col("_head").isNull(), "heading not found")
-    layout = F.when(error.isNull(), F.when(F.col("_table").isNotNull(), "table").otherwise("paragraphs"))
+    told = pages.select(*keys)
+    for found in (frames.select(*keys, F.lit(True).alias("_section"), "head", "table"), listed):
+        told = joined(told, found, keys, "left")
+    error = F.when(F.col("_section").isNull(), "section #popis not found").when(F.col("head").isNull(), "heading not found")
+    layout = F.when(error.isNull(), F.when(F.col("table").isNotNull(), "table").otherwise("paragraphs"))
     empty = F.array().cast("array<struct<kind:string,text:string,href:string,before:string>>")
     return told.select(*keys, F.struct(error.alias("error"), layout.alias("layout"), F.coalesce("parts", empty).alias("parts")).alias("b"))
 
@@ -292,13 +320,13 @@ def news(every: DataFrame, keys: list[str], base: str) -> DataFrame:
     dates = first_by(step(body, "body", "descendant", every.filter(is_("span", "news_date")), keys, "date"), [*keys, "item.pre"], F.lit(0), "date", [*keys, "item", "body"])
     datum = texts(dates, "date", every, keys).select(*keys, place, F.col("text").alias("datum"))
     spans = dates.select(*keys, F.col("body.pre").alias("_body"), F.col("date.pre").alias("_from"), F.col("date.last").alias("_to"))
-    body = body.withColumn("_body", F.col("body.pre")).join(spans, [*keys, "_body"], "left")
+    body = joined(body.withColumn("_body", F.col("body.pre")), spans, [*keys, "_body"], "left")
     wide = body.withColumn("body", F.struct(*(F.col(f"body.{c}").alias(c) for c in _FIELDS), "_from", "_to")).drop("_from", "_to", "_body")
     outside = F.col("body._from").isNull() | ~F.col("_t.pre").between(F.col("body._from"), F.col("body._to"))
     rest = texts(wide, "body", every, keys, " ", outside).select(*keys, place, F.col("text").alias("popis"))
     out = items.select(*keys, place)
     for found in (link, title, datum, rest):
-        out = out.join(found, [*keys, "place"], "left")
+        out = joined(out, found, [*keys, "place"], "left")
     url = F.coalesce("url", F.lit(""))
     name = F.coalesce("_title", F.when(url != "", F.col("_link")), F.lit(""))
     return out.select(*keys, "place", name.alias("nazov"), url.alias("url"), F.coalesce("datum", F.lit("")).alias("datum"), F.coalesce("popis", F.lit("")).alias("popis"))
@@ -318,6 +346,6 @@ def places(pages: DataFrame, every: DataFrame, keys: list[str], url: str = "url"
     third, fourth = F.col("_third"), F.col("_fourth")
     kraj = F.nullif(region_name(F.when(third.startswith("Kraj ") | (third == MINISTRY), third)), F.lit(""))
     okres = F.when(kraj == MINISTRY, F.lit(MINISTRY)).otherwise(F.nullif(district_name(F.when(fourth.startswith("Okresný úrad "), fourth)), F.lit("")))
-    rows = pages.join(told, keys, "left").withColumns({"kraj": kraj, "doc_id": file_id(F.col(url))}).withColumn("okres", okres).drop("_third", "_fourth")
+    rows = joined(pages, told, keys, "left").withColumns({"kraj": kraj, "doc_id": file_id(F.col(url))}).withColumn("okres", okres).drop("_third", "_fourth")
     error = F.when(F.col("kraj").isNull(), "region not found in the breadcrumb").when(F.col("okres").isNull(), "district not found in the breadcrumb").when(F.col("doc_id").isNull(), "no document id in the URL")
     return rows.withColumn("error", error)

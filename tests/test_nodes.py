@@ -93,3 +93,11 @@ def test_a_page_longer_than_a_batch_and_axes(spark):
     assert sorted((r["k"] or 0) for r in after.collect()) == [0, 1]
     whole = nodes.texts(nodes.path(every, ["k"], ("child", nodes.is_("ul"))), "node", every, ["k"])
     assert whole.first()["text"] == "xy" * 9000
+
+
+def test_boards_send_no_nodes_to_the_driver(spark):
+    """Every join says how it is done, so that none is broadcast by its compressed size; and they are few."""
+    pages = spark.createDataFrame([*fx._BOARDS.items()], "page string, html string")
+    plan = nodes.board_parts(pages, nodes.nodes(pages, ["page"]), ["page"])._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join " in line]
+    assert 0 < len(joins) < 60 and all("strategy=" in line for line in joins)
