@@ -11,6 +11,7 @@ element of its name, as browsers have it.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -34,29 +35,37 @@ _FIELDS = [f.split()[0] for f in ("pre", "last", "level", "parent", "tag", "attr
 BLOCK = 1024
 _ROWS = 10_000
 _FEED = 1_000_000
+_REFERENCE = re.compile(r"&([a-zA-Z]+);")
 
 
 class _Numbering(HTMLParser):
-    """Gives each node's row to ``done`` when its last number is known."""
+    """Gives each node's row to ``done`` when its last number is known. ``references``: see ``nodes``; each & is then fed as &amp;."""
 
-    def __init__(self):
+    def __init__(self, references: dict[str, str] | None = None):
         super().__init__(convert_charrefs=True)
+        self.references, self.raw = references, False
         self.open: list[tuple[int, str, dict[str, str]]] = []
         self.next, self.said, self.done = 1, [], []
 
     def _flush(self) -> None:
         if self.said:
             hidden = any(tag in HIDDEN for _, tag, _ in self.open)
-            self.done.append((self.next, self.next, len(self.open) + 1, self.open[-1][0] if self.open else 0, HIDDEN_TEXT if hidden else TEXT, None, "".join(self.said)))
+            self.done.append((self.next, self.next, len(self.open) + 1, self.open[-1][0] if self.open else 0, HIDDEN_TEXT if hidden else TEXT, None, self._decoded("".join(self.said), self.raw)))
             self.next, self.said = self.next + 1, []
 
+    def _decoded(self, text: str, raw: bool = False) -> str:
+        if self.references is None:
+            return text
+        # The parser leaves scripts and styles as they are fed.
+        return text.replace("&amp;", "&") if raw else _REFERENCE.sub(lambda m: self.references.get(m[1], m[0]), text)
+
     def _close(self) -> None:
         pre, tag, attrs = self.open.pop()
         self.done.append((pre, self.next - 1, len(self.open) + 1, self.open[-1][0] if self.open else 0, tag, attrs, None))
 
     def handle_starttag(self, tag, attrs):
         self._flush()
-        self.open.append((self.next, tag, {k: v or "" for k, v in attrs}))
+        self.open.append((self.next, tag, {k: self._decoded(v or "") for k, v in attrs}))
         self.next += 1
         if tag in VOID:
             self._close()
@@ -75,6 +84,7 @@ class _Numbering(HTMLParser):
 
     def handle_data(self, data):
         self.said.append(data)
+        self.raw = self.cdata_elem is not None and not getattr(self, "_escapable", False)
 
     def close(self):
         super().close()
@@ -83,8 +93,12 @@ class _Numbering(HTMLParser):
             self._close()
 
 
-def nodes(pages: DataFrame, keys: list[str], html: str = "html") -> DataFrame:
-    """One row per element and text of each page: keys, and ``NODE``. Top-level nodes have parent 0 and level 1; null pages have none."""
+def nodes(pages: DataFrame, keys: list[str], html: str = "html", references: dict[str, str] | None = None) -> DataFrame:
+    """One row per element and text of each page: keys, and ``NODE``. Top-level nodes have parent 0 and level 1; null pages have none.
+
+    Character references are read as browsers read them, those without a semicolon too, or, given ``references`` (name to
+    character), only those that it names and that end with a semicolon.
+    """
     schema = T.StructType([pages.schema[k] for k in keys] + T._parse_datatype_string(NODE).fields)
     wanted = to_arrow_schema(schema)
 
@@ -101,7 +115,9 @@ def nodes(pages: DataFrame, keys: list[str], html: str = "html") -> DataFrame:
                 page = batch[html][k].as_py()
                 if page is None:
                     continue
-                own, parser = tuple(batch[c][k].as_py() for c in keys), _Numbering()
+                own, parser = tuple(batch[c][k].as_py() for c in keys), _Numbering(references)
+                if references is not None:
+                    page = page.replace("&", "&amp;")
                 for at in range(0, len(page), _FEED):
                     parser.feed(page[at : at + _FEED])
                     rows += [own + x[:5] + (x[5] if x[5] is None else list(x[5].items()), x[6]) for x in parser.done]

@@ -101,3 +101,20 @@ def test_boards_send_no_nodes_to_the_driver(spark):
     plan = nodes.board_parts(pages, nodes.nodes(pages, ["page"]), ["page"])._jdf.queryExecution().optimizedPlan().toString()
     joins = [line for line in plan.splitlines() if "Join " in line]
     assert 0 < len(joins) < 60 and all("strategy=" in line for line in joins)
+
+
+def test_headings_equal_their_sql(spark, tmp_path):
+    """References without a semicolon stay; headings outside articles and several on a page count, each with its own siblings."""
+    import duckdb
+
+    from noticelake.plans import rendered
+
+    pages = ["<article><h1>A &amp; b&&amp;&amp</h1><p>x</p><p>y<b>z</b></p></article>", "<h1>Out &lt; &copy;</h1><p>q</p><article><h1>One</h1><p>a</p><h1> Two &quot;</h1><p>b</p><p>c &am</p></article>", "<script>if (a && b) c('&amp;')</script><h1 title='&amp;&amp'></h1>", "<p>none</p>"]
+    spark.createDataFrame(list(enumerate(pages)), "page_id long, html string").withColumn("url", F.lit("https://h/")).coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    with duckdb.connect() as c:
+        c.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+        for name in ("page_headings", "page_blocks"):
+            got = sorted(map(tuple, rendered.QUERIES[name](spark, str(tmp_path)).collect()))
+            assert got == sorted(c.execute(rendered.ORACLES[name]).fetchall())
+    hidden = nodes.nodes(spark.createDataFrame([(1, pages[2])], "k int, html string"), ["k"], references={"amp": "&"})
+    assert {(r["tag"], r["text"] or r["attrs"].get("title")) for r in hidden.collect()} == {("script", None), ("#hidden", "if (a && b) c('&amp;')"), ("h1", "&&amp")}
