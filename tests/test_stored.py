@@ -210,6 +210,19 @@ def test_rank_index(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(share" in plan or "share#" in plan.split("PartitionFilters")[1][:80]
 
 
+def test_rank_index_of_many_files(spark, tmp_path, monkeypatch):
+    """The shares, of which each sends a sample to the driver, are bounded; the files stay short, and a page reads those it lies in."""
+    monkeypatch.setattr(rankindex, "SHARES", 3, raising=False)
+    rows = spark.range(10_000).select((F.col("id") * 7919 % 10_007).alias("v"))
+    found = rankindex.write(rows, [F.desc("v")], str(tmp_path / "r"), 100)
+    assert found.select("share").distinct().count() <= 3 and found.count() >= 100 and found.agg(F.max("rows")).first()[0] <= 100
+    order = sorted((r["v"] for r in rows.collect()), reverse=True)
+    for number, size in ((1, 100), (50, 70), (100, 100), (101, 100)):
+        page = rankindex.page(spark, str(tmp_path / "r"), number, size)
+        assert [(r["rank"], r["v"]) for r in page.collect()] == [(k + 1, order[k]) for k in range((number - 1) * size, min(number * size, 10_000))]
+        assert len(page.inputFiles()) <= 3
+
+
 # Archives ------------------------------------------------------------------------------------------------------------
 
 
