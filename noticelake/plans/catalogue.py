@@ -466,4 +466,4 @@ def contiguous_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def page_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole pages as Markdown; a parser's work, so tests compare with written pages (``item_markdown`` has SQL)."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", F.concat(F.lit("<main>"), "html", F.lit("</main>")).alias("html"))
-    return pages.select("page_id", html.main_markdown("html").alias("text"))
+    return html.with_markdown(pages, ["page_id"])

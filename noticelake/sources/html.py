@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from typing import NamedTuple
 from urllib.parse import parse_qs, urljoin, urlparse
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from noticelake.functions.arrow import arrow
 from noticelake.functions.dates import is_date_like, iso_date
@@ -186,15 +190,36 @@ def breadcrumb(pages: pd.Series) -> pd.Series:
     return pd.Series([one(p) for p in pages], dtype=object)
 
 
-@arrow("string")
-def main_markdown(pages: pd.Series) -> pd.Series:
+#: Characters of Markdown in one batch of results, about.
+_HELD = 1_000_000
+
+
+def _one_markdown(page: str | None) -> str | None:
+    e = parse(page).find("main")
+    return None if e is None else markdown(e)
+
+
+def main_markdown(pages: Column | str) -> Column:
     """The <main> element as Markdown; null without one."""
+    return F.arrow_udf(lambda array: pa.array((_one_markdown(page.as_py()) for page in array), pa.string()), "string")(pages)
 
-    def one(html):
-        e = parse(html).find("main")
-        return None if e is None else markdown(e)
 
-    return pd.Series([one(p) for p in pages], dtype=object)
+def _markdown_batches(batches: Iterator[pa.RecordBatch], keep: list[str], html: str, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        kept, told, size, begin = batch.select(keep), [], 0, 0
+        for at in range(batch.num_rows):
+            told.append(_one_markdown(batch[html][at].as_py()))
+            size += len(told[-1] or "")
+            if size >= _HELD or at + 1 == batch.num_rows:
+                yield pa.RecordBatch.from_arrays([*kept.slice(begin, len(told)).columns, pa.array(told, pa.string())], schema=schema)
+                told, size, begin = [], 0, at + 1
+
+
+def with_markdown(pages: DataFrame, keep: list[str], html: str = "html") -> DataFrame:
+    """``keep`` and ``text``, the <main> element as Markdown; results leave a task in small batches, so it holds one batch of pages and one tree."""
+    schema = T.StructType([pages.schema[c] for c in keep]).add("text", "string")
+    wanted = to_arrow_schema(schema)
+    return pages.select(*keep, html).mapInArrow(lambda batches: _markdown_batches(batches, keep, html, wanted), schema)
 
 
 def placed(pages: DataFrame) -> DataFrame:

@@ -299,3 +299,17 @@ def test_commands_with_tools(spark, tmp_path, capsys, monkeypatch):
     monkeypatch.setattr("sys.stdin", io.StringIO(json.dumps(board)))
     assert cli.main(["dates"]) == 0
     assert "2025-02-01" in capsys.readouterr().out
+
+
+def test_markdown_leaves_in_small_batches(spark, monkeypatch):
+    """A batch of many pages: the results leave bit by bit, in order, beside the columns kept; nulls stay."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(html, "_HELD", 50)
+    pages = [None if k % 7 == 0 else "<p>none</p>" if k % 5 == 0 else f"<main><h1>N {k}</h1></main>" for k in range(100)]
+    want = [(k, f"# N {k}" if k % 7 and k % 5 else None) for k in range(100)]
+    batch = pa.RecordBatch.from_pydict({"k": list(range(100)), "html": pages})
+    got = list(html._markdown_batches(iter([batch, batch.slice(0, 0)]), ["k"], "html", pa.schema({"k": pa.int64(), "text": pa.string()})))
+    assert max(b.num_rows for b in got) < 20 and [tuple(r.values()) for b in got for r in b.to_pylist()] == want
+    rows = html.with_markdown(spark.createDataFrame(list(enumerate(pages)), "k long, html string"), ["k"])
+    assert sorted(map(tuple, rows.collect())) == want
